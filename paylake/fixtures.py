@@ -7,9 +7,13 @@ no row is left out.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.functions.signing import hmac_sha256
+
 START = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 FOLD_MINUTES = 2 * 24 * 60
 SIGNING_SECRET = "wsk_example"
@@ -62,10 +66,10 @@ REVOLUT_PAYLOAD = """named_struct(
             named_struct('account_id', concat('acc_', l_partkey), 'amount', l_extendedprice, 'currency', 'EUR'))))"""
 
 
-def _messages(rows: DataFrame, source: str, at: str, payload: str, *keep: str) -> DataFrame:
+def _messages(rows: DataFrame, source: str, at: str, payload: str) -> DataFrame:
     timed = rows.withColumn("received_at", F.expr(_iso(at)))
     envelope = F.expr(f"to_json(named_struct('source', '{source}', 'received_at', received_at, 'payload', {payload}))")
-    return timed.select(*keep, envelope.alias("value"))
+    return timed.select(envelope.alias("value"))
 
 
 def faker_env(events: DataFrame, folded: bool = False) -> DataFrame:
@@ -91,7 +95,7 @@ def all_env(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame
     )
 
 
-def bad_env(events: DataFrame, folded: bool = False) -> DataFrame:
+def bad_env(events: DataFrame, folded: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Card transactions of which every 50 have ten that are damaged or unusual."""
     at = _minutes_in("event_id", FOLD_MINUTES) if folded else "ts"
     rows = events.withColumn("received_at", F.expr(_iso(at))).withColumn("kind", F.expr("event_id % 50"))
@@ -116,7 +120,7 @@ def bad_env(events: DataFrame, folded: bool = False) -> DataFrame:
         WHEN 8 THEN {message("CAST(event_id AS STRING)")}
         WHEN 9 THEN CAST(event_id AS STRING)
         ELSE {message(quoted)} END"""
-    return rows.select(F.expr(value).alias("value"))
+    return rows.select(F.expr(value).alias("value"), *keep)
 
 
 def bad_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -164,8 +168,6 @@ def bad_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def webhook_deliveries(events: DataFrame) -> DataFrame:
     """Signed bodies: every 7th signature is altered, every 11th is missing, every 13th has no timestamp."""
-    from paylake.functions.signing import hmac_sha256
-
     body = events.select(
         "event_id",
         F.col("props").alias("body"),
@@ -174,7 +176,7 @@ def webhook_deliveries(events: DataFrame) -> DataFrame:
     digest = hmac_sha256(SIGNING_SECRET, F.concat(F.lit("v1."), F.col("stamp"), F.lit("."), F.col("body")))
     signature: Column = (
         F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
-        .when(F.col("event_id") % 7 == 0, F.concat(F.lit("v1=0"), F.substr(digest, F.lit(2))))
+        .when(F.col("event_id") % 7 == 0, F.concat(F.lit("v1="), F.translate(digest, "0123456789abcdef", "123456789abcdef0")))
         .otherwise(F.concat(F.lit("v1="), digest))
     )
     stamp = F.when(F.col("event_id") % 13 != 0, F.col("stamp"))

@@ -11,6 +11,8 @@ gets a `reason` when it is not a valid envelope:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +27,14 @@ def _text_of(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def read_envelopes(messages: DataFrame) -> DataFrame:
-    """`value` (text or bytes) to `value, source, received_at, payload, reason`; every message is kept."""
-    text = messages.select(F.col("value").cast("string").alias("value"))
+def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """`value` (text or bytes) to `value, source, received_at, payload, reason`; every message is kept.
+
+    `keep` carries other columns of the message along, such as the broker's own timestamp.
+    """
+    text = messages.select(F.col("value").cast("string").alias("value"), *keep)
     fields = F.from_json(as_array(F.col("value")), _FIELDS, {"allowSingleQuotes": "false"})
-    parsed = computed_once(text, {"docs": fields}, "value")
+    parsed = computed_once(text, {"docs": fields}, "value", *keep)
 
     doc = F.get("docs", F.lit(0))
     source, received_at = doc["source"], doc["received_at"]
@@ -51,6 +56,7 @@ def read_envelopes(messages: DataFrame) -> DataFrame:
         _text_of(received_at).alias("received_at"),
         doc["payload"].alias("payload"),
         reason.alias("reason"),
+        *keep,
     )
 
 

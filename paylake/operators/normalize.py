@@ -143,7 +143,7 @@ def _fault(rules: Rules, doc: Document) -> Column:
     """The reason a row is malformed; NULL for good rows and for rows the source does not want."""
     named = [*rules.texts, *rules.optional_texts, rules.amount]
     of_wanted = (
-        F.when(F.concat(*(doc.kind(path) for path in named)).isNull(), "missing_field")
+        F.when(~_all([~doc.missing(path) for path in named]), "missing_field")
         .when(~_texts_ok(rules, doc), "not_text")
         .when(~rules.amount_ok(doc, rules.amount), "bad_amount")
         .when(F.col("instant").isNull(), "bad_received_at")
@@ -175,9 +175,12 @@ def normalize(raw: DataFrame, source: str, strict: bool = False, keep: Sequence[
 def rejected_payloads(raw: DataFrame, source: str) -> DataFrame:
     """Malformed rows of one source: `source, received_at, payload, reason`."""
     parsed, doc = _opened(raw)
-    judged = parsed.select("received_at", "payload", _fault(_rules(source), doc).alias("reason"))
-    return judged.filter(F.col("reason").isNotNull()).select(
-        F.lit(source).alias("source"), "received_at", "payload", "reason"
+    rules = _rules(source)
+    single = F.coalesce(doc.is_single(), F.lit(False))
+    # The cheap test runs on every row, the search for the reason only on malformed ones.
+    malformed = ~single | F.when(_wanted(rules, doc), ~_sound(rules, doc)).otherwise(rules.unreadable(doc).isNotNull())
+    return parsed.filter(malformed).select(
+        F.lit(source).alias("source"), "received_at", "payload", _fault(rules, doc).alias("reason")
     )
 
 

@@ -6,6 +6,8 @@ environment, so those two functions are untested. The file source has the same s
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.schemas import MESSAGE
@@ -45,5 +47,7 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def table_rows(spark: SparkSession, path: str) -> DataFrame:
-    """A stored Parquet table read as a stream, whole and once."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A stored Parquet table, a file or a folder, read as a stream, whole and once."""
+    # A stream takes a plain path for a folder; a pattern may also name a file.
+    pattern = re.sub(r"([^/])([^/]*)\Z", r"[\1]\2", path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
