@@ -17,14 +17,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import day_parts, wall_clock
-from paylake.functions.json_values import as_array, canonical_field, computed_once
+from paylake.functions.json_values import Document, as_array, canonical_field, computed_once
 from paylake.schemas import HOUR_PARTS
 
-_FIELDS = "ARRAY<STRUCT<source: VARIANT, received_at: VARIANT, payload: STRING>>"
+_FIELDS = "ARRAY<STRUCT<source: STRING, received_at: STRING, payload: STRING>>"
 
 
-def _text_of(value: Column) -> Column:
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def _key_absent(field: Column, name: str) -> Column:
+    """Extraction gives NULL for an absent key and for a JSON null; the keys are listed only then."""
+    return field.isNull() & ~F.coalesce(F.array_contains(F.json_object_keys("value"), name), F.lit(False))
+
+
+def _not_text(source: Column) -> Column:
+    """Extraction turns other types into text; only text that could come from one is looked at again."""
+    doubtful = F.left(source, F.lit(1)).isin(list("-0123456789{[")) | source.isin("true", "false")
+    exact = Document(F.try_parse_json(as_array(F.col("value"))))
+    return doubtful & ~exact.is_text(".source")
 
 
 def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -37,24 +45,22 @@ def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     parsed = computed_once(text, {"docs": fields}, "value", *keep)
 
     doc = F.get("docs", F.lit(0))
-    source, received_at = doc["source"], doc["received_at"]
-    payload_absent = doc["payload"].isNull() & ~F.coalesce(
-        F.array_contains(F.json_object_keys("value"), "payload"), F.lit(False)
-    )
+    source, received_at, payload = doc["source"], doc["received_at"], doc["payload"]
     reason = (
         F.when((F.coalesce(F.size("docs"), F.lit(0)) != 1) | doc.isNull(), "not_object")
         .when(
-            source.isNull() | F.is_variant_null(source) | received_at.isNull() | payload_absent,
+            source.isNull() | _key_absent(received_at, "received_at") | _key_absent(payload, "payload"),
             "missing_key",
         )
-        .when(_text_of(source).isNull(), "bad_source")
-        .when(wall_clock(_text_of(received_at)).isNull(), "bad_received_at")
+        .when(_not_text(source), "bad_source")
+        # Other types never spell a timestamp, so their text fails here too.
+        .when(wall_clock(received_at).isNull(), "bad_received_at")
     )
     return parsed.select(
         "value",
-        _text_of(source).alias("source"),
-        _text_of(received_at).alias("received_at"),
-        doc["payload"].alias("payload"),
+        source.alias("source"),
+        received_at.alias("received_at"),
+        payload.alias("payload"),
         reason.alias("reason"),
         *keep,
     )

@@ -10,15 +10,16 @@ from paylake.operators.gate import run_query
 from paylake.operators.normalize import normalize
 from paylake.plans import lake_queries
 from paylake.plans.oracles import money
+from paylake.plans.sql_queries import SQL
 from paylake.session import configure
 
 
 def queries() -> dict:
-    return dict(lake_queries.QUERIES)
+    return lake_queries.QUERIES | {name: entry.run for name, entry in SQL.items()}
 
 
 def oracles() -> dict[str, str]:
-    return dict(lake_queries.ORACLES)
+    return lake_queries.ORACLES | {name: entry.oracle_text() for name, entry in SQL.items() if entry.has_oracle}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

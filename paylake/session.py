@@ -16,8 +16,9 @@ SETTINGS = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Recursive queries end when a step adds no rows, not at a row count.
+    # Recursive queries end when a step adds no rows, not at a fixed size or depth.
     "spark.sql.cteRecursionRowLimit": "-1",
+    "spark.sql.cteRecursionLevelLimit": "-1",
 }
 
 
