@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake import fixtures
@@ -28,6 +28,7 @@ from paylake.plans.oracles import ENV, FK, RV, ST, money, parts, with_tables
 from paylake.schemas import HOUR_PARTS
 from paylake.session import configure, scratch_folder
 from paylake.sources.layers import (
+    Days,
     days_between,
     in_days,
     in_previous_day,
@@ -82,8 +83,13 @@ def _timed(envelopes: DataFrame) -> DataFrame:
     return envelopes.withColumn("ts", wall_clock(F.col("received_at")))
 
 
-_MONEY = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount")
-_COUNT = F.count(F.lit(1)).alias("n")
+def _count() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
+
+def _money() -> Column:
+    return F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount")
+
 
 # --- ingest ----------------------------------------------------------------------------------------
 
@@ -141,7 +147,7 @@ _FOLDED_HOURS = with_tables(
 
 
 def _hours_of(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("source", *HOUR_PARTS).agg(_COUNT, F.min("received_at").alias("first_at"))
+    return raw.groupBy("source", *HOUR_PARTS).agg(_count(), F.min("received_at").alias("first_at"))
 
 
 @query(_FOLDED_HOURS)
@@ -328,7 +334,7 @@ def received_at_parse(spark, sf_dir):
 @query(with_tables("SELECT source, count(*) AS n, count(DISTINCT id) AS ids FROM env GROUP BY 1", ENV), name="scan_raw")
 def scan_raw_layer(spark, sf_dir):
     rows = _identified(scan_raw(spark, lake_of(spark, sf_dir).raw))
-    return rows.groupBy("source").agg(_COUNT, F.count_distinct("id").alias("ids"))
+    return rows.groupBy("source").agg(_count(), F.count_distinct("id").alias("ids"))
 
 
 def _identified(raw: DataFrame) -> DataFrame:
@@ -345,7 +351,7 @@ _FOLDED_ROWS = "SELECT source, strftime(folded, '%Y-%m-%dT%H:%M:%S.%g') AS recei
 
 @query(with_tables(_FOLDED_ROWS + "source = 'stripe' AND folded >= TIMESTAMP '2024-01-02' AND hour(folded) = 5", ENV))
 def scan_pruned(spark, sf_dir):
-    window = in_days(*resolve_dates("single_day", day="2024-01-02")) & (F.col("hr") == "05")
+    window = Days(*resolve_dates("single_day", day="2024-01-02"), hour=5)
     return _identified(scan_raw(spark, lake_of(spark, sf_dir).raw, window, ["stripe"]))
 
 
@@ -366,7 +372,7 @@ def scan_prev_day(spark, sf_dir):
         scan_processed(spark, root, source, window).select("source", "year", "month", "day", "amount")
         for source in SOURCES
     ]
-    return union_sources(days).groupBy("source", "year", "month", "day").agg(_COUNT, _MONEY)
+    return union_sources(days).groupBy("source", "year", "month", "day").agg(_count(), _money())
 
 
 @query(with_tables("SELECT source, count(*) AS n FROM env WHERE source IN ('faker', 'revolut') GROUP BY 1", ENV))
@@ -382,7 +388,7 @@ LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d.day GROUP BY d.day""")
 def date_range_days(spark, sf_dir):
     """Orders on every day of a window, days without orders included."""
     days = days_between(spark, *resolve_dates("range", start="1994-12-30", end="2001-12-31"))
-    orders = _table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(_COUNT)
+    orders = _table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(_count())
     return days.join(orders, "date", "left").select(
         "year", "month", "day", F.coalesce("n", F.lit(0)).alias("orders")
     )
@@ -396,7 +402,7 @@ _FOLDED_DAYS = with_tables(
 
 def _days_of(tables: list[DataFrame]) -> DataFrame:
     shared = [table.select("source", "year", "month", "day", "amount") for table in tables]
-    return union_sources(shared).groupBy("source", "year", "month", "day").agg(_COUNT, _MONEY)
+    return union_sources(shared).groupBy("source", "year", "month", "day").agg(_count(), _money())
 
 
 @query(_FOLDED_DAYS)

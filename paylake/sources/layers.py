@@ -10,8 +10,10 @@ Dates, hours and sources are predicates on partition columns, so a window of any
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,69 +65,117 @@ def days_between(spark: SparkSession, first: date, last: date) -> DataFrame:
     )
 
 
-def in_days(first: date, last: date) -> Column:
-    """Partition predicate for a window: zero-padded parts compare like the dates they spell."""
-    if first == last:
-        return _on_day(first)
-    stamp = F.concat("year", "month", "day")
-    return (
-        F.col("year").between(f"{first:%Y}", f"{last:%Y}")
-        & stamp.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}")
-    )
+@dataclass(frozen=True)
+class Days:
+    """A window of days, both ends included, and optionally one hour of them."""
+
+    first: date
+    last: date
+    hour: int | None = None
+
+    def predicate(self) -> Column:
+        """On partition columns: zero-padded parts compare like the dates they spell."""
+        stamp = F.concat("year", "month", "day")
+        inside = F.col("year").between(f"{self.first:%Y}", f"{self.last:%Y}") & stamp.between(
+            f"{self.first:%Y%m%d}", f"{self.last:%Y%m%d}"
+        )
+        return inside if self.hour is None else inside & (F.col("hr") == f"{self.hour:02d}")
 
+    def folders(self) -> str:
+        """The same window as a path pattern; a month that lies inside as a whole is one entry."""
+        entries, day = [], self.first
+        while day <= self.last:
+            following = (day.replace(day=1) + timedelta(days=32)).replace(day=1)
+            if day.day == 1 and following - timedelta(days=1) <= self.last:
+                entries.append(f"{day:year=%Y/month=%m/day=*}")
+                day = following
+            else:
+                entries.append(f"{day:year=%Y/month=%m/day=%d}")
+                day += timedelta(days=1)
+        days = entries[0] if len(entries) == 1 else "{" + ",".join(entries) + "}"
+        return days if self.hour is None else f"{days}/hr={self.hour:02d}"
 
-def _on_day(day: date) -> Column:
-    return (F.col("year") == f"{day:%Y}") & (F.col("month") == f"{day:%m}") & (F.col("day") == f"{day:%d}")
 
+def in_days(first: date, last: date) -> Days:
+    return Days(first, last)
 
-def in_previous_hour(now: datetime) -> Column:
+
+def in_previous_hour(now: datetime) -> Days:
     """The whole hour before the one `now` is in; at midnight that is 23 h of the day before."""
     hour = now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=1)
-    return _on_day(hour.date()) & (F.col("hr") == f"{hour:%H}")
+    return Days(hour.date(), hour.date(), hour.hour)
 
 
-def in_previous_day(now: datetime) -> Column:
-    return _on_day(now.date() - timedelta(days=1))
+def in_previous_day(now: datetime) -> Days:
+    day = now.date() - timedelta(days=1)
+    return Days(day, day)
 
 
 # --- scans ---------------------------------------------------------------------------------------
+#
+# A window names the folders to list, so a daily run does not list years of data. A layer that a stream
+# writes has a log of its committed files; it is read through that log, which needs no listing.
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
-def _parquet(spark: SparkSession, schema: T.StructType, ignore_corrupt: bool):
-    return (
+
+def _scan(
+    spark: SparkSession,
+    schema: T.StructType,
+    base: str,
+    below: str,
+    window: Days | None,
+    ignore_corrupt: bool,
+) -> DataFrame:
+    """Read `base`, or its part `below`, cut to the window."""
+    reader = (
         spark.read.schema(schema)
+        .option("basePath", base)
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", ignore_corrupt)
     )
+    if _exists(spark, f"{base}/_spark_metadata"):
+        df = reader.parquet(base)
+    elif not _exists(spark, base):
+        raise ValueError(f"no such layer: {base}")
+    else:
+        path = "/".join(part for part in (base, below, window.folders() if window else "") if part)
+        try:
+            df = reader.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            df = spark.read.schema(schema).parquet()  # no folder of the window exists: a scan of no files
+    return df if window is None else df.filter(window.predicate())
 
 
 def scan_raw(
     spark: SparkSession,
     root: str,
-    window: Column | None = None,
+    window: Days | None = None,
     sources: Sequence[str] | None = None,
     ignore_corrupt: bool = False,
 ) -> DataFrame:
     """Raw rows; unreadable files fail the job unless `ignore_corrupt`."""
-    return _pruned(_parquet(spark, RAW, ignore_corrupt).parquet(root), window, sources)
+    if sources is None:
+        return _scan(spark, RAW, root, "source=*" if window else "", window, ignore_corrupt)
+    names = list(sources)
+    below = "source=" + (names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
+    return _scan(spark, RAW, root, below, window, ignore_corrupt).filter(F.col("source").isin(names))
 
 
 def scan_processed(
-    spark: SparkSession, root: str, source: str, window: Column | None = None, ignore_corrupt: bool = False
+    spark: SparkSession, root: str, source: str, window: Days | None = None, ignore_corrupt: bool = False
 ) -> DataFrame:
     schema = with_day(processed_schema(source))
-    reader = _parquet(spark, schema, ignore_corrupt).option("basePath", root)
-    return _pruned(reader.parquet(f"{root}/source={source}"), window, None)
-
-
-def scan_analytics(spark: SparkSession, root: str, source: str, window: Column | None = None) -> DataFrame:
-    reader = _parquet(spark, with_day(processed_schema(source)), False)
-    return _pruned(reader.parquet(f"{root}/tb-{source}"), window, None)
+    return _scan(spark, schema, root, f"source={source}", window, ignore_corrupt)
 
 
-def _pruned(df: DataFrame, window: Column | None, sources: Sequence[str] | None) -> DataFrame:
-    if sources is not None:
-        df = df.filter(F.col("source").isin(list(sources)))
-    return df if window is None else df.filter(window)
+def scan_analytics(spark: SparkSession, root: str, source: str, window: Days | None = None) -> DataFrame:
+    return _scan(spark, with_day(processed_schema(source)), f"{root}/tb-{source}", "", window, False)
 
 
 # --- sinks ---------------------------------------------------------------------------------------
