@@ -168,16 +168,14 @@ def bad_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def webhook_deliveries(events: DataFrame) -> DataFrame:
     """Signed bodies: every 7th signature is altered, every 11th is missing, every 13th has no timestamp."""
-    body = events.select(
-        "event_id",
-        F.col("props").alias("body"),
-        F.expr(f"CAST(timestampdiff(MILLISECOND, {START}, ts) + 1704067200000 AS STRING)").alias("stamp"),
-    )
-    digest = hmac_sha256(SIGNING_SECRET, F.concat(F.lit("v1."), F.col("stamp"), F.lit("."), F.col("body")))
+    at = F.col("at").cast("timestamp")
+    body = events.select("event_id", F.col("ts").alias("at"), F.col("props").alias("body"))
+    stamp = F.unix_millis(at).cast("string")
+    digest = hmac_sha256(SIGNING_SECRET, F.concat(F.lit("v1."), stamp, F.lit("."), F.col("body")))
     signature: Column = (
         F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
         .when(F.col("event_id") % 7 == 0, F.concat(F.lit("v1="), F.translate(digest, "0123456789abcdef", "123456789abcdef0")))
         .otherwise(F.concat(F.lit("v1="), digest))
     )
-    stamp = F.when(F.col("event_id") % 13 != 0, F.col("stamp"))
-    return body.select("event_id", "body", stamp.alias("ts"), signature.alias("signature"))
+    sent = F.when(F.col("event_id") % 13 != 0, stamp)
+    return body.select("event_id", "at", "body", sent.alias("ts"), signature.alias("signature"))

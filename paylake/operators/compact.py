@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.schemas import DAY_PARTS
-from paylake.sources.layers import scan_processed, write_days
+from paylake.session import for_each
+from paylake.sources.layers import Days, scan_processed, write_days
 
 # Fixed value: default size of a compacted file.
 TARGET_BYTES = 134_217_728
@@ -110,38 +111,48 @@ def _write_job(spark: SparkSession, table: DataFrame, job: Sequence, target_byte
     write_days(numbered.repartitionById(total, file_id).drop("start", "slice", "source"), path)
 
 
+def _planned_days(table: DataFrame, target_bytes: int) -> list:
+    """One row per calendar day of one source, whatever the size of the data."""
+    totals = stored_files(table).groupBy(*DAY_PARTS).agg(
+        F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("sources")
+    )
+    return plan_sizes(totals, target_bytes).orderBy(*DAY_PARTS).collect()
+
+
+def _first_line(error: Exception) -> str:
+    return str(error).partition("\n")[0]
+
+
 def compact(
     spark: SparkSession,
     processed_root: str,
     analytics_root: str,
     sources: Sequence[str],
-    window=None,
+    window: Days | None = None,
     target_bytes: int = TARGET_BYTES,
     ignore_corrupt: bool = False,
 ) -> None:
-    """Compact the days of a window, source by source.
+    """Compact the days of a window, the sources side by side.
 
     Days without rows are skipped. A job that fails does not stop the others; all failures are raised
     together at the end.
     """
-    failures = []
-    for source in sources:
+
+    def compact_source(source: str) -> list[str]:
         try:
             table = scan_processed(spark, processed_root, source, window, ignore_corrupt)
-            plan = stored_files(table).groupBy(*DAY_PARTS).agg(
-                F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("sources")
-            )
-            # One row per calendar day of one source, whatever the size of the data.
-            days = plan_sizes(plan, target_bytes).orderBy(*DAY_PARTS).collect()
-        except Exception as error:  # noqa: BLE001 - reported below
-            failures.append((source, "plan", error))
-            continue
+            days = _planned_days(table, target_bytes)
+        except Exception as error:  # noqa: BLE001 - told to the caller below
+            return [f"{source}: {_first_line(error)}"]
+        failures = []
         for job in _jobs(days, FILES_PER_JOB):
             try:
                 _write_job(spark, table, job, target_bytes, f"{analytics_root}/tb-{source}")
             except Exception as error:  # noqa: BLE001
-                span = "-".join([job[0].year, job[0].month, job[0].day])
-                failures.append((source, span, error))
+                first, last = ("-".join([day.year, day.month, day.day]) for day in (job[0], job[-1]))
+                failures.append(f"{source} from {first} to {last}: {_first_line(error)}")
+        return failures
+
+    failures = [failure for found in for_each(sources, compact_source) for failure in found]
     if failures:
-        told = "; ".join(f"{source} from {span}: {str(error).splitlines()[0]}" for source, span, error in failures)
-        raise RuntimeError(f"compaction failed for {told}")
+        raise RuntimeError("compaction failed for " + "; ".join(failures))

@@ -11,7 +11,8 @@ _ALIAS = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
 # Pieces of a text that are not code: quoted text, quoted names and comments.
 _QUOTED = r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
 _NOT_CODE = re.compile(_QUOTED, re.S)
-_READ_CALL = re.compile(rf"\bread_parquet\s*\(\s*'((?:[^'])*)'\s*\)|({_QUOTED})", re.S | re.I)
+_HIVE = r"(?:,\s*hive_partitioning\s*=\s*(?:true|1)\s*)?"  # what a path relation always does
+_READ_CALL = re.compile(rf"\bread_parquet\s*\(\s*'((?:[^'])*)'\s*{_HIVE}\)|({_QUOTED})", re.S | re.I)
 
 # These call code of the JVM from a SELECT.
 _JVM_CALL = re.compile(r"\b(reflect|java_method|try_reflect)\s*`?\s*\(", re.I)

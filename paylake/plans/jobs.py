@@ -11,6 +11,7 @@ from paylake.operators.compact import TARGET_BYTES, compact
 from paylake.operators.envelope import read_envelopes, rejected_rows, valid_rows
 from paylake.operators.normalize import normalize, rejected_payloads
 from paylake.schemas import DAY_PARTS
+from paylake.session import for_each
 from paylake.sources.layers import append_raw, gathered, in_days, in_previous_day, scan_raw, write_days
 
 
@@ -32,13 +33,16 @@ def process_days(
     ignore_corrupt: bool = False,
 ) -> None:
     """Rebuild the typed rows of whole days. A rerun replaces the days, so it adds no duplicates."""
-    for source in sources:
+
+    def process(source: str) -> None:
         raw = scan_raw(spark, raw_root, in_days(first, last), [source], ignore_corrupt)
         rows = normalize(raw, source, strict, keep=DAY_PARTS).drop("source")
         # The rows of a single day need no shuffle: every task writes to the one folder.
         rows = rows if first == last else gathered(rows, DAY_PARTS)
         write_days(rows, f"{processed_root}/source={source}")
 
+    for_each(sources, process)
+
 
 def process_previous_hour(
     spark: SparkSession, raw_root: str, processed_root: str, now: datetime, sources: Sequence[str], strict: bool = False

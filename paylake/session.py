@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +40,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+T = TypeVar("T")
+
+
+def for_each(names: Sequence[str], job: Callable[[str], T]) -> list[T]:
+    """Start one Spark job per name at a time, so a small one does not leave the executors idle."""
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        return list(pool.map(job, names))

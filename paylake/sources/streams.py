@@ -18,10 +18,15 @@ BATCH_DELAY = "180s"
 POLL = "5 seconds"
 
 
-def kafka_messages(spark: SparkSession, servers: str, topics: list[str]) -> DataFrame:
+def kafka_messages(
+    spark: SparkSession, servers: str, topics: list[str], largest_batch: int | None = None
+) -> DataFrame:
+    """Messages of several topics from the earliest on; `largest_batch` cuts a long backlog into batches."""
+    reader = spark.readStream.format("kafka")
+    if largest_batch:
+        reader = reader.option("maxOffsetsPerTrigger", largest_batch)
     return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
+        reader.option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "earliest")
         .option("minOffsetsPerTrigger", BATCH_MESSAGES)

@@ -3,6 +3,8 @@
 Two queries read the same stream, each with a file sink and a checkpoint, so each row is stored exactly once
 even when a run is cut off. Rows go from the source straight to the files: messages of one source and hour
 arrive together, so a task opens few files and nothing is shuffled. The compaction job merges small files.
+
+The progress of the first query reports `accepted` and `refused` messages of each batch under `OUTCOMES`.
 """
 
 from __future__ import annotations
@@ -10,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from paylake.operators.envelope import read_envelopes, rejected_rows, valid_rows
+from paylake.operators.envelope import count_outcomes, read_envelopes, rejected_rows, valid_rows
 from paylake.schemas import HOUR_PARTS
 from paylake.sources.streams import POLL
 
+OUTCOMES = "outcomes"
+
 
 def _trigger(drain: bool) -> dict:
     return {"availableNow": True} if drain else {"processingTime": POLL}
@@ -25,7 +29,7 @@ def start_ingest(
     """Start both queries; `drain` takes what is available and ends."""
     envelopes = read_envelopes(messages)
     stored = (
-        valid_rows(envelopes)
+        valid_rows(count_outcomes(envelopes, OUTCOMES))
         .writeStream
         .format("parquet")
         .option("checkpointLocation", f"{checkpoints}/raw")
@@ -44,6 +48,16 @@ def start_ingest(
     return [stored, refused]
 
 
-def drain_ingest(messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str) -> None:
-    for query in start_ingest(messages, raw_root, rejects_root, checkpoints, drain=True):
+def outcomes(stored: StreamingQuery) -> dict[str, int]:
+    """Messages accepted and refused in the batches the query still remembers."""
+    seen = [progress.observedMetrics.get(OUTCOMES) for progress in stored.recentProgress]
+    counted = [row for row in seen if row is not None]
+    return {name: sum(row[name] for row in counted) for name in ("accepted", "refused")}
+
+
+def drain_ingest(messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str) -> dict[str, int]:
+    """Take what is available and return what was counted."""
+    queries = start_ingest(messages, raw_root, rejects_root, checkpoints, drain=True)
+    for query in queries:
         query.awaitTermination()
+    return outcomes(queries[0])

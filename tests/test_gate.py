@@ -76,6 +76,10 @@ def test_path_scan(spark, stored, path):
     assert [tuple(row) for row in rows] == [(2, "b")]
 
 
+def test_path_scan_with_partition_flag(spark, stored):
+    assert run_query(spark, f"SELECT * FROM read_parquet('{stored}/**/*.parquet', hive_partitioning = true)").count() == 2
+
+
 def test_a_quoted_read_call_is_text(spark):
     assert run_query(spark, """SELECT "read_parquet('x')" AS t""").first().t == "read_parquet('x')"
 

@@ -25,7 +25,7 @@ def put(folder, name, lines):
 
 
 def drain(spark, folder, files_per_batch=1):
-    drain_ingest(
+    return drain_ingest(
         file_messages(spark, f"{folder}/in", files_per_batch), f"{folder}/raw", f"{folder}/rejects", f"{folder}/checkpoints"
     )
 
@@ -46,8 +46,8 @@ def test_several_batches_store_what_one_batch_would(spark, folder):
 
 def test_restart_adds_only_what_is_new(spark, folder):
     put(folder, "1.txt", [text(1), "junk", text(2), "{}"])
-    drain(spark, folder)
-    drain(spark, folder)
+    assert drain(spark, folder) == {"accepted": 2, "refused": 2}
+    assert drain(spark, folder) == {"accepted": 0, "refused": 0}
     assert stored(spark, folder) == [1, 2]
     assert spark.read.parquet(f"{folder}/rejects").count() == 2
     put(folder, "2.txt", [text(3), "[]"])
