@@ -53,8 +53,12 @@ class Document:
     def is_object(self, path: str = "") -> Column:
         return F.coalesce(F.startswith(self.kind(path), F.lit("OBJECT")), F.lit(False))
 
+    def is_followed(self) -> Column:
+        """True when the text holds more than one document."""
+        return F.try_variant_get(self.column, "$[1]", "variant").isNotNull()
+
     def is_single(self) -> Column:
-        return self.value().isNotNull() & F.try_variant_get(self.column, "$[1]", "variant").isNull()
+        return self.value().isNotNull() & ~self.is_followed()
 
     def number(self, path: str) -> Column:
         """A number from a JSON number, boolean or numeric text; NULL when it is none of these."""
@@ -78,11 +82,13 @@ def is_container(text: Column) -> Column:
 def canonical_field(value: Column, field: str, extracted: Column) -> Column:
     """JSON text of one field of a message, given the text a schema-driven parse extracted for it.
 
-    Extraction drops the quotes of strings, so a string that looks like an object is ambiguous. Such a
-    string must start with `"{`, `"[` or an escape somewhere in the message; only then, and for scalars,
-    is the message parsed again to learn the type.
+    Extraction drops the quotes of strings, so a string that looks like an object is ambiguous. Such a string
+    opens with `"{`, `"[` or an escape in the message; and if it holds quotes, they are escaped there. Most
+    messages are cleared by one search for a backslash. The others are searched for the opening, and only
+    what is left, and scalars, are parsed again to learn the type.
     """
-    suspicious = F.contains(value, F.lit('"{')) | F.contains(value, F.lit('"[')) | F.contains(value, F.lit('"\\'))
+    opens = F.contains(value, F.lit('"{')) | F.contains(value, F.lit('"[')) | F.contains(value, F.lit('"\\'))
+    suspicious = (F.contains(value, F.lit("\\")) | ~F.contains(extracted, F.lit('"'))) & opens
     doc = Document(F.try_parse_json(as_array(value)))
     nested = F.startswith(doc.kind(f".{field}"), F.lit("OBJECT")) | F.startswith(doc.kind(f".{field}"), F.lit("ARRAY"))
     exact = F.when(nested, extracted).otherwise(F.to_json(doc.value(f".{field}")))

@@ -135,8 +135,8 @@ def _texts_ok(rules: Rules, doc: Document) -> Column:
 
 def _sound(rules: Rules, doc: Document) -> Column:
     """A wanted row that is not malformed. A missing field has no type, so it fails the type checks."""
-    amount_ok = ~doc.missing(rules.amount) & rules.amount_ok(doc, rules.amount)
-    return doc.is_single() & _texts_ok(rules, doc) & amount_ok & F.col("instant").isNotNull()
+    fields_ok = _texts_ok(rules, doc) & rules.amount_ok(doc, rules.amount)
+    return ~doc.is_followed() & fields_ok & F.col("instant").isNotNull()
 
 
 def _fault(rules: Rules, doc: Document) -> Column:
