@@ -1,7 +1,7 @@
 """Command line: `spark-submit ... -m paylake <job>` or `python -m paylake <job>`.
 
 ingest    drain or follow a stream into the raw layer
-process   rebuild processed days: --day, --start/--end, or --scheduled for the previous hour's day
+process   rebuild processed days: --day, --start/--end, or --scheduled for the previous hour
 compact   rewrite processed days: --day, --start/--end, or --scheduled for the previous day
 query     run one read-only SQL text and store its result as Parquet
 """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from paylake.schemas import DAY_PARTS
 from paylake.session import for_each
-from paylake.sources.layers import Days, scan_processed, write_days
+from paylake.sources.layers import Days, replace_parts, scan_processed
 
 # Fixed value: default size of a compacted file.
 TARGET_BYTES = 134_217_728
@@ -108,7 +108,8 @@ def _write_job(spark: SparkSession, table: DataFrame, job: Sequence, target_byte
     numbering = spark.createDataFrame(starts, "year string, month string, day string, start int")
     numbered = cut.join(F.broadcast(numbering), DAY_PARTS)
     file_id = F.col("start") + F.col("slice")
-    write_days(numbered.repartitionById(total, file_id).drop("start", "slice", "source"), path)
+    files = numbered.repartitionById(total, file_id).drop("start", "slice", "source", "hr")
+    replace_parts(files, path, DAY_PARTS)
 
 
 def _planned_days(table: DataFrame, target_bytes: int) -> list:

@@ -41,7 +41,8 @@ def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     `keep` carries other columns of the message along, such as the broker's own timestamp.
     """
     text = messages.select(F.col("value").cast("string").alias("value"), *keep)
-    fields = F.from_json(as_array(F.col("value")), _FIELDS, {"allowSingleQuotes": "false"})
+    # Bytes that are no UTF-8 text leave nothing to parse.
+    fields = F.from_json(as_array(F.try_validate_utf8("value")), _FIELDS, {"allowSingleQuotes": "false"})
     parsed = computed_once(text, {"docs": fields}, "value", *keep)
 
     doc = F.get("docs", F.lit(0))

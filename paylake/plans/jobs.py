@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.operators.compact import TARGET_BYTES, compact
 from paylake.operators.envelope import read_envelopes, rejected_rows, valid_rows
 from paylake.operators.normalize import normalize, rejected_payloads
-from paylake.schemas import DAY_PARTS
+from paylake.schemas import HOUR_PARTS
 from paylake.session import for_each
-from paylake.sources.layers import append_raw, gathered, in_days, in_previous_day, scan_raw, write_days
+from paylake.sources.layers import (
+    Days,
+    append_raw,
+    gathered,
+    in_days,
+    in_previous_day,
+    in_previous_hour,
+    replace_parts,
+    scan_raw,
+)
 
 
 def ingest_batch(messages: DataFrame, raw_root: str) -> DataFrame:
@@ -22,6 +31,25 @@ def ingest_batch(messages: DataFrame, raw_root: str) -> DataFrame:
     return rejected_rows(envelopes)
 
 
+def _process(
+    spark: SparkSession,
+    raw_root: str,
+    processed_root: str,
+    window: Days,
+    sources: Sequence[str],
+    strict: bool,
+    ignore_corrupt: bool,
+) -> None:
+    def process(source: str) -> None:
+        raw = scan_raw(spark, raw_root, window, [source], ignore_corrupt)
+        rows = normalize(raw, source, strict, keep=HOUR_PARTS).drop("source")
+        # The rows of a single hour need no shuffle: every task writes to the one folder.
+        rows = gathered(rows, HOUR_PARTS) if window.hour is None else rows
+        replace_parts(rows, f"{processed_root}/source={source}", HOUR_PARTS)
+
+    for_each(sources, process)
+
+
 def process_days(
     spark: SparkSession,
     raw_root: str,
@@ -32,24 +60,21 @@ def process_days(
     strict: bool = False,
     ignore_corrupt: bool = False,
 ) -> None:
-    """Rebuild the typed rows of whole days. A rerun replaces the days, so it adds no duplicates."""
-
-    def process(source: str) -> None:
-        raw = scan_raw(spark, raw_root, in_days(first, last), [source], ignore_corrupt)
-        rows = normalize(raw, source, strict, keep=DAY_PARTS).drop("source")
-        # The rows of a single day need no shuffle: every task writes to the one folder.
-        rows = rows if first == last else gathered(rows, DAY_PARTS)
-        write_days(rows, f"{processed_root}/source={source}")
-
-    for_each(sources, process)
+    """Rebuild the typed rows of whole days. A rerun replaces them, so it adds no duplicates."""
+    _process(spark, raw_root, processed_root, Days(first, last), sources, strict, ignore_corrupt)
 
 
 def process_previous_hour(
-    spark: SparkSession, raw_root: str, processed_root: str, now: datetime, sources: Sequence[str], strict: bool = False
+    spark: SparkSession,
+    raw_root: str,
+    processed_root: str,
+    now: datetime,
+    sources: Sequence[str],
+    strict: bool = False,
+    ignore_corrupt: bool = False,
 ) -> None:
-    """The hourly run: rebuild the day that holds the hour before `now`."""
-    day = (now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=1)).date()
-    process_days(spark, raw_root, processed_root, day, day, sources, strict)
+    """The hourly run: read and rebuild the hour before `now`, and nothing else of its day."""
+    _process(spark, raw_root, processed_root, in_previous_hour(now), sources, strict, ignore_corrupt)
 
 
 def payload_rejects(

@@ -40,5 +40,5 @@ def processed_schema(source: str) -> T.StructType:
     return PROCESSED[source]
 
 
-def with_day(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, *(T.StructField(part, TEXT) for part in DAY_PARTS)])
+def with_parts(schema: T.StructType, parts: list[str]) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(part, TEXT) for part in parts)])

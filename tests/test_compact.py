@@ -7,7 +7,8 @@ import pytest
 
 from paylake.operators import compact as compaction
 from paylake.plans.jobs import compact_days, compact_previous_day
-from paylake.sources.layers import scan_analytics, scan_processed, write_days
+from paylake.schemas import HOUR_PARTS
+from paylake.sources.layers import replace_parts, scan_analytics, scan_processed
 
 FIRST, LAST = date(2026, 2, 27), date(2026, 2, 28)
 
@@ -16,9 +17,9 @@ def put_day(spark, root, day, rows, files, value="concat('t', id)", source="fake
     df = spark.range(0, rows, 1, files).selectExpr(
         "TIMESTAMP_NTZ'2026-02-27 00:00:00' AS received_at", f"{value} AS transaction_id", "'u' AS user_id",
         "CAST(id AS DOUBLE) AS amount", "'eur' AS currency", "'debit' AS transaction_type",
-        f"'{day:%Y}' AS year", f"'{day:%m}' AS month", f"'{day:%d}' AS day",
+        f"'{day:%Y}' AS year", f"'{day:%m}' AS month", f"'{day:%d}' AS day", "IF(id % 3 = 0, '04', '17') AS hr",
     )
-    write_days(df, f"{root}/source={source}")
+    replace_parts(df, f"{root}/source={source}", HOUR_PARTS)
 
 
 def files_of(root, day, source="faker"):
@@ -43,7 +44,7 @@ def test_files_are_exact_slices(spark, folder, target):
     out = f"{folder}-out"
     compact_days(spark, folder, out, FIRST, LAST, ["faker"], target)
     for day in (FIRST, LAST):
-        rows, per_file, files = plan_by_hand(glob.glob(f"{folder}/source=faker/*/*/day={day:%d}/*.parquet"), target)
+        rows, per_file, files = plan_by_hand(glob.glob(f"{folder}/source=faker/*/*/day={day:%d}/*/*.parquet"), target)
         sizes = sorted(pq.ParquetFile(path).metadata.num_rows for path in files_of(out, day))
         assert len(sizes) == files
         assert sum(sizes) == rows
@@ -83,7 +84,7 @@ def test_failures_are_collected_and_raised(spark, folder):
     out = f"{folder}-out"
     put_day(spark, folder, FIRST, 100, 2)
     put_day(spark, folder, FIRST, 100, 2, source="revolut")
-    broken = glob.glob(f"{folder}/source=faker/*/*/*/*.parquet")[0]
+    broken = glob.glob(f"{folder}/source=faker/*/*/*/*/*.parquet")[0]
     with open(broken, "wb") as file:
         file.write(b"PAR1 broken PAR1")
     with pytest.raises(RuntimeError, match="faker"):
@@ -104,7 +105,7 @@ def test_days_are_cut_into_jobs(spark, folder, monkeypatch):
 def test_plan(spark, folder):
     put_day(spark, folder, FIRST, 1_000, 4)
     plan = compaction.compaction_plan(scan_processed(spark, folder, "faker"), 5_000).first()
-    paths = glob.glob(f"{folder}/source=faker/*/*/*/*.parquet")
+    paths = glob.glob(f"{folder}/source=faker/*/*/*/*/*.parquet")
     assert (plan.rows, plan.rows_per_file, plan.files) == plan_by_hand(paths, 5_000)
 
 

@@ -83,6 +83,12 @@ def test_bytes_are_decoded(spark):
     assert (row.source, row.year, row.month, row.day, row.hr) == ("faker", "2026", "02", "15", "10")
 
 
+def test_broken_bytes_are_refused_and_kept(spark):
+    broken = envelope(payload="x").encode().replace(b"x", b"\xff\xfe")
+    row = read_envelopes(spark.createDataFrame([(bytearray(broken),)], "value binary")).first()
+    assert row.reason == "not_object" and row.value is not None
+
+
 def test_wall_clock_names_the_partition(spark):
     df = spark.createDataFrame([(envelope(received_at="2026-02-15T00:30:00+02:00"),)], "value string")
     row = valid_rows(read_envelopes(df)).first()

@@ -139,13 +139,16 @@ def test_rerun_replaces_days_and_leaves_others(spark, raw, folder):
     assert sorted(map(tuple, scan_processed(spark, target, "faker").collect())) == first
 
 
-def test_scheduled_run_rebuilds_the_day_of_the_previous_hour(spark, raw, folder):
+def test_scheduled_run_rebuilds_the_previous_hour_only(spark, raw, folder):
     target = f"{folder}-processed"
     process_previous_hour(spark, raw, target, datetime(2026, 3, 1, 0, 10), ["faker"])
-    assert {row.day for row in scan_processed(spark, target, "faker").collect()} == {"28"}
-    append_raw(valid_rows(read_envelopes(messages(spark, [message("2026-02-28T23:59:00.000", number=9)]))), raw)
+    assert [(row.day, row.hr) for row in scan_processed(spark, target, "faker").collect()] == [("28", "23")]
+    late = [message("2026-02-28T23:59:00.000", number=9), message("2026-02-28T05:59:00.000", number=10)]
+    append_raw(valid_rows(read_envelopes(messages(spark, late))), raw)
     process_previous_hour(spark, raw, target, datetime(2026, 3, 1, 0, 30), ["faker"])
-    assert scan_processed(spark, target, "faker").count() == 4
+    assert [(row.day, row.hr) for row in scan_processed(spark, target, "faker").collect()] == [("28", "23")] * 2
+    process_days(spark, raw, target, date(2026, 2, 28), date(2026, 2, 28), ["faker"])
+    assert scan_processed(spark, target, "faker").count() == 5
 
 
 def test_rejected_payloads_of_a_window(spark, folder):
@@ -155,11 +158,11 @@ def test_rejected_payloads_of_a_window(spark, folder):
     assert [row.reason for row in rejects] == ["not_text"]
 
 
-def test_one_day_is_processed_without_a_shuffle(spark, raw):
+def test_one_hour_is_processed_without_a_shuffle(spark, raw):
     from paylake.operators.normalize import normalize
 
-    day = scan_raw(spark, raw, in_days(date(2026, 2, 27), date(2026, 2, 27)), ["faker"])
-    assert "Exchange" not in plan_of(normalize(day, "faker"))
+    hour = scan_raw(spark, raw, in_previous_hour(datetime(2026, 2, 28, 0, 10)), ["faker"])
+    assert "Exchange" not in plan_of(normalize(hour, "faker"))
 
 
 def test_a_large_partition_is_written_by_several_tasks(spark, folder):
