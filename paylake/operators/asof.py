@@ -41,6 +41,8 @@ def asof_join(
         known.withColumn("side", F.lit(0))
         .unionByName(asked.withColumn("side", F.lit(1)))
         .withColumn("bucket", F.window(at, bucket)["start"])
+        # Always true; the join below would add it to one of the two uses, and the plan would compute the points twice.
+        .filter(F.col("bucket").isNotNull())
     )
 
     keyed = [*by, "bucket"]

@@ -160,3 +160,26 @@ def test_event_structure(spark):
         assert rows[i].reason == reason, body
         assert (rows[i].payload is None) == (reason is not None), body
     assert rows[1].payload == '{"id":"e","type":"t","data":{},"api_version":null,"created":12,"livemode":true}'
+
+
+def test_asof_computes_its_points_once(spark):
+    schema = "k string, ts timestamp_ntz, n int"
+    rows = [(f"k{i % 7}", START + timedelta(minutes=i), i) for i in range(500)]
+    joined = asof_join(table(spark, rows, schema), table(spark, rows, schema), ["k"], "ts")
+    joined.collect()
+    assert "ReusedExchange" in plan_of(joined)
+
+
+def test_asof_with_a_hot_moment(spark):
+    """A third of all rows share one key and time, another third one key."""
+    left = spark.range(30_000).selectExpr(
+        "IF(id % 3 < 2, 'hot', concat('k', id % 50)) AS k",
+        "IF(id % 3 = 0, TIMESTAMP_NTZ'2026-02-27 12:00:00', timestampadd(SECOND, id, TIMESTAMP_NTZ'2026-02-27 00:00:00')) AS ts",
+        "id AS n",
+    )
+    right = left.select("k", "ts", F.col("n").alias("v"))
+    found = asof_join(left, right, ["k"], "ts")
+    assert found.count() == 30_000
+    # Every left row is also a right row, so its match is at its own time or, among copies, the greatest.
+    assert found.filter("v IS NULL OR v < n").count() == 0
+    assert found.filter("k = 'hot' AND ts = TIMESTAMP_NTZ'2026-02-27 12:00:00'").select("v").distinct().count() == 1
