@@ -74,8 +74,7 @@ def sliced(table: DataFrame, offsets: DataFrame, offset_count: int) -> DataFrame
     side = offsets.drop(*DAY_PARTS)
     if offset_count <= BROADCAST_FILES:
         side = F.broadcast(side)
-    position = F.col("first") + F.col("row_index")
-    slice_id = F.floor(position / F.col("rows_per_file")).cast("int")
+    slice_id = F.expr("CAST((first + row_index) DIV rows_per_file AS INT)")
     return located.join(side, "file").withColumn("slice", slice_id).drop("file", "row_index", "first", "rows_per_file")
 
 
@@ -135,25 +134,35 @@ def compact(
 ) -> None:
     """Compact the days of a window, the sources side by side.
 
-    Days without rows are skipped. A job that fails does not stop the others; all failures are raised
-    together at the end.
+    Days without rows are skipped. What fails does not stop the rest: it is tried again in smaller pieces, down
+    to single days, and the days that still fail are raised together at the end.
     """
 
-    def compact_source(source: str) -> list[str]:
+    def compact_window(source: str, days: Days | None) -> list[str]:
         try:
-            table = scan_processed(spark, processed_root, source, window, ignore_corrupt)
-            days = _planned_days(table, target_bytes)
-        except Exception as error:  # noqa: BLE001 - told to the caller below
-            return [f"{source}: {_first_line(error)}"]
-        failures = []
-        for job in _jobs(days, FILES_PER_JOB):
-            try:
-                _write_job(spark, table, job, target_bytes, f"{analytics_root}/tb-{source}")
-            except Exception as error:  # noqa: BLE001
-                first, last = ("-".join([day.year, day.month, day.day]) for day in (job[0], job[-1]))
-                failures.append(f"{source} from {first} to {last}: {_first_line(error)}")
-        return failures
-
-    failures = [failure for found in for_each(sources, compact_source) for failure in found]
+            table = scan_processed(spark, processed_root, source, days, ignore_corrupt)
+            planned = _planned_days(table, target_bytes)
+        except Exception as error:  # noqa: BLE001 - told to the caller at the end
+            halves = days.halves() if days else []
+            if not halves:
+                return [f"{source} {days.first if days else ''}: {_first_line(error)}"]
+            return [failure for half in halves for failure in compact_window(source, half)]
+        return [
+            failure for job in _jobs(planned, FILES_PER_JOB) for failure in compact_job(source, table, job)
+        ]
+
+    def compact_job(source: str, table: DataFrame, job: list) -> list[str]:
+        try:
+            _write_job(spark, table, job, target_bytes, f"{analytics_root}/tb-{source}")
+        except Exception as error:  # noqa: BLE001
+            if len(job) == 1:
+                day = job[0]
+                return [f"{source} {day.year}-{day.month}-{day.day}: {_first_line(error)}"]
+            return [failure for day in job for failure in compact_job(source, table, [day])]
+        return []
+
+    failures = [
+        failure for found in for_each(sources, lambda source: compact_window(source, window)) for failure in found
+    ]
     if failures:
         raise RuntimeError("compaction failed for " + "; ".join(failures))

@@ -22,6 +22,8 @@ from paylake.schemas import HOUR_PARTS
 
 _FIELDS = "ARRAY<STRUCT<source: STRING, received_at: STRING, payload: STRING>>"
 
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 
 def _key_absent(field: Column, name: str) -> Column:
     """Extraction gives NULL for an absent key and for a JSON null; the keys are listed only then."""
@@ -42,7 +44,7 @@ def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     text = messages.select(F.col("value").cast("string").alias("value"), *keep)
     # Bytes that are no UTF-8 text leave nothing to parse.
-    fields = F.from_json(as_array(F.try_validate_utf8("value")), _FIELDS, {"allowSingleQuotes": "false"})
+    fields = F.from_json(as_array(F.try_validate_utf8("value")), _FIELDS, _STRICT)
     parsed = computed_once(text, {"docs": fields}, "value", *keep)
 
     doc = F.get("docs", F.lit(0))

@@ -81,6 +81,13 @@ class Days:
         )
         return inside if self.hour is None else inside & (F.col("hr") == f"{self.hour:02d}")
 
+    def halves(self) -> list[Days]:
+        """The window in two parts; none for a single day."""
+        if self.first == self.last:
+            return []
+        middle = self.first + (self.last - self.first) // 2
+        return [Days(self.first, middle, self.hour), Days(middle + timedelta(days=1), self.last, self.hour)]
+
     def folders(self) -> str:
         """The same window as a path pattern; a month that lies inside as a whole is one entry."""
         entries, day = [], self.first

@@ -80,16 +80,36 @@ def test_other_days_and_days_without_data(spark, folder):
     assert len(glob.glob(f"{out}/tb-faker/year=*")) == 1
 
 
-def test_failures_are_collected_and_raised(spark, folder):
+def test_only_the_days_that_fail_are_left_out(spark, folder):
     out = f"{folder}-out"
-    put_day(spark, folder, FIRST, 100, 2)
+    days = [date(2026, 2, number) for number in (1, 2, 5, 9)]
+    for day in days:
+        put_day(spark, folder, day, 100, 2)
     put_day(spark, folder, FIRST, 100, 2, source="revolut")
-    broken = glob.glob(f"{folder}/source=faker/*/*/*/*/*.parquet")[0]
+    broken = glob.glob(f"{folder}/source=faker/*/*/day=05/*/*.parquet")[0]
     with open(broken, "wb") as file:
         file.write(b"PAR1 broken PAR1")
-    with pytest.raises(RuntimeError, match="faker"):
-        compact_days(spark, folder, out, FIRST, FIRST, ["faker", "stripe", "revolut"])
+    with pytest.raises(RuntimeError, match="faker 2026-02-05") as raised:
+        compact_days(spark, folder, out, date(2026, 2, 1), LAST, ["faker", "stripe", "revolut"])
+    assert "revolut" not in str(raised.value) and "2026-02-02" not in str(raised.value)
     assert scan_analytics(spark, out, "revolut").count() == 100
+    assert {row.day for row in scan_analytics(spark, out, "faker").select("day").distinct().collect()} == {"01", "02", "09"}
+
+
+def test_a_failed_write_is_tried_day_by_day(spark, folder, monkeypatch):
+    out, write = f"{folder}-out", compaction._write_job
+
+    def fails_for_the_second(session, table, job, target_bytes, path):
+        if any(day.day == "02" for day in job):
+            raise OSError("disk gone")
+        write(session, table, job, target_bytes, path)
+
+    monkeypatch.setattr(compaction, "_write_job", fails_for_the_second)
+    for number in (1, 2, 3):
+        put_day(spark, folder, date(2026, 2, number), 50, 1)
+    with pytest.raises(RuntimeError, match="faker 2026-02-02: disk gone"):
+        compact_days(spark, folder, out, date(2026, 2, 1), date(2026, 2, 3), ["faker"])
+    assert {row.day for row in scan_analytics(spark, out, "faker").select("day").distinct().collect()} == {"01", "03"}
 
 
 def test_days_are_cut_into_jobs(spark, folder, monkeypatch):

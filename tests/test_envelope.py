@@ -45,6 +45,8 @@ CASES = [
     (envelope() + " trailing", "not_object"),
     (envelope() + "," + envelope(), "not_object"),
     (envelope()[:-1], "not_object"),
+    (envelope(payload={"a": float("nan")}), "not_object"),
+    (envelope(payload=float("inf")), "not_object"),
     ("{'source':'faker','received_at':'" + AT + "','payload':1}", "not_object"),
 ]
 
