@@ -1,7 +1,8 @@
 """Typed access to JSON documents.
 
-A document is parsed once, as the only element of an array: text after the document then breaks the
-array and is refused, as a strict JSON reader would. `computed_once` puts the parse below an explode, because
+A document is parsed once, as the first of two elements of an array, the other being a null. Text after the
+document then breaks the array, or the null is not where it should be, and the document is refused as a
+strict JSON reader would. `computed_once` puts the parse below an explode, because
 a filter on a parsed field would otherwise be pushed through the projection and parse every row again.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def as_array(text: Column) -> Column:
-    return F.concat(F.lit("["), text, F.lit("]"))
+    return F.concat(F.lit("["), text, F.lit(",null]"))
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column], *keep: str) -> DataFrame:
@@ -22,7 +23,7 @@ def computed_once(df: DataFrame, columns: dict[str, Column], *keep: str) -> Data
 
 
 class Document:
-    """Paths into one JSON document held as `[document]` in a VARIANT column."""
+    """Paths into one JSON document held as `[document, null]` in a VARIANT column."""
 
     def __init__(self, column: Column):
         self.column = column
@@ -53,12 +54,10 @@ class Document:
     def is_object(self, path: str = "") -> Column:
         return F.coalesce(F.startswith(self.kind(path), F.lit("OBJECT")), F.lit(False))
 
-    def is_followed(self) -> Column:
-        """True when the text holds more than one document."""
-        return F.try_variant_get(self.column, "$[1]", "variant").isNotNull()
-
-    def is_single(self) -> Column:
-        return self.value().isNotNull() & ~self.is_followed()
+    def is_alone(self) -> Column:
+        """True when the text holds one document and nothing more."""
+        second, third = (F.try_variant_get(self.column, path, "variant") for path in ("$[1]", "$[2]"))
+        return F.is_variant_null(second) & third.isNull()
 
     def number(self, path: str) -> Column:
         """A number from a JSON number, boolean or numeric text; NULL when it is none of these."""

@@ -89,7 +89,7 @@ def check_stripe_events(bodies: DataFrame) -> DataFrame:
 
     created, livemode = _whole_number(doc, ".created"), _truth(doc, ".livemode")
     reason = (
-        F.when(~doc.is_single() | ~doc.is_object(), "not_object")
+        F.when(~F.coalesce(doc.is_alone(), F.lit(False)) | ~doc.is_object(), "not_object")
         .when(~doc.is_text(".id"), "id")
         .when(~doc.is_text(".type"), "type")
         .when(~doc.is_object(".data"), "data")

@@ -48,9 +48,10 @@ def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     parsed = computed_once(text, {"docs": fields}, "value", *keep)
 
     doc = F.get("docs", F.lit(0))
+    alone = (F.coalesce(F.size("docs"), F.lit(0)) == 2) & F.get("docs", F.lit(1)).isNull()
     source, received_at, payload = doc["source"], doc["received_at"], doc["payload"]
     reason = (
-        F.when((F.coalesce(F.size("docs"), F.lit(0)) != 1) | doc.isNull(), "not_object")
+        F.when(~alone | doc.isNull(), "not_object")
         .when(
             source.isNull() | _key_absent(received_at, "received_at") | _key_absent(payload, "payload"),
             "missing_key",

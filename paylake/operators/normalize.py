@@ -136,7 +136,7 @@ def _texts_ok(rules: Rules, doc: Document) -> Column:
 def _sound(rules: Rules, doc: Document) -> Column:
     """A wanted row that is not malformed. A missing field has no type, so it fails the type checks."""
     fields_ok = _texts_ok(rules, doc) & rules.amount_ok(doc, rules.amount)
-    return ~doc.is_followed() & fields_ok & F.col("instant").isNotNull()
+    return doc.is_alone() & fields_ok & F.col("instant").isNotNull()
 
 
 def _fault(rules: Rules, doc: Document) -> Column:
@@ -150,7 +150,7 @@ def _fault(rules: Rules, doc: Document) -> Column:
     )
     unreadable = rules.unreadable(doc)
     return (
-        F.when(~F.coalesce(doc.is_single(), F.lit(False)), "not_json")
+        F.when(~F.coalesce(doc.is_alone(), F.lit(False)), "not_json")
         .when(_wanted(rules, doc), of_wanted)
         .when(unreadable.isNotNull(), F.when(doc.is_object(), unreadable).otherwise("not_object"))
     )
@@ -176,7 +176,7 @@ def rejected_payloads(raw: DataFrame, source: str) -> DataFrame:
     """Malformed rows of one source: `source, received_at, payload, reason`."""
     parsed, doc = _opened(raw)
     rules = _rules(source)
-    single = F.coalesce(doc.is_single(), F.lit(False))
+    single = F.coalesce(doc.is_alone(), F.lit(False))
     # The cheap test runs on every row, the search for the reason only on malformed ones.
     malformed = ~single | F.when(_wanted(rules, doc), ~_sound(rules, doc)).otherwise(rules.unreadable(doc).isNotNull())
     return parsed.filter(malformed).select(
