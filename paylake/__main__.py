@@ -19,7 +19,7 @@ from paylake.plans.jobs import compact_days, compact_previous_day, process_days,
 from paylake.plans.lake import SOURCES
 from paylake.session import configure
 from paylake.sources.layers import resolve_dates
-from paylake.sources.streams import file_messages, kafka_messages
+from paylake.sources.streams import BATCH_DELAY, BATCH_MESSAGES, file_messages, kafka_messages
 from paylake.streaming.ingest import drain_ingest, start_ingest
 
 
@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     origin.add_argument("--servers", help="Kafka servers")
     origin.add_argument("--folder", help="folder of text files, one message a line")
     ingest.add_argument("--topics", nargs="+", default=SOURCES)
+    ingest.add_argument("--smallest-batch", type=int, default=BATCH_MESSAGES, help="messages that start a batch")
+    ingest.add_argument("--longest-wait", default=BATCH_DELAY, help="time after which fewer messages do")
     ingest.add_argument("--largest-batch", type=int)
     ingest.add_argument("--raw", required=True)
     ingest.add_argument("--rejects", required=True)
@@ -70,7 +72,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName(f"paylake-{args.job}").getOrCreate())
     if args.job == "ingest":
         if args.servers:
-            messages = kafka_messages(spark, args.servers, args.topics, args.largest_batch)
+            messages = kafka_messages(
+                spark, args.servers, args.topics, args.smallest_batch, args.longest_wait, args.largest_batch
+            )
         else:
             messages = file_messages(spark, args.folder)
         if args.drain:

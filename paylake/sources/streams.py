@@ -12,16 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake.schemas import MESSAGE
 
-# A batch starts at this many messages, or this long after the last one.
+# By default a batch starts at this many messages, or this long after the last one.
 BATCH_MESSAGES = 1000
 BATCH_DELAY = "180s"
 POLL = "5 seconds"
 
 
 def kafka_messages(
-    spark: SparkSession, servers: str, topics: list[str], largest_batch: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topics: list[str],
+    smallest_batch: int = BATCH_MESSAGES,
+    longest_wait: str = BATCH_DELAY,
+    largest_batch: int | None = None,
 ) -> DataFrame:
-    """Messages of several topics from the earliest on; `largest_batch` cuts a long backlog into batches."""
+    """Messages of several topics from the earliest on.
+
+    A busy topic wants a larger `smallest_batch`, as every batch writes files; `largest_batch` cuts a backlog.
+    """
     reader = spark.readStream.format("kafka")
     if largest_batch:
         reader = reader.option("maxOffsetsPerTrigger", largest_batch)
@@ -29,8 +37,8 @@ def kafka_messages(
         reader.option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "earliest")
-        .option("minOffsetsPerTrigger", BATCH_MESSAGES)
-        .option("maxTriggerDelay", BATCH_DELAY)
+        .option("minOffsetsPerTrigger", smallest_batch)
+        .option("maxTriggerDelay", longest_wait)
         .load()
     )
 
