@@ -124,11 +124,15 @@ def in_previous_day(now: datetime) -> Days:
 # writes has a log of its committed files; it is read through that log, which needs no listing.
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+def is_streamed(spark: SparkSession, root: str) -> bool:
+    return path_exists(spark, f"{root}/_spark_metadata")
+
+
 def _scan(
     spark: SparkSession,
     schema: T.StructType,
@@ -144,9 +148,9 @@ def _scan(
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", ignore_corrupt)
     )
-    if _exists(spark, f"{base}/_spark_metadata"):
+    if is_streamed(spark, base):
         df = reader.parquet(base)
-    elif not _exists(spark, base):
+    elif not path_exists(spark, base):
         raise ValueError(f"no such layer: {base}")
     else:
         path = "/".join(part for part in (base, below, window.folders() if window else "") if part)
@@ -207,6 +211,8 @@ def replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
 
 
 def append_raw(rows: DataFrame, root: str) -> None:
-    """Add rows to a raw layer that is filled by batches only."""
+    """Add rows to a raw layer that is filled by batches only: readers of a streamed one would not see them."""
+    if is_streamed(rows.sparkSession, root):
+        raise ValueError(f"{root} is written by a stream")
     parts = ["source", *HOUR_PARTS]
     gathered(rows, parts).write.mode("append").partitionBy(*parts).parquet(root)

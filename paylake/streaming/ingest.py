@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paylake.operators.envelope import count_outcomes, read_envelopes, rejected_rows, valid_rows
 from paylake.schemas import HOUR_PARTS
+from paylake.sources.layers import is_streamed, path_exists
 from paylake.sources.streams import POLL
 
 OUTCOMES = "outcomes"
@@ -27,6 +28,11 @@ def start_ingest(
     messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str, drain: bool = False
 ) -> list[StreamingQuery]:
     """Start both queries; `drain` takes what is available and ends."""
+    spark = messages.sparkSession
+    for root in (raw_root, rejects_root):
+        # The stream's log would hide the files that are there.
+        if path_exists(spark, root) and not (is_streamed(spark, root) or path_exists(spark, checkpoints)):
+            raise ValueError(f"{root} is filled by batches")
     envelopes = read_envelopes(messages)
     stored = (
         valid_rows(count_outcomes(envelopes, OUTCOMES))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paylake.operators import metrics
 from paylake.operators.envelope import read_envelopes, valid_rows
+from paylake.plans.jobs import ingest_batch
 from paylake.sources.layers import scan_raw
 from paylake.sources.streams import file_messages
 from paylake.streaming.ingest import drain_ingest, start_ingest
@@ -76,6 +77,18 @@ def test_continuous_run_can_be_stopped(spark, folder):
     assert stored(spark, folder) == [1, 2]
 
 
+def test_a_layer_has_one_kind_of_writer(spark, folder):
+    put(folder, "1.txt", [text(1)])
+    lines = spark.read.text(f"{folder}/in")
+    drain(spark, folder)
+    with pytest.raises(ValueError, match="written by a stream"):
+        ingest_batch(lines, f"{folder}/raw")
+    ingest_batch(lines, f"{folder}/other")
+    with pytest.raises(ValueError, match="filled by batches"):
+        drain_ingest(file_messages(spark, f"{folder}/in"), f"{folder}/other", f"{folder}/r", f"{folder}/c")
+    assert scan_raw(spark, f"{folder}/other").count() == 1
+
+
 def test_ingest_does_not_shuffle(spark, folder):
     put(folder, "1.txt", [text(1)])
     rows = valid_rows(read_envelopes(spark.read.text(f"{folder}/in")))
