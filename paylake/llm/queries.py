@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from paylake.llm import quality
+from paylake.llm import mixing, quality
 
 
 def queries() -> dict:
-    return {"op1_quality": quality.op1_quality}
+    return {"op1_quality": quality.op1_quality, "op6_mixing": mixing.op6_mixing}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": mixing.ORACLE}
