@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from paylake.llm import mixing, quality
+from paylake.llm import mixing, quality, warc
 
 
 def queries() -> dict:
-    return {"op1_quality": quality.op1_quality, "op6_mixing": mixing.op6_mixing}
+    return {"op1_quality": quality.op1_quality, "op6_mixing": mixing.op6_mixing, "op10_warc": warc.op10_warc}
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE}
+    return {"op6_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE}
