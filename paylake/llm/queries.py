@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from paylake.llm import mixing, packing, quality, warc
+from paylake.llm import decontaminate, mixing, packing, quality, warc
 
 
 def queries() -> dict:
-    return {"op1_quality": quality.op1_quality, "op3_packing": packing.op3_packing, "op6_mixing": mixing.op6_mixing, "op10_warc": warc.op10_warc}
+    return {"op1_quality": quality.op1_quality, "op3_packing": packing.op3_packing, "op5_decontamination": decontaminate.op5_decontamination, "op6_mixing": mixing.op6_mixing, "op10_warc": warc.op10_warc}
 
 
 def oracles() -> dict[str, str]:
