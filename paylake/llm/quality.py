@@ -131,14 +131,15 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], shares: tuple[float, f
     return QualityModel((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel:
-    """Train on (id, text, label); ids order the sample by hash, so it is the same in every run.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel:
+    """Train on docs (id, text) that labels (id, label) mark. The hash of the id orders the sample, the same in every run.
 
-    Rows without a label of 0 or 1 or without an id are not used; of an id labelled twice the smaller label counts. The
-    driver holds at most `max_rows` documents as bucket counts, and a document has no more than `BUCKETS` of those.
+    Rows without a label of 0 or 1 or without an id are not used; of an id labelled twice the smaller label counts, and of
+    one with several texts the first in order. Only ids meet to draw the sample, which then goes to the documents: at most
+    `max_rows` ids. The driver holds the sample as bucket counts, and a document has no more than `BUCKETS` of those.
     """
-    known = labelled.filter("label IN (0, 1) AND id IS NOT NULL")
-    ids = known.groupBy("id").agg(F.min("label").cast("int").alias("label"))
+    known = labels.filter("label IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.min("label").cast("int").alias("label"))
+    ids = known.join(docs.select("id"), "id", "left_semi")
     order = [F.xxhash64("id"), F.col("id")]
     shares = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}
     picked = [ids.filter(F.col("label") == y).orderBy(*order).limit(max_rows // 2) for y in (0, 1)]
@@ -154,7 +155,7 @@ def fit(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel:
                 made.append((found.astype("<i4").tobytes(), (n / max(1, n.sum())).astype("<f4").tobytes()))
             yield pd.DataFrame(made, columns=["ids", "share"])
 
-    texts = known.select("id", "text").join(sample.hint("broadcast"), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    texts = docs.join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     rows = sorted(
         (r["id"], r["label"], bytes(r["f"]["ids"]), bytes(r["f"]["share"]))
         for r in texts.select("id", "label", counted("text").alias("f")).collect()
@@ -182,7 +183,7 @@ def with_score(docs: DataFrame, model: QualityModel, text: str = "text", score:
 def fit_tables(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Train on the labelled documents that are not held out."""
     known = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")).filter(~held_out(F.col("id")))
-    return fit(docs.select(F.col("doc_id").alias("id"), "text").join(known, "id"))
+    return fit(docs.select(F.col("doc_id").alias("id"), "text"), known)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
