@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from paylake.llm import cover, decontaminate, mixing, packing, quality, warc
+from paylake.llm import chat, cover, decontaminate, mixing, packing, quality, warc
 
 
 def queries() -> dict:
-    return {"op1_quality": quality.op1_quality, "op3_packing": packing.op3_packing, "op5_decontamination": decontaminate.op5_decontamination, "op6_mixing": mixing.op6_mixing, "op9_embeddings": cover.op9_embeddings, "op10_warc": warc.op10_warc}
+    return {"op1_quality": quality.op1_quality, "op3_packing": packing.op3_packing, "op4_chat": chat.op4_chat, "op5_decontamination": decontaminate.op5_decontamination, "op6_mixing": mixing.op6_mixing, "op9_embeddings": cover.op9_embeddings, "op10_warc": warc.op10_warc}
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE, "op9_embeddings": cover.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op4_chat": chat.ORACLE, "op6_mixing": mixing.ORACLE, "op9_embeddings": cover.ORACLE, "op10_warc": warc.ORACLE}
