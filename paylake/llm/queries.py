@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from paylake.llm import chat, cover, decontaminate, jaccard, mixing, packing, pii, quality, warc
+from paylake.llm import chat, cover, decontaminate, jaccard, mixing, packing, pii, quality, substrings, warc
 
 
 def queries() -> dict:
-    return {"op1_quality": quality.op1_quality, "op2_pii": pii.op2_pii, "op3_packing": packing.op3_packing, "op4_chat": chat.op4_chat, "op5_decontamination": decontaminate.op5_decontamination, "op6_mixing": mixing.op6_mixing, "op8_jaccard": jaccard.op8_jaccard, "op9_embeddings": cover.op9_embeddings, "op10_warc": warc.op10_warc}
+    return {"op1_quality": quality.op1_quality, "op2_pii": pii.op2_pii, "op3_packing": packing.op3_packing, "op4_chat": chat.op4_chat, "op5_decontamination": decontaminate.op5_decontamination, "op6_mixing": mixing.op6_mixing, "op7_substrings": substrings.op7_substrings, "op8_jaccard": jaccard.op8_jaccard, "op9_embeddings": cover.op9_embeddings, "op10_warc": warc.op10_warc}
 
 
 def oracles() -> dict[str, str]:
