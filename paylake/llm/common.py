@@ -27,6 +27,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until no column of df starts with it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
+
+
 def held_out(doc_id) -> F.col:
     """Rows that no training sees: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paylake.llm.common import staged, table
+from paylake.llm.common import staged, table, unused
 
 LEVELS = ("domain", "lang", "source")
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -107,19 +107,21 @@ def mix(
     levels: name and value of each level, top first; null is a value like any other. Documents without tokens count for
     nothing and come with the prefix. Ties: equal ids share a key. Empty tables give no rows. Other columns pass unread.
     """
-    names = [f"_mix_{i}_{name}" for i, name in enumerate(levels)]
+    mine = unused(docs, "_mix")
+    names = [f"{mine}_{i}_{name}" for i, name in enumerate(levels)]
     leaf = {n: F.coalesce(v.cast("string"), F.lit("")) for n, v in zip(names, levels.values(), strict=True)}
     seed = options.get("seed", SEED)
     counted = docs.select(F.col(doc_id).alias("doc_id"), *(v.alias(n) for n, v in leaf.items()), tokens.alias("tokens"))
     weights = options.pop("weights", WEIGHTS)
     weights = {n: weights.get(level, {}) for n, level in zip(names, levels, strict=True)}
     plan = selection(staged(counted, "mix-counts"), levels=names, weights=weights, **options)
-    plan = plan.select(*names, F.col("full").alias("_mix_full"), F.col("cut_range").alias("_mix_range"), F.col("cut_key").alias("_mix_cut"))
-    key = epoch_key(F.col(doc_id), F.col("_mix_full") + 1, seed)
-    more = F.coalesce(F.substring(key, 1, 3) < F.col("_mix_range"), F.lit(False)) | F.coalesce(key <= F.col("_mix_cut"), F.lit(False))
-    found = docs.withColumns(leaf).join(plan, names).withColumn("_mix_n", F.col("_mix_full") + more.cast("long"))
-    keep = [c for c in docs.columns if c != epoch]
-    return found.filter("_mix_n > 0").select(*keep, F.explode(F.sequence(F.lit(1).cast("long"), "_mix_n")).alias(epoch))
+    full, bound, last, times = (f"{mine}_{c}" for c in ("full", "range", "cut", "times"))
+    plan = plan.select(*names, F.col("full").alias(full), F.col("cut_range").alias(bound), F.col("cut_key").alias(last))
+    key = epoch_key(F.col(doc_id), F.col(full) + 1, seed)
+    more = F.coalesce(F.substring(key, 1, 3) < F.col(bound), F.lit(False)) | F.coalesce(key <= F.col(last), F.lit(False))
+    found = docs.withColumns(leaf).join(plan, names).withColumn(times, F.col(full) + more.cast("long"))
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != epoch]
+    return found.filter(F.col(times) > 0).select(*keep, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(epoch))
 
 
 def document_levels() -> dict[str, Column]:
