@@ -169,11 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
 
 def with_score(docs: DataFrame, model: QualityModel, text: str = "text", score: str = "score") -> DataFrame:
     """Add the score of each whole text. Null and empty texts get the score of no evidence, the bias alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = sent.value
+        model = QualityModel(*sent.value)
         for batch in batches:
             yield pd.Series([model.score(t) for t in batch], dtype="float64")
 
