@@ -162,7 +162,7 @@ def fit(found: DataFrame, trees: int = TREES, base: str = "pii_base", candidates
     """Learn from documents with candidates. A candidate that equals a base span of its kind is a positive; one that
     overlaps none, or equals one of another kind, a negative; others are left out. Half of the documents grow the trees, the
     rest calibrate. All candidates count: they are summed per distinct features first, whose number the bins bound, so a
-    round of boosting reads that table alone, and one row per node reaches the driver.
+    round of boosting reads that table alone, and one row per node reaches the driver. Without positives nothing is added.
     """
     one = found.select(
         (F.pmod(F.xxhash64(doc_id), F.lit(2)) == 0).alias("grow"), F.col(base).alias("b"), F.explode(candidates).alias("c")
@@ -174,9 +174,9 @@ def fit(found: DataFrame, trees: int = TREES, base: str = "pii_base", candidates
     rows = staged(one.filter("y IS NOT NULL").groupBy("grow", "features", "y").agg(F.count("*").alias("n")), "pii-features")
     grow = rows.filter("grow")
     sums = grow.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("y")).first()
-    if not sums["n"] or sums["y"] in (0, sums["n"]):
+    if not sums["y"]:
         return PiiModel()
-    rate = sums["y"] / sums["n"]
+    rate = min(sums["y"] / sums["n"], 0.999)
     model = PiiModel(bias=log(rate / (1 - rate)))
     for _ in range(trees):
         p = model.score(F.col("features"))

@@ -1,0 +1,68 @@
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from paylake.llm import pii
+from tests.llm.helpers import base_spans, documents
+
+TRAPS = [
+    None, "", "plain words", "a@b.c d@e.f", "a@b.c.d@e.f x.@y.z", "a@b a@.b @c.d a..b%@x-y.z-", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3 0001.02.3.255",
+    "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 12", "+1 (555) 123-4567 +1 2 +123456789012345678 ++49 30 1234567 +4 9-",
+    "é😀 a@b.co ü +49 30 123 456 78 😀1.1.1.1", "call +1 (286) 555-5136 4111111111111111 now", "x" * 5000 + "@", "1 " * 3000, "9" * 4000, "+" * 500 + "1",
+    "a.b@" * 300 + "c.d", "1." * 2000, "a\x01b@c.de\n+12 345 678 901\t5.5.5.5",
+]
+
+
+def _spans(spark, texts):
+    docs = documents(spark, list(enumerate(texts)))
+    found = pii.with_candidates(docs)
+    return pii.with_spans(found, pii.fit(found)), docs
+
+
+def test_base_spans_against_plain_patterns(spark):
+    rng = random.Random(1)
+    bits = ["a@b.co", "1.2.3.4", "4111 1111 1111 1111", "+49 30 1234567", " ", ".", "-", "@", "+", "(5)", "7", "x", "é", "😀", "\n", "12", "300.1.1.1"]
+    texts = TRAPS + ["".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(400)]
+    found, _ = _spans(spark, texts)
+    got = {r["doc_id"]: (r["b"], r["s"]) for r in found.select("doc_id", pii.listed(F.col("pii_base")).alias("b"), pii.listed(F.col("pii_spans")).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        want = base_spans(text)
+        assert got[i][0] == ",".join(want), text
+        assert set(want) <= set(got[i][1].split(","))
+
+
+def test_a_number_run_together_is_found_by_its_look(spark):
+    rng = random.Random(2)
+    luhn = lambda body: body + str((10 - sum(sum(divmod(int(d) * (2 - i % 2), 10)) for i, d in enumerate(reversed(body)))) % 10)
+    card = lambda: luhn("4" + "".join(rng.choices("0123456789", k=14)))
+    phone = lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+    texts = [f"some words {card() if i % 2 else phone()} and more" for i in range(600)] + [f"order {rng.randint(10**6, 10**7)} of 3.5 in 2024" for _ in range(200)]
+    joined = f"reach {phone()} {card()} there"
+    found, _ = _spans(spark, [*texts, joined])
+    spans = {r["doc_id"]: r["s"] for r in found.select("doc_id", pii.listed(F.col("pii_spans")).alias("s")).collect()}
+    assert base_spans(joined) == [] and spans[800] == "phone:6:23,card:24:40"
+    assert all(not spans[i] for i in range(600, 800))
+
+
+def test_redaction_replaces_spans(spark):
+    found, _ = _spans(spark, ["to é a@b.co, 1.2.3.4", None, "+49 30 1234567"])
+    rows = found.select("doc_id", pii.redacted(F.coalesce("text", F.lit("")), F.col("pii_spans")).alias("t")).collect()
+    assert {r["doc_id"]: r["t"] for r in rows} == {0: "to é [EMAIL], [IP]", 1: "", 2: "[PHONE]"}
+
+
+def test_empty_tables_clashing_names_and_repeated_rows(spark):
+    docs = documents(spark, [(1, "a@b.co"), (1, "a@b.co"), (None, "1.1.1.1")]).withColumn("kind", F.lit(1)).withColumn("start", F.lit("s"))
+    found = pii.with_candidates(docs)
+    rows = pii.with_spans(found, pii.fit(found)).collect()
+    assert sorted(len(r["pii_spans"]) for r in rows) == [1, 1, 1] and {r["start"] for r in rows} == {"s"}
+    none = pii.with_candidates(docs.limit(0))
+    assert pii.with_spans(none, pii.fit(none)).count() == 0
+
+
+def test_plans_and_digests(spark):
+    found, _ = _spans(spark, ["a@b.co"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+    row = found.select(F.sha2(pii.listed(F.col("pii_base")).cast("binary"), 256).alias("d")).first()
+    assert row["d"] == hashlib.sha256(b"email:0:6").hexdigest()
