@@ -19,7 +19,7 @@ def queries() -> dict:
 
 
 def oracles() -> dict[str, str]:
-    return lake_queries.ORACLES | {name: entry.oracle_text() for name, entry in SQL.items()}
+    return lake_queries.ORACLES | {name: entry.oracle_text() for name, entry in SQL.items() if entry.exact}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

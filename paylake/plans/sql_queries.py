@@ -30,6 +30,8 @@ class SqlQuery:
     tables: tuple[str, ...]
     text: str
     oracle: str | None = None
+    #: Estimates and samples are an engine's own; their tests check bounds instead.
+    exact: bool = True
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -62,8 +64,8 @@ _DAILY = f"""WITH daily AS (
 SQL: dict[str, SqlQuery] = {}
 
 
-def _sql(name: str, tables: str, text: str, oracle: str | None = None) -> None:
-    SQL[name] = SqlQuery(tuple(tables.split()), text, oracle)
+def _sql(name: str, tables: str, text: str, oracle: str | None = None, exact: bool = True) -> None:
+    SQL[name] = SqlQuery(tuple(tables.split()), text, oracle, exact)
 
 
 # S1 projection and filter
@@ -83,15 +85,15 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 GROUP BY n_name, o_orderpriority""")
 _sql("sql_join_left", "customer orders", f"""
 SELECT c_mktsegment, count(*) AS n, count(o_orderkey) AS matched, {money('o_totalprice')} AS total
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey
 GROUP BY c_mktsegment""")
 _sql("sql_join_right", "orders customer", """
 SELECT c_custkey, count(o_orderkey) AS n
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') o RIGHT JOIN customer ON o_custkey = c_custkey
+FROM orders RIGHT JOIN customer ON o_custkey = c_custkey
 GROUP BY c_custkey""")
 _sql("sql_join_full", "fk st", """
 SELECT coalesce(f.day, s.day) AS day, f.n AS card_payments, s.n AS intents FROM
-  (SELECT CAST(CAST(received_at AS DATE) AS STRING) AS day, CAST(count(*) AS DOUBLE) AS n FROM fk WHERE amount > 300 GROUP BY 1) f
+  (SELECT CAST(CAST(received_at AS DATE) AS STRING) AS day, CAST(count(*) AS DOUBLE) AS n FROM fk GROUP BY 1) f
 FULL JOIN
   (SELECT CAST(CAST(received_at AS DATE) AS STRING) AS day, CAST(count(*) AS DOUBLE) AS n FROM st GROUP BY 1) s
 ON f.day = s.day""")
@@ -114,8 +116,8 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey
 GROUP BY o_orderpriority""")
 _sql("sql_theta_join", "fk", f"""
 SELECT band, count(*) AS n, {money('amount')} AS total
-FROM fk JOIN (VALUES ('small', 0, 20), ('medium', 20, 100), ('large', 100, 1000000)) AS bands(band, low, high)
-  ON amount >= low AND amount < high
+FROM fk JOIN (VALUES ('small', NULL, 20), ('medium', 20, 100), ('large', 100, NULL)) AS bands(band, low, high)
+  ON (low IS NULL OR amount >= low) AND (high IS NULL OR amount < high)
 GROUP BY band""")
 
 # S6 aggregates
@@ -134,16 +136,16 @@ SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_pa
 FROM lineitem GROUP BY l_returnflag""")
 _sql("sql_select_distinct", "orders", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
 _sql("sql_approx_distinct", "lineitem", """
-SELECT l_returnflag, count(DISTINCT l_partkey) AS parts,
-       abs(approx_count_distinct(l_partkey) - count(DISTINCT l_partkey)) <= 0.15 * count(DISTINCT l_partkey) AS close
-FROM lineitem GROUP BY l_returnflag""",
-     "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, TRUE AS close FROM lineitem GROUP BY l_returnflag")
+SELECT l_returnflag, approx_count_distinct(l_partkey, 0.02) AS parts FROM lineitem GROUP BY l_returnflag""", exact=False)
 
 # S8 grouping sets
-_GROUPED = f"""
+# Every grouping is made from the finest one, so rows are not multiplied before they are combined.
+_GROUPED = """
 SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_returnflag) AS INT) AS no_flag,
-       CAST(GROUPING(l_linestatus) AS INT) AS no_status, count(*) AS n, {money('l_extendedprice')} AS total
-FROM lineitem GROUP BY """
+       CAST(GROUPING(l_linestatus) AS INT) AS no_status, CAST(sum(c) AS BIGINT) AS n, CAST(sum(s) AS DOUBLE) AS total
+FROM (SELECT l_returnflag, l_linestatus, count(*) AS c, sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS s
+      FROM lineitem GROUP BY l_returnflag, l_linestatus) AS finest
+GROUP BY """
 _sql("sql_grouping_sets", "lineitem", _GROUPED + "GROUPING SETS ((l_returnflag), (l_linestatus), ())")
 _sql("sql_cube", "lineitem", _GROUPED + "CUBE (l_returnflag, l_linestatus)")
 _sql("sql_rollup", "lineitem", _GROUPED + "ROLLUP (l_returnflag, l_linestatus)")
@@ -253,15 +255,15 @@ SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month,
        o_orderdate + INTERVAL 1 MONTH AS due, CAST(dayofyear(o_orderdate) AS INT) AS day_of_year
 FROM orders""")
 _sql("sql_series", "orders", """
-SELECT CAST(month AS STRING) AS month, count(o_orderkey) AS n
+WITH monthly AS (SELECT CAST(trunc(o_orderdate, 'MONTH') AS DATE) AS filled, count(*) AS n FROM orders GROUP BY 1)
+SELECT CAST(month AS STRING) AS month, coalesce(n, 0) AS n
 FROM (SELECT explode(sequence(first, last, INTERVAL '1' MONTH)) AS month FROM (
-  SELECT CAST(trunc(min(o_orderdate), 'MONTH') AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last FROM orders)) m
-LEFT JOIN orders ON CAST(trunc(o_orderdate, 'MONTH') AS DATE) = month AND o_totalprice > 490000
-GROUP BY month""", """
+  SELECT min(filled) AS first, max(filled) AS last FROM monthly)) m
+LEFT JOIN monthly ON filled = month""", """
 SELECT CAST(CAST(month AS DATE) AS STRING) AS month, count(o_orderkey) AS n
 FROM (SELECT unnest(generate_series(first, last, INTERVAL 1 MONTH)) AS month FROM (
   SELECT date_trunc('month', min(o_orderdate)) AS first, max(o_orderdate) AS last FROM orders)) m
-LEFT JOIN orders ON date_trunc('month', o_orderdate) = month AND o_totalprice > 490000
+LEFT JOIN orders ON date_trunc('month', o_orderdate) = month
 GROUP BY month""")
 
 # S16 numbers and casts
@@ -315,16 +317,17 @@ SELECT o_orderpriority, max_by(o_custkey, o_orderkey) AS newest, min_by(o_custke
 FROM orders GROUP BY o_orderpriority""")
 _sql("sql_listagg", "events", """
 SELECT user_id, listagg(event_type, ',') WITHIN GROUP (ORDER BY event_type) AS kinds
-FROM (SELECT DISTINCT user_id, event_type FROM events WHERE value > 100) GROUP BY user_id""", """
+FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id""", """
 SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS kinds
-FROM (SELECT DISTINCT user_id, event_type FROM events WHERE value > 100) GROUP BY user_id""")
+FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id""")
 
 # S20 pivot
 _sql("sql_pivot", "events", """
 SELECT * FROM (SELECT user_id, event_type FROM events)
-PIVOT (count(1) FOR event_type IN ('click' AS clicks, 'view' AS views, 'purchase' AS purchases))""", """
+PIVOT (count(1) FOR event_type IN ('click' AS clicks, 'view' AS views, 'purchase' AS purchases, 'error' AS errors, 'signup' AS signups))""", """
 SELECT user_id, count(*) FILTER (event_type = 'click') AS clicks, count(*) FILTER (event_type = 'view') AS views,
-       count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY user_id""")
+       count(*) FILTER (event_type = 'purchase') AS purchases, count(*) FILTER (event_type = 'error') AS errors,
+       count(*) FILTER (event_type = 'signup') AS signups FROM events GROUP BY user_id""")
 _sql("sql_unpivot", "part", """
 SELECT * FROM (SELECT p_brand, min(p_size) AS smallest, max(p_size) AS largest FROM part GROUP BY p_brand)
 UNPIVOT (size FOR measure IN (smallest, largest))""")
@@ -343,8 +346,4 @@ SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 2 HOUR AS ended, count(*)
 
 # S22 sampling
 _sql("sql_sample", "lineitem", """
-SELECT a.l_returnflag, a.n, s.n BETWEEN a.n * 0.05 AND a.n * 0.15 AS about_a_tenth
-FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag) a
-JOIN (SELECT l_returnflag, count(*) AS n FROM lineitem TABLESAMPLE (10 PERCENT) REPEATABLE (42) GROUP BY l_returnflag) s
-  ON a.l_returnflag = s.l_returnflag""",
-     "SELECT l_returnflag, count(*) AS n, TRUE AS about_a_tenth FROM lineitem GROUP BY l_returnflag")
+SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem TABLESAMPLE (10 PERCENT) REPEATABLE (42)""", exact=False)
