@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 
 _ALIAS = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
@@ -11,46 +14,120 @@ _ALIAS = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
 # Pieces of a text that are not code: quoted text, quoted names and comments.
 _QUOTED = r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
 _NOT_CODE = re.compile(_QUOTED, re.S)
-_HIVE = r"(?:,\s*hive_partitioning\s*=\s*(?:true|1)\s*)?"  # what a path relation always does
-_READ_CALL = re.compile(rf"\bread_parquet\s*\(\s*'((?:[^'])*)'\s*{_HIVE}\)|({_QUOTED})", re.S | re.I)
-
-# These call code of the JVM from a SELECT.
-_JVM_CALL = re.compile(r"\b(reflect|java_method|try_reflect)\s*`?\s*\(", re.I)
+_PATH = r"'(?:[^'])*'"
+_READ_CALL = re.compile(
+    rf"\bread_parquet\s*\(\s*({_PATH}|\[\s*{_PATH}(?:\s*,\s*{_PATH})*\s*\])((?:\s*,\s*\w+\s*=\s*\w+)*)\s*\)|({_QUOTED})", re.S | re.I
+)
 
 # Spark reads these keywords as a table alias and would run a plain join.
 _OTHER_JOIN = re.compile(r"\b(asof|positional)\s+((left|right|full|inner)\s+)?(outer\s+)?join\b", re.I)
 
-
-def _code_of(sql: str, keep_names: bool = False) -> str:
-    return _NOT_CODE.sub(lambda m: m.group().strip("`") if keep_names and m.group()[0] == "`" else " ", sql)
+# What an analysed query must not hold, by class: programs, calls into the JVM, and anything that is not read as Parquet.
+_PROGRAMS = ("ScriptTransformation", "ScriptInputOutputSchema")
+_JVM_CALLS = ("CallMethodViaReflection", "TryReflect", "Reflect")
+_OTHER_RELATIONS = ("DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingRelation", "StreamingRelationV2", "HiveTableRelation")
 
 
 def table_path(path: str) -> str:
     """A quoted Parquet relation. A trailing `/**/*.parquet` means the whole tree with its partitions."""
-    tree = re.sub(r"/\*\*(/\*(\.parquet)?)?\Z", "", path)
-    return "parquet.`" + tree.replace("`", "``") + "`"
-
-
-def _with_paths(sql: str) -> str:
-    """`read_parquet('path')` in table position becomes a path relation."""
-    return _READ_CALL.sub(lambda m: table_path(m.group(1)) if m.group(1) is not None else m.group(2), sql)
+    return "parquet.`" + _tree(path).replace("`", "``") + "`"
+
+
+def _tree(path: str) -> str:
+    return re.sub(r"/\*\*(/\*(\.parquet)?)?\Z", "", path)
+
+
+def _base(tree: str) -> str:
+    """The folder above the first pattern or partition of a path, from where partition columns are read."""
+    parts = tree.split("/")
+    first = next((i for i, part in enumerate(parts) if re.search(r"[*?\[{]|=", part)), None)
+    return tree if first is None else "/".join(parts[:first])
+
+
+def _read(spark: SparkSession, paths: list[str], options: dict[str, str]) -> DataFrame:
+    """Paths of one call. `union_by_name` merges the columns of all files; partitions are always columns."""
+    unknown = set(options) - {"union_by_name", "hive_partitioning"}
+    if unknown or options.get("hive_partitioning", "true") not in ("true", "1"):
+        raise ValueError("read_parquet takes union_by_name, and hive_partitioning as true")
+    trees = [_tree(path) for path in paths]
+    bases = {_base(tree) for tree in trees}
+    reader = spark.read.option("mergeSchema", options.get("union_by_name", "false") in ("true", "1"))
+    if len(bases) == 1 and bases != set(trees):
+        reader = reader.option("basePath", bases.pop())
+    return reader.parquet(*trees)
+
+
+def _with_paths(spark: SparkSession, sql: str) -> tuple[str, list[str]]:
+    """`read_parquet(...)` in table position becomes a view of its own; returns the views too."""
+    views: list[str] = []
+
+    def replaced(match: re.Match) -> str:
+        if match.group(1) is None:
+            return match.group(3)
+        options = dict(re.findall(r"(\w+)\s*=\s*(\w+)", match.group(2).lower()))
+        views.append(f"paths_{uuid.uuid4().hex}")
+        _read(spark, re.findall(r"'([^']*)'", match.group(1)), options).createOrReplaceTempView(views[-1])
+        return views[-1]
+
+    return _READ_CALL.sub(replaced, sql), views
+
+
+def _each(seq) -> Iterator:
+    iterator = seq.iterator()
+    while iterator.hasNext():
+        yield iterator.next()
+
+
+def _nodes(gateway, plan) -> Iterator:
+    """Every plan and expression node of an analysed plan, those of subqueries and common tables included."""
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        waiting.extend(_each(node.children()))
+        if is_instance_of(gateway, node, "org.apache.spark.sql.catalyst.plans.QueryPlan"):
+            waiting.extend(_each(node.expressions()))
+        elif is_instance_of(gateway, node, "org.apache.spark.sql.catalyst.expressions.PlanExpression"):
+            waiting.append(node.plan())
+
+
+def _refuse(gateway, plan) -> None:
+    """Look at what was understood, not at how it was written: names can be spelled or computed in many ways."""
+    for node in _nodes(gateway, plan):
+        kind = node.getClass().getSimpleName()
+        if kind in _PROGRAMS:
+            raise ValueError("a query cannot start programs")
+        if kind in _JVM_CALLS:
+            raise ValueError("a query cannot call JVM code")
+        if kind in _OTHER_RELATIONS:
+            raise ValueError("only Parquet tables can be read")
+        if kind == "LogicalRelation":
+            relation = node.relation()
+            if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat":
+                raise ValueError("only Parquet tables can be read")
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:
     """Run one SELECT or WITH text. The result is a DataFrame; nothing is collected here.
 
     The text is placed in parentheses after `SELECT * FROM`, where only a query is grammatical: a write, a
-    setting or a second statement is refused by the parser before anything runs.
+    setting or a second statement is refused by the parser. What the analyser made of it is then searched for
+    programs, JVM calls and files of other formats, before anything runs.
     """
     text = sql.strip().rstrip(";").rstrip()
-    code = _code_of(text)
+    code = _NOT_CODE.sub(" ", text)
     if not re.match(r"\s*\(*\s*(select|with)\b", code, re.I):
-        raise ValueError("only SELECT or WITH queries are allowed")
-    if _JVM_CALL.search(_code_of(text, keep_names=True)):
-        raise ValueError("functions that call JVM code are not allowed")
+        raise ValueError("the gate takes one SELECT or WITH text")
     if _OTHER_JOIN.search(code):
         raise ValueError("ASOF and POSITIONAL joins are not part of this dialect; see asof_join")
-    return spark.sql(f"SELECT * FROM (\n{_with_paths(text)}\n)")
+    text, views = _with_paths(spark, text)
+    try:
+        result = spark.sql(f"SELECT * FROM (\n{text}\n)")
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)
+    _refuse(spark.sparkContext._gateway, result._jdf.queryExecution().analyzed())
+    return result
 
 
 def register_alias(spark: SparkSession, name: str, path: str) -> None:

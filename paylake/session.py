@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Merge sessions of one key map-side, so a hot key reaches the shuffle pre-aggregated.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Partition values are text wherever they are read, so `02` does not become 2.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Recursive queries end when a step adds no rows, not at a fixed size or depth.

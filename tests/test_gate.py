@@ -33,11 +33,43 @@ def test_hidden_statements_are_refused_before_anything_runs(spark, sql):
 @pytest.mark.parametrize("call", [
     "reflect('java.lang.System', 'getProperty', 'user.home')", "java_method('java.lang.System', 'exit', 0)",
     "try_reflect('java.lang.System', 'lineSeparator')", "`reflect`('java.lang.System', 'lineSeparator')",
-    "reflect /* c */ ('java.lang.System', 'lineSeparator')",
+    "reflect /* c */ ('java.lang.System', 'lineSeparator')", "IDENTIFIER('reflect')('java.lang.System', 'lineSeparator')",
+    "IDENTIFIER('re' || 'flect')('java.lang.System', 'lineSeparator')", "upper(reflect('java.lang.System', 'lineSeparator'))",
 ])
-def test_jvm_calls_are_refused(spark, call):
+@pytest.mark.parametrize("form", [
+    "SELECT {0}", "WITH a AS (SELECT {0} AS x) SELECT 1 FROM a", "SELECT (SELECT {0})", "SELECT 1 WHERE EXISTS (SELECT {0} WHERE true)",
+    "SELECT * FROM range(1), LATERAL (SELECT {0} AS x)", "SELECT id FROM range(2) ORDER BY {0}",
+])
+def test_jvm_calls_are_refused(spark, call, form):
+    with pytest.raises((ValueError, AnalysisException), match="JVM|determin"):
+        run_query(spark, form.format(call))
+
+
+def test_a_view_does_not_hide_a_call(spark):
+    spark.sql("CREATE OR REPLACE TEMP VIEW calls AS SELECT reflect('java.lang.System', 'lineSeparator') AS x")
     with pytest.raises(ValueError, match="JVM"):
-        run_query(spark, f"SELECT {call}")
+        run_query(spark, "SELECT 1 FROM calls")
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT TRANSFORM(id) USING 'cat' AS (x STRING) FROM range(3)", "SELECT * FROM (FROM range(2) MAP id USING 'cat' AS (x STRING))",
+    "SELECT * FROM (FROM range(2) REDUCE id USING 'cat' AS (x STRING))", "WITH a AS (SELECT TRANSFORM(id) USING 'cat' AS (x STRING) FROM range(3)) SELECT * FROM a",
+    "SELECT (SELECT max(x) FROM (SELECT TRANSFORM(id) USING 'cat' AS (x STRING) FROM range(3)))",
+])
+def test_programs_are_refused(spark, sql):
+    with pytest.raises(ValueError, match="programs"):
+        run_query(spark, sql)
+
+
+@pytest.mark.parametrize("form", ["text", "csv", "json", "orc", "binaryFile"])
+def test_only_parquet_is_read(spark, folder, form):
+    if form == "orc":
+        spark.range(1).write.orc(f"{folder}/f")
+    else:
+        spark.range(1).selectExpr("to_json(struct(id)) AS value").write.text(f"{folder}/f")
+    for sql in (f"SELECT * FROM {form}.`{folder}/f`", f"SELECT 1 WHERE 1 IN (SELECT 1 FROM {form}.`{folder}/f`)"):
+        with pytest.raises((ValueError, AnalysisException), match="Parquet|INFER"):
+            run_query(spark, sql)
 
 
 @pytest.mark.parametrize("sql", [
@@ -108,3 +140,18 @@ def test_alias_names(spark, stored, name):
 def test_alias_path_cannot_leave_its_quotes(spark):
     with pytest.raises(PySparkException):
         register_alias(spark, "safe", "x` UNION SELECT 1 --")
+
+
+def test_path_lists_and_merged_columns(spark, folder):
+    spark.sql("SELECT 1 AS a").write.parquet(f"{folder}/x/source=p/day=01")
+    spark.sql("SELECT 2 AS a, 'n' AS b").write.parquet(f"{folder}/x/source=q/day=02")
+    one, two = f"{folder}/x/source=p/**/*.parquet", f"{folder}/x/source=q/**/*.parquet"
+    rows = run_query(spark, f"SELECT a, source, day FROM read_parquet(['{one}', '{two}'], union_by_name = true) ORDER BY a").collect()
+    assert [tuple(r) for r in rows] == [(1, "p", "01"), (2, "q", "02")]
+    rows = run_query(spark, f"SELECT source, b FROM read_parquet('{folder}/x/source=*/**/*.parquet', union_by_name=true, hive_partitioning=true) ORDER BY 1").collect()
+    assert [tuple(r) for r in rows] == [("p", None), ("q", "n")]
+    both = f"SELECT l.source, r.source AS other FROM read_parquet('{one}') l CROSS JOIN read_parquet('{two}') r"
+    assert [tuple(r) for r in run_query(spark, both).collect()] == [("p", "q")]
+    with pytest.raises(ValueError, match="union_by_name"):
+        run_query(spark, f"SELECT * FROM read_parquet('{one}', filename = true)")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("paths_")]
