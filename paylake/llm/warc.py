@@ -8,11 +8,14 @@ candidates that are reached are records; the text behind the others belongs to t
 
 from __future__ import annotations
 
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-from paylake.llm.common import staged, table
+from paylake.llm.common import small_batches, staged, table
 from paylake.session import scratch_folder
 
 MAGIC = "WARC/1.0\r\n"
@@ -32,19 +35,33 @@ def _one_line(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
+@F.pandas_udf(BinaryType())
+def _squeezed(texts: pd.Series) -> pd.Series:
+    pack = zstandard.ZstdCompressor(level=9)
+    return texts.map(lambda t: pack.compress(t.encode()))
+
+
+@F.pandas_udf(StringType())
+def _restored(packed: pd.Series) -> pd.Series:
+    unpack = zstandard.ZstdDecompressor()
+    return packed.map(lambda b: unpack.decompress(b).decode())
+
+
 def mark_revisits(pages: DataFrame) -> DataFrame:
     """(page_id, url, html) with `_digest`, `_bytes` and `_original`, the page whose payload a revisit repeats.
 
-    Null html is an empty payload. Rows of one page_id with one payload are alike; a row without an id is a response.
+    Null html is an empty payload. Rows of one page_id with one payload are alike; a row without an id is a response. Texts
+    travel once, to where their digest's first page is known, and compressed, as that shuffle holds all payloads.
     """
-    html = F.coalesce("html", F.lit("")).cast("binary")
-    known = pages.withColumns({"_digest": F.sha2(html, 256), "_bytes": F.octet_length(html).cast("long")})
+    html = F.coalesce("html", F.lit(""))
+    known = pages.withColumns({"_digest": F.sha2(html.cast("binary"), 256), "_bytes": F.octet_length(html).cast("long")})
     first = (
         known.filter(f"_bytes >= {SMALLEST_REVISIT}").groupBy(F.col("_digest").alias("_d"))
         .agg(F.min("page_id").alias("_first"), F.max("page_id").alias("_last")).filter("_first < _last").drop("_last")
     )
     # Only payloads with a copy are matched; the join is split where one payload has many copies.
-    joined = known.join(first, F.col("_digest") == F.col("_d"), "left").drop("_d")
+    known = known.withColumn("html", _squeezed(html))
+    joined = known.join(first, F.col("_digest") == F.col("_d"), "left").drop("_d").withColumn("html", _restored("html"))
     return joined.withColumn("_original", F.when(F.col("page_id") > F.col("_first"), F.col("_first"))).drop("_first")
 
 
@@ -128,20 +145,22 @@ def chain(candidates: DataFrame) -> DataFrame:
     """The candidates (file, at) that the chain of (file, at, next) from offset 0 of each file reaches.
 
     Pointer jumping: after k rounds the first 2^k records are reached and every pointer spans 2^k records. A round joins
-    one small row per candidate and is written, so its plan does not grow.
+    one small row per candidate, its file as a hash, and is written, so its plan does not grow; its files compress too
+    well for their size to tell what may be broadcast, so the joins are merges.
     """
-    state = staged(candidates.select("file", "at", "next", (F.col("at") == 0).alias("on")), "warc-chain")
+    state = staged(candidates.select(F.xxhash64("file").alias("f"), "at", "next", (F.col("at") == 0).alias("on")), "warc-chain")
     reached = -1
     while (now := state.filter("on").count()) != reached:
         reached = now
-        far = state.select("file", F.col("at").alias("next"), F.col("next").alias("_far"))
-        hit = state.filter("on AND next IS NOT NULL").select("file", F.col("next").alias("at")).distinct().withColumn("_hit", F.lit(True))
+        far = state.filter("next IS NOT NULL").select("f", F.col("at").alias("next"), F.col("next").alias("_far"))
+        hit = state.filter("on AND next IS NOT NULL").select("f", F.col("next").alias("at")).distinct().withColumn("_hit", F.lit(True))
         state = staged(
-            state.join(far, ["file", "next"], "left").join(hit, ["file", "at"], "left")
-            .select("file", "at", F.col("_far").alias("next"), (F.col("on") | F.coalesce("_hit", F.lit(False))).alias("on")),
+            state.join(far.hint("merge"), ["f", "next"], "left").join(hit.hint("merge"), ["f", "at"], "left")
+            .select("f", "at", F.col("_far").alias("next"), (F.col("on") | F.coalesce("_hit", F.lit(False))).alias("on")),
             "warc-chain",
         )
-    return state.filter("on").select("file", "at")
+    ends = state.filter("on").select("f", "at")
+    return candidates.select("file", "at").withColumn("f", F.xxhash64("file")).join(ends, ["f", "at"], "left_semi").select("file", "at")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -171,6 +190,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = scratch_folder(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
     return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
