@@ -9,7 +9,7 @@ query     run one read-only SQL text and store its result as Parquet
 from __future__ import annotations
 
 import argparse
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import SparkSession
 
@@ -18,7 +18,7 @@ from paylake.operators.gate import register_alias, run_query
 from paylake.plans.jobs import compact_days, compact_previous_day, process_days, process_previous_hour
 from paylake.plans.lake import SOURCES
 from paylake.session import configure
-from paylake.sources.layers import resolve_dates
+from paylake.sources.layers import Days
 from paylake.sources.streams import BATCH_DELAY, BATCH_MESSAGES, file_messages, kafka_messages
 from paylake.streaming.ingest import drain_ingest, start_ingest
 
@@ -46,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--to", dest="target", required=True, help=f"root of the {target} layer")
         job.add_argument("--sources", nargs="+", default=SOURCES)
         job.add_argument("--scheduled", action="store_true")
+        job.add_argument("--now", type=datetime.fromisoformat, help="the time a scheduled run counts from; else that of the clock, in UTC")
+        job.add_argument("--ignore-corrupt", action="store_true", help="skip files that cannot be read")
         job.add_argument("--day")
         job.add_argument("--start")
         job.add_argument("--end")
@@ -53,6 +55,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--target-bytes", type=int, default=TARGET_BYTES)
         else:
             job.add_argument("--strict", action="store_true", help="fail on the first malformed payload")
+            job.add_argument("--rejects", help="root for malformed payloads; without it they are only counted")
 
     query = jobs.add_parser("query")
     query.add_argument("sql")
@@ -63,8 +66,16 @@ def _parser() -> argparse.ArgumentParser:
 
 def _window(args: argparse.Namespace) -> tuple[date, date]:
     if args.day:
-        return resolve_dates("single_day", day=args.day)
-    return resolve_dates("range", start=args.start, end=args.end)
+        window = Days.on(args.day)
+    elif args.start and args.end:
+        window = Days.through(args.start, args.end)
+    else:
+        raise ValueError("give --day, --start and --end, or --scheduled")
+    return window.first, window.last
+
+
+def _now(args: argparse.Namespace) -> datetime:
+    return args.now or datetime.now(UTC).replace(tzinfo=None)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -83,15 +94,17 @@ def main(argv: list[str] | None = None) -> None:
             start_ingest(messages, args.raw, args.rejects, args.checkpoints)
             spark.streams.awaitAnyTermination()
     elif args.job == "process":
+        more = args.sources, args.strict, args.ignore_corrupt, args.rejects
         if args.scheduled:
-            process_previous_hour(spark, args.origin, args.target, datetime.now(), args.sources, args.strict)
+            print(process_previous_hour(spark, args.origin, args.target, _now(args), *more))
         else:
-            process_days(spark, args.origin, args.target, *_window(args), args.sources, args.strict)
+            print(process_days(spark, args.origin, args.target, *_window(args), *more))
     elif args.job == "compact":
+        more = args.sources, args.target_bytes, args.ignore_corrupt
         if args.scheduled:
-            compact_previous_day(spark, args.origin, args.target, datetime.now(), args.sources, args.target_bytes)
+            compact_previous_day(spark, args.origin, args.target, _now(args), *more)
         else:
-            compact_days(spark, args.origin, args.target, *_window(args), args.sources, args.target_bytes)
+            compact_days(spark, args.origin, args.target, *_window(args), *more)
     else:
         for alias in args.alias:
             name, _, path = alias.partition("=")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.functions.signing import hmac_sha256
+from paylake.functions.signing import hmac_sha256, signing_key
 
 START = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 FOLD_MINUTES = 2 * 24 * 60
@@ -171,7 +171,7 @@ def webhook_deliveries(events: DataFrame) -> DataFrame:
     at = F.col("at").cast("timestamp")
     body = events.select("event_id", F.col("ts").alias("at"), F.col("props").alias("body"))
     stamp = F.unix_millis(at).cast("string")
-    digest = hmac_sha256(SIGNING_SECRET, F.concat(F.lit("v1."), stamp, F.lit("."), F.col("body")))
+    digest = hmac_sha256(signing_key(events.sparkSession, SIGNING_SECRET), F.concat(F.lit("v1."), stamp, F.lit("."), F.col("body")))
     signature: Column = (
         F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
         .when(F.col("event_id") % 7 == 0, F.concat(F.lit("v1="), F.translate(digest, "0123456789abcdef", "123456789abcdef0")))

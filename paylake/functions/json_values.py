@@ -74,6 +74,11 @@ NUMBER_TEXT = (
 )
 
 
+def opens_object(text: Column) -> Column:
+    """Whether a text known to be JSON is an object."""
+    return F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
+
+
 def is_container(text: Column) -> Column:
     return F.startswith(text, F.lit("{")) | F.startswith(text, F.lit("["))
 

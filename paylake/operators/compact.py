@@ -1,32 +1,26 @@
 """Rewrite the files of a day into files of a target size.
 
-The plan needs no row data: rows per file come from Parquet footers through `_metadata`, file sizes from the
-listing. A day of `rows` rows and `bytes` bytes gets files of `rows_per_file = max(1, target * rows / bytes)`
-rows. Each row then knows its target file: the rows of all files before it in the day, plus its own index in its
-file, divided by `rows_per_file`. That is exact, the same on every attempt, and does not look at row values, so
-copies of one row spread like any other rows.
+The plan needs no row data: rows per file come from one scan without columns, kept as a small table and used for the plan
+and the offsets; file sizes come from the listing. A day of `rows` rows and `bytes` bytes gets files of
+`rows_per_file = max(1, target * rows / bytes)` rows. Each row then knows its target file: the rows of all files before it
+in the day, plus its own index in its file, divided by `rows_per_file`. That is exact, the same on every attempt, and does
+not look at row values, so copies of one row spread like any other rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.schemas import DAY_PARTS
-from paylake.session import for_each
-from paylake.sources.layers import Days, replace_parts, scan_processed
+from paylake.session import for_each, scratch_folder
+from paylake.sources.layers import Days, path_exists, remove_parts, replace_parts, scan_processed
 
 # Fixed value: default size of a compacted file.
 TARGET_BYTES = 134_217_728
 
-# A shuffle writes (map tasks x files) blocks, so a job takes at most this many files at a time.
-FILES_PER_JOB = 20_000
-
-# Offsets are broadcast up to this many source files (about 300 bytes each).
-BROADCAST_FILES = 200_000
-
 
 def plan_sizes(totals: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Add `rows_per_file` and `files` to a table with `rows` and `bytes`."""
@@ -46,77 +40,35 @@ def stored_files(table: DataFrame) -> DataFrame:
     )
 
 
-def compaction_plan(table: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """One row per day: `year, month, day, rows, bytes, rows_per_file, files`."""
-    totals = stored_files(table).groupBy(*DAY_PARTS).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
+def compaction_plan(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Of stored files, one row per day: `year, month, day, rows, bytes, rows_per_file, files`."""
+    totals = files.groupBy(*DAY_PARTS).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
     return plan_sizes(totals, target_bytes)
 
 
-def file_offsets(table: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Per stored file, its first row's position within the day and the day's `rows_per_file`."""
-    of_day = Window.partitionBy(*DAY_PARTS)
-    before = of_day.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    positions = stored_files(table).select(
-        *DAY_PARTS,
-        "file",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"),
-        F.sum("rows").over(of_day).alias("rows"),
-        F.sum("bytes").over(of_day).alias("bytes"),
-    )
-    return plan_sizes(positions, target_bytes).select(*DAY_PARTS, "file", "first", "rows_per_file")
+def file_offsets(files: DataFrame) -> DataFrame:
+    """Of the stored files of one day, the position of each file's first row within the day."""
+    before = Window.partitionBy(*DAY_PARTS).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
+
 
+def _write_day(spark: SparkSession, table: DataFrame, files: DataFrame, day, path: str) -> None:
+    """Compact one day. Each task writes consecutive files, in order, and cuts them by their number of rows.
 
-def sliced(table: DataFrame, offsets: DataFrame, offset_count: int) -> DataFrame:
-    """Rows with `slice`, the number of the file they go to within their day."""
-    located = table.select(
+    There are as many tasks as the session shuffles into, or as many as files if those are fewer, so the blocks of the
+    shuffle do not grow with the square of a day.
+    """
+    of_day = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
+    tasks = min(day.files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    per_task = -(-day.files // tasks)
+    located = table.filter(of_day).select(
         "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index")
     )
-    side = offsets.drop(*DAY_PARTS)
-    if offset_count <= BROADCAST_FILES:
-        side = F.broadcast(side)
-    slice_id = F.expr("CAST((first + row_index) DIV rows_per_file AS INT)")
-    return located.join(side, "file").withColumn("slice", slice_id).drop("file", "row_index", "first", "rows_per_file")
-
-
-def _jobs(days: Sequence, limit: int) -> Iterator[list]:
-    """Cut the days, in order, into jobs of at most `limit` files; a larger day is a job of its own."""
-    job, size = [], 0
-    for day in days:
-        if job and size + day.files > limit:
-            yield job
-            job, size = [], 0
-        job.append(day)
-        size += day.files
-    if job:
-        yield job
-
-
-def _write_job(spark: SparkSession, table: DataFrame, job: Sequence, target_bytes: int, path: str) -> None:
-    """Compact some days: every (day, slice) pair is one shuffle partition and so one file."""
-    starts, total = [], 0
-    for day in job:
-        starts.append((day.year, day.month, day.day, total))
-        total += day.files
-    first, last = job[0], job[-1]
-    stamp = F.concat(*DAY_PARTS)
-    window = stamp.between(first.year + first.month + first.day, last.year + last.month + last.day)
-    rows = table.filter(window)
-    offsets = file_offsets(rows, target_bytes)
-    cut = sliced(rows, offsets, sum(day.sources for day in job))
-    # One entry per day of this job, at most FILES_PER_JOB of them.
-    numbering = spark.createDataFrame(starts, "year string, month string, day string, start int")
-    numbered = cut.join(F.broadcast(numbering), DAY_PARTS)
-    file_id = F.col("start") + F.col("slice")
-    files = numbered.repartitionById(total, file_id).drop("start", "slice", "source", "hr")
-    replace_parts(files, path, DAY_PARTS)
-
-
-def _planned_days(table: DataFrame, target_bytes: int) -> list:
-    """One row per calendar day of one source, whatever the size of the data."""
-    totals = stored_files(table).groupBy(*DAY_PARTS).agg(
-        F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("sources")
-    )
-    return plan_sizes(totals, target_bytes).orderBy(*DAY_PARTS).collect()
+    slice_id = (F.col("first") + F.col("row_index")).cast("bigint")
+    sliced = located.join(file_offsets(files.filter(of_day)), "file").withColumn("slice", F.floor(slice_id / F.lit(day.rows_per_file)).cast("int"))
+    dealt = sliced.repartitionById(tasks, F.floor(F.col("slice") / per_task).cast("int")).sortWithinPartitions("slice")
+    rows = dealt.drop("file", "row_index", "first", "slice", "hr")
+    replace_parts(rows, path, DAY_PARTS, maxRecordsPerFile=day.rows_per_file)
 
 
 def _first_line(error: Exception) -> str:
@@ -134,32 +86,34 @@ def compact(
 ) -> None:
     """Compact the days of a window, the sources side by side.
 
-    Days without rows are skipped. What fails does not stop the rest: it is tried again in smaller pieces, down
-    to single days, and the days that still fail are raised together at the end.
+    Afterwards the window holds the compacted days and nothing else. What fails does not stop the rest: it is tried again
+    in smaller pieces, down to single days, and the days that still fail are raised together at the end; what they held
+    before stays.
     """
 
     def compact_window(source: str, days: Days | None) -> list[str]:
+        path = f"{analytics_root}/tb-{source}"
         try:
             table = scan_processed(spark, processed_root, source, days, ignore_corrupt)
-            planned = _planned_days(table, target_bytes)
+            place = scratch_folder(spark, "stored-files")
+            stored_files(table).write.parquet(place)
+            files = spark.read.parquet(place)
+            # One row per calendar day of one source, whatever the size of the data.
+            planned = compaction_plan(files, target_bytes).orderBy(*DAY_PARTS).collect()
         except Exception as error:  # noqa: BLE001 - told to the caller at the end
             halves = days.halves() if days else []
             if not halves:
                 return [f"{source} {days.first if days else ''}: {_first_line(error)}"]
             return [failure for half in halves for failure in compact_window(source, half)]
-        return [
-            failure for job in _jobs(planned, FILES_PER_JOB) for failure in compact_job(source, table, job)
-        ]
-
-    def compact_job(source: str, table: DataFrame, job: list) -> list[str]:
-        try:
-            _write_job(spark, table, job, target_bytes, f"{analytics_root}/tb-{source}")
-        except Exception as error:  # noqa: BLE001
-            if len(job) == 1:
-                day = job[0]
-                return [f"{source} {day.year}-{day.month}-{day.day}: {_first_line(error)}"]
-            return [failure for day in job for failure in compact_job(source, table, [day])]
-        return []
+        failures = []
+        for day in planned:
+            try:
+                _write_day(spark, table, files, day, path)
+            except Exception as error:  # noqa: BLE001
+                failures.append(f"{source} {day.year}-{day.month}-{day.day}: {_first_line(error)}")
+        if days and path_exists(spark, path):
+            remove_parts(spark, path, days, DAY_PARTS, {f"year={d.year}/month={d.month}/day={d.day}" for d in planned})
+        return failures
 
     failures = [
         failure for found in for_each(sources, lambda source: compact_window(source, window)) for failure in found

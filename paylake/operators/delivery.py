@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import iso_millis
 from paylake.functions.json_values import Document, as_array, computed_once
-from paylake.functions.signing import hmac_sha256
+from paylake.functions.signing import Key, hmac_sha256, signing_key
 
 # Texts that read as a boolean, ignoring case.
 TRUE_TEXTS = ["1", "true", "t", "yes", "y", "on"]
@@ -19,25 +19,34 @@ _KEY_FIELDS = (
 )
 
 
-def signature_is_valid(secret: str, body: Column, timestamp: Column, signature: Column) -> Column:
+def signature_is_valid(key: Key, body: Column, timestamp: Column, signature: Column) -> Column:
     """True when the signature, without its `v1=` mark, signs `v1.<timestamp>.<body>`."""
     claimed = F.replace(signature, F.lit("v1="), F.lit(""))
-    expected = hmac_sha256(secret, F.concat(F.lit("v1."), timestamp, F.lit("."), body))
+    expected = hmac_sha256(key, F.concat(F.lit("v1."), timestamp, F.lit("."), body))
     return F.coalesce((claimed == expected) & (timestamp != ""), F.lit(False))
 
 
 def verified_deliveries(deliveries: DataFrame, secret: str) -> DataFrame:
-    return deliveries.filter(signature_is_valid(secret, F.col("body"), F.col("ts"), F.col("signature")))
+    key = signing_key(deliveries.sparkSession, secret)
+    return deliveries.filter(signature_is_valid(key, F.col("body"), F.col("ts"), F.col("signature")))
 
 
 def wrap_events(events: DataFrame, source: str, arrived_at: str, payload: str) -> DataFrame:
-    """Envelope text in `value` from an arrival time and a payload given as JSON text."""
-    envelope = F.struct(
-        F.lit(source).alias("source"),
-        iso_millis(F.col(arrived_at)).alias("received_at"),
-        F.try_parse_json(F.col(payload)).alias("payload"),
+    """Envelope text in `value` from an arrival time and a payload given as JSON text, which is kept as it is written.
+
+    A payload that is no single JSON document cannot be enveloped: `value` is NULL, `reason` is `not_json`, and `payload`
+    holds the text. For the others both are NULL. A JSON null is a payload, a missing text is not.
+    """
+    body = F.col(payload).cast("string")
+    parsed = computed_once(events.select(arrived_at, body.alias("body")), {"doc": F.try_parse_json(as_array(F.col("body")))}, arrived_at, "body")
+    readable = F.coalesce(Document(F.col("doc")).is_alone(), F.lit(False))
+    envelope = F.concat(
+        F.lit('{"source":'), F.to_json(F.array(F.lit(source))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(source)))) - 2),
+        F.lit(',"received_at":"'), iso_millis(F.col(arrived_at)), F.lit('","payload":'), F.col("body"), F.lit("}"),
+    )
+    return parsed.select(
+        F.when(readable, envelope).alias("value"), F.when(~readable, F.lit("not_json")).alias("reason"), F.when(~readable, F.col("body")).alias("payload")
     )
-    return events.select(F.to_json(envelope).alias("value"))
 
 
 def with_message_key(messages: DataFrame) -> DataFrame:

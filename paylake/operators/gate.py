@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,12 @@ _JVM_CALLS = ("CallMethodViaReflection", "TryReflect", "Reflect")
 _OTHER_RELATIONS = ("DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingRelation", "StreamingRelationV2", "HiveTableRelation")
 
 
-def table_path(path: str) -> str:
-    """A quoted Parquet relation. A trailing `/**/*.parquet` means the whole tree with its partitions."""
-    return "parquet.`" + _tree(path).replace("`", "``") + "`"
+def _relation(root: str) -> str:
+    return "parquet.`" + root.replace("`", "``") + "`"
 
 
 def _tree(path: str) -> str:
+    """A trailing `/**/*.parquet` means the whole tree with its partitions."""
     return re.sub(r"/\*\*(/\*(\.parquet)?)?\Z", "", path)
 
 
@@ -44,17 +45,32 @@ def _base(tree: str) -> str:
     return tree if first is None else "/".join(parts[:first])
 
 
+def _roots(spark: SparkSession, tree: str) -> list[str]:
+    """The folders a pattern stands for; a path without one stands for itself."""
+    if not re.search(r"[*?\[{]", tree):
+        return [tree]
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(tree)
+    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+    if not found:
+        raise ValueError(f"nothing matches {tree}")
+    return sorted(status.getPath().toString() for status in found)
+
+
 def _read(spark: SparkSession, paths: list[str], options: dict[str, str]) -> DataFrame:
     """Paths of one call. `union_by_name` merges the columns of all files; partitions are always columns."""
     unknown = set(options) - {"union_by_name", "hive_partitioning"}
     if unknown or options.get("hive_partitioning", "true") not in ("true", "1"):
         raise ValueError("read_parquet takes union_by_name, and hive_partitioning as true")
-    trees = [_tree(path) for path in paths]
-    bases = {_base(tree) for tree in trees}
-    reader = spark.read.option("mergeSchema", options.get("union_by_name", "false") in ("true", "1"))
-    if len(bases) == 1 and bases != set(trees):
-        reader = reader.option("basePath", bases.pop())
-    return reader.parquet(*trees)
+    merged = options.get("union_by_name", "false") in ("true", "1")
+    # Folders below one base are one table, with the partitions in their names; other folders are tables of their own.
+    tables: dict[str, list[str]] = {}
+    for root in (root for path in paths for root in _roots(spark, _tree(path))):
+        tables.setdefault(_base(root), []).append(root)
+    parts = [
+        spark.read.option("mergeSchema", merged).options(**({} if roots == [base] else {"basePath": base})).parquet(*roots)
+        for base, roots in tables.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=merged), parts)
 
 
 def _with_paths(spark: SparkSession, sql: str) -> tuple[str, list[str]]:
@@ -133,16 +149,21 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame:
 def register_alias(spark: SparkSession, name: str, path: str) -> None:
     """Name a Parquet path, as a view `name` and as a table function `name()`.
 
-    Both list the files anew for every query. The columns are those found now; register again after they change.
+    Both list the files anew for every query. The columns, and the folders a pattern stands for, are those found now;
+    register again after they change. A column that some of the folders lack is NULL for those.
     """
     if not _ALIAS.fullmatch(name):
         raise ValueError("an alias starts with a letter and has letters, digits and underscores only")
-    relation = table_path(path)
-    columns = ", ".join(
-        f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}"
-        for field in spark.sql(f"SELECT * FROM {relation}").schema.fields
-    )
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT * FROM {relation}")
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}() RETURNS TABLE ({columns}) RETURN SELECT * FROM {relation}"
-    )
+    found = {root: spark.sql(f"SELECT * FROM {_relation(root)}").schema for root in _roots(spark, _tree(path))}
+    kinds = {field.name: field.dataType.simpleString() for schema in found.values() for field in schema.fields}
+    quoted = {column: "`" + column.replace("`", "``") + "`" for column in kinds}
+
+    def part(root: str) -> str:
+        own = set(found[root].names)
+        values = [quoted[c] if c in own else f"CAST(NULL AS {kind}) AS {quoted[c]}" for c, kind in kinds.items()]
+        return f"SELECT {', '.join(values)} FROM {_relation(root)}"
+
+    text = " UNION ALL ".join(part(root) for root in found)
+    columns = ", ".join(f"{quoted[column]} {kind}" for column, kind in kinds.items())
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {text}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}() RETURNS TABLE ({columns}) RETURN {text}")

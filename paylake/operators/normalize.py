@@ -12,11 +12,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import utc_clock
-from paylake.functions.json_values import Document, as_array, computed_once
+from paylake.functions.json_values import Document, as_array, computed_once, opens_object
 from paylake.schemas import processed_schema
 
 
@@ -154,14 +154,28 @@ def _fault(rules: Rules, doc: Document) -> Column:
     return (
         F.when(~F.coalesce(doc.is_alone(), F.lit(False)), "not_json")
         .when(_wanted(rules, doc), of_wanted)
-        .when(unreadable.isNotNull(), F.when(doc.is_object(), unreadable).otherwise("not_object"))
+        # The type of a whole document costs a walk through it; its first character tells as much.
+        .when(unreadable.isNotNull(), F.when(opens_object(F.col("payload")), unreadable).otherwise("not_object"))
     )
 
 
-def normalize(raw: DataFrame, source: str, strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed rows of one source. `raw` holds that source only; `keep` carries extra columns along."""
+def _malformed(rules: Rules, doc: Document) -> Column:
+    """The cheap test; the search for the reason is for malformed rows only."""
+    single = F.coalesce(doc.is_alone(), F.lit(False))
+    return ~single | F.when(_wanted(rules, doc), ~_sound(rules, doc)).otherwise(rules.unreadable(doc).isNotNull())
+
+
+def normalize(
+    raw: DataFrame, source: str, strict: bool = False, keep: Sequence[str] = (), counts: Observation | None = None
+) -> DataFrame:
+    """Typed rows of one source. `raw` holds that source only; `keep` carries extra columns along.
+
+    `counts` is told how many rows were `read` and how many of them were `rejected` as malformed.
+    """
     rules, schema = _rules(source), processed_schema(source)
     parsed, doc = _opened(raw)
+    if counts is not None:
+        parsed = parsed.observe(counts, F.count(F.lit(1)).alias("read"), F.count_if(_malformed(rules, doc)).alias("rejected"))
     wanted = _wanted(rules, doc)
     if strict:
         fault = _fault(rules, doc)
@@ -174,15 +188,12 @@ def normalize(raw: DataFrame, source: str, strict: bool = False, keep: Sequence[
     return rows.select(*typed, *keep)
 
 
-def rejected_payloads(raw: DataFrame, source: str) -> DataFrame:
-    """Malformed rows of one source: `source, received_at, payload, reason`."""
+def rejected_payloads(raw: DataFrame, source: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Malformed rows of one source: `source, received_at, payload, reason`, and the columns to keep."""
     parsed, doc = _opened(raw)
     rules = _rules(source)
-    single = F.coalesce(doc.is_alone(), F.lit(False))
-    # The cheap test runs on every row, the search for the reason only on malformed ones.
-    malformed = ~single | F.when(_wanted(rules, doc), ~_sound(rules, doc)).otherwise(rules.unreadable(doc).isNotNull())
-    return parsed.filter(malformed).select(
-        F.lit(source).alias("source"), "received_at", "payload", _fault(rules, doc).alias("reason")
+    return parsed.filter(_malformed(rules, doc)).select(
+        F.lit(source).alias("source"), "received_at", "payload", _fault(rules, doc).alias("reason"), *keep
     )
 
 

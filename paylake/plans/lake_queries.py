@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake import fixtures
-from paylake.functions.iso_time import utc_clock, wall_clock
-from paylake.functions.signing import hmac_sha256
+from paylake.functions.iso_time import day_parts, utc_clock, wall_clock
+from paylake.functions.signing import hmac_sha256, signing_key
 from paylake.operators import metrics
 from paylake.operators.asof import asof_join
 from paylake.operators.compact import plan_sizes
@@ -23,24 +23,25 @@ from paylake.operators.delivery import (
 from paylake.operators.envelope import read_envelopes, rejected_rows, valid_rows
 from paylake.operators.gate import register_alias, run_query
 from paylake.operators.normalize import normalize, rejected_payloads, union_sources
+from paylake.operators.ranges import range_join
 from paylake.plans.lake import FIRST, LAST, SOURCES, lake_of
+from paylake.plans.jobs import compact_days, ingest_batch, process_days
 from paylake.plans.oracles import ENV, FK, RV, ST, money, parts, with_tables
 from paylake.schemas import HOUR_PARTS
 from paylake.session import configure, scratch_folder
 from paylake.sources.layers import (
     Days,
+    append_raw,
     days_between,
-    in_days,
     in_previous_day,
     in_previous_hour,
-    resolve_dates,
     scan_analytics,
     scan_processed,
     scan_raw,
 )
 from paylake.sources.streams import table_rows
 from paylake.streaming.ingest import drain_ingest
-from paylake.streaming.rates import live_counts
+from paylake.streaming.rates import live_counts, live_rates
 from paylake.streaming.updates import latest, store_updates
 
 QUERIES: dict = {}
@@ -198,9 +199,12 @@ def message_key(spark, sf_dir):
 
 
 @query("""SELECT '{"source":"revolut","received_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '","payload":'
-    || replace(props, ' ', '') || '}' AS value FROM events""")
+    || props || '}' AS value, NULL AS reason, NULL AS payload FROM events WHERE event_id % 5 <> 0
+UNION ALL SELECT NULL, 'not_json', 'broken ' || props FROM events WHERE event_id % 5 = 0""")
 def envelope_json(spark, sf_dir):
-    return wrap_events(_table(spark, sf_dir, "events"), "revolut", "ts", "props")
+    """Every fifth body is not JSON; its text is kept with a reason."""
+    body = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("broken "), "props")).otherwise(F.col("props"))
+    return wrap_events(_table(spark, sf_dir, "events").select("ts", body.alias("body")), "revolut", "ts", "body")
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 10 WHEN 1 THEN 'not_object' WHEN 2 THEN 'id' WHEN 3 THEN 'type'
@@ -243,8 +247,9 @@ SELECT event_id, digest, event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id %
 def webhook_signature(spark, sf_dir):
     deliveries = fixtures.webhook_deliveries(_table(spark, sf_dir, "events"))
     stamp = F.unix_millis(F.col("at").cast("timestamp")).cast("string")
-    digest = hmac_sha256(fixtures.SIGNING_SECRET, F.concat(F.lit("v1."), stamp, F.lit("."), F.col("body")))
-    valid = signature_is_valid(fixtures.SIGNING_SECRET, F.col("body"), F.col("ts"), F.col("signature"))
+    key = signing_key(spark, fixtures.SIGNING_SECRET)
+    digest = hmac_sha256(key, F.concat(F.lit("v1."), stamp, F.lit("."), F.col("body")))
+    valid = signature_is_valid(key, F.col("body"), F.col("ts"), F.col("signature"))
     return deliveries.select("event_id", digest.alias("digest"), valid.alias("valid"))
 
 
@@ -348,7 +353,7 @@ _FOLDED_ROWS = "SELECT source, strftime(folded, '%Y-%m-%dT%H:%M:%S.%g') AS recei
 
 @query(with_tables(_FOLDED_ROWS + "source = 'stripe' AND folded >= TIMESTAMP '2024-01-02' AND hour(folded) = 5", ENV))
 def scan_pruned(spark, sf_dir):
-    window = Days(*resolve_dates("single_day", day="2024-01-02"), hour=5)
+    window = Days.on("2024-01-02", hour=5)
     return _identified(scan_raw(spark, lake_of(spark, sf_dir).raw, window, ["stripe"]))
 
 
@@ -374,7 +379,7 @@ def scan_prev_day(spark, sf_dir):
 
 @query(with_tables("SELECT source, count(*) AS n FROM env WHERE source IN ('faker', 'revolut') GROUP BY 1", ENV))
 def scan_sources(spark, sf_dir):
-    raw = scan_raw(spark, lake_of(spark, sf_dir).raw, in_days(FIRST, LAST), ["faker", "revolut"])
+    raw = scan_raw(spark, lake_of(spark, sf_dir).raw, Days(FIRST, LAST), ["faker", "revolut"])
     return metrics.counts_by(raw, "source")
 
 
@@ -384,7 +389,8 @@ FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-30', TIMESTAMP '2001
 LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d.day GROUP BY d.day""")
 def date_range_days(spark, sf_dir):
     """Orders on every day of a window, days without orders included."""
-    days = days_between(spark, *resolve_dates("range", start="1994-12-30", end="2001-12-31"))
+    window = Days.through("1994-12-30", "2001-12-31")
+    days = days_between(spark, window.first, window.last)
     orders = _table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(_count())
     return days.join(orders, "date", "left").select(
         "year", "month", "day", F.coalesce("n", F.lit(0)).alias("orders")
@@ -424,14 +430,59 @@ def compact_plan(spark, sf_dir):
 @query(_FOLDED_DAYS)
 def compact_rows(spark, sf_dir):
     root = lake_of(spark, sf_dir).analytics
-    tables = [scan_analytics(spark, root, source).withColumn("source", F.lit(source)) for source in SOURCES]
-    return _days_of(tables)
+    return _days_of([scan_analytics(spark, root, source) for source in SOURCES])
 
 
-@query(with_tables(f"SELECT {_TRANSFER.replace('received_at', 'folded AS received_at')} FROM rv", RV))
+_ALL_FOLDED = f"""SELECT {_TRANSFER}, NULL AS payment_intent_id, NULL AS customer_id, NULL AS payment_method FROM fk
+UNION ALL SELECT {_TRANSFER}, NULL, NULL, NULL FROM rv
+UNION ALL SELECT source, received_at, NULL, NULL, amount, currency, NULL, payment_intent_id, customer_id, payment_method FROM st"""
+
+
+@query(with_tables(_ALL_FOLDED.replace("received_at", "folded AS received_at"), FK, ST, RV))
 def compact_roundtrip(spark, sf_dir):
-    rows = scan_analytics(spark, lake_of(spark, sf_dir).analytics, "revolut")
-    return rows.drop("source", "year", "month", "day").withColumn("source", F.lit("revolut"))
+    root = lake_of(spark, sf_dir).analytics
+    tables = [scan_analytics(spark, root, source).drop("year", "month", "day") for source in SOURCES]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+@query(with_tables(f"""SELECT 'processed' AS layer, source, {parts('folded', hour=True)}, count(*) AS n FROM fk
+WHERE folded >= TIMESTAMP '2024-01-02' AND hour(folded) < 12 GROUP BY ALL
+UNION ALL SELECT 'analytics', source, {parts('folded')}, NULL, count(*) FROM fk
+WHERE folded >= TIMESTAMP '2024-01-02' AND hour(folded) < 12 GROUP BY ALL""", FK))
+def rebuilt_window(spark, sf_dir):
+    """A window rebuilt from a raw layer that has fewer hours, and one day less, holds those only."""
+    root = scratch_folder(spark, "rebuilt")
+    messages = fixtures.faker_env(_table(spark, sf_dir, "events"), folded=True)
+    fewer = valid_rows(read_envelopes(messages)).filter("day = '02' AND hr < '12'")
+    ingest_batch(messages, f"{root}/raw")
+    append_raw(fewer, f"{root}/less")
+    for raw in ("raw", "less"):
+        process_days(spark, f"{root}/{raw}", f"{root}/processed", FIRST, LAST, ["faker"])
+        compact_days(spark, f"{root}/processed", f"{root}/analytics", FIRST, LAST, ["faker"])
+    hours = scan_processed(spark, f"{root}/processed", "faker").groupBy("source", *HOUR_PARTS).agg(_count())
+    days = scan_analytics(spark, f"{root}/analytics", "faker").groupBy("source", "year", "month", "day").agg(_count())
+    return hours.withColumn("layer", F.lit("processed")).unionByName(
+        days.withColumn("layer", F.lit("analytics")), allowMissingColumns=True
+    )
+
+
+@query("""WITH f AS (SELECT event_id % 10 AS k, CASE event_id % 10 WHEN 1 THEN 'bad_amount' WHEN 2 THEN 'not_object'
+    WHEN 4 THEN 'not_text' ELSE 'missing_field' END AS reason, event_id // 3 % 3 = 1 AS done FROM events)
+SELECT 'read' AS outcome, NULL AS reason, count(*) AS n FROM f
+UNION ALL SELECT 'rejected', reason, count(*) FROM f WHERE k < 5 GROUP BY reason
+UNION ALL SELECT 'kept', NULL, count(*) FROM f WHERE k >= 5 AND done
+UNION ALL SELECT 'dropped', NULL, count(*) FROM f WHERE k >= 5 AND NOT done""")
+def process_rejects(spark, sf_dir):
+    """What the process job read is kept, rejected with a reason, or dropped as not wanted; counted and stored."""
+    root = scratch_folder(spark, "process-rejects")
+    raw = fixtures.bad_payloads(spark, sf_dir)["faker"]
+    at = F.concat(F.lit("2024-01-01T"), F.substring("received_at", 12, 12))
+    append_raw(raw.withColumn("received_at", at).select("*", *[day_parts(F.col("received_at"))[p].alias(p) for p in HOUR_PARTS]), f"{root}/raw")
+    counts = process_days(spark, f"{root}/raw", f"{root}/processed", FIRST, FIRST, ["faker"], rejects_root=f"{root}/rejects")["faker"]
+    stored = spark.read.parquet(f"{root}/rejects").groupBy("reason").agg(_count()).withColumn("outcome", F.lit("rejected"))
+    kept = scan_processed(spark, f"{root}/processed", "faker").agg(_count()).withColumn("outcome", F.lit("kept"))
+    told = spark.createDataFrame([(k, counts[k]) for k in ("read", "dropped")], "outcome string, n bigint")
+    return stored.unionByName(kept.unionByName(told), allowMissingColumns=True)
 
 
 # --- metrics ---------------------------------------------------------------------------------------
@@ -491,7 +542,7 @@ SELECT side, minute, CAST(sum(n) OVER (PARTITION BY side ORDER BY minute) AS BIG
 def errors_cumulative(spark, sf_dir):
     """Error totals over time: refused deliveries on the producer side, refused messages on the consumer side."""
     events = _table(spark, sf_dir, "events")
-    valid = signature_is_valid(fixtures.SIGNING_SECRET, F.col("body"), F.col("ts"), F.col("signature"))
+    valid = signature_is_valid(signing_key(spark, fixtures.SIGNING_SECRET), F.col("body"), F.col("ts"), F.col("signature"))
     unsigned = fixtures.webhook_deliveries(events).filter(~valid)
     producer = unsigned.select(F.lit("producer").alias("side"), F.col("at").alias("ts"))
     messages = fixtures.bad_env(events, keep=("ts",))
@@ -509,7 +560,35 @@ def stream_rate(spark, sf_dir):
     return latest(spark, f"{root}/counts", ["source", "minute"])
 
 
-# --- the SQL gate and the as-of join ---------------------------------------------------------------
+@query("""SELECT 'faker' AS source, time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '1970-01-01') + to_seconds(30 * i) AS window_end,
+    count(*) / 60.0 AS rate FROM events, (VALUES (1), (2)) AS s(i) GROUP BY ALL""")
+def stream_rate_sliding(spark, sf_dir):
+    root = scratch_folder(spark, "stream-rate-sliding")
+    messages = fixtures.faker_env(table_rows(spark, f"{sf_dir}/events.parquet"))
+    events = _timed(valid_rows(read_envelopes(messages))).select("ts", "source")
+    store_updates(live_rates(events, ["source"]), f"{root}/rates", f"{root}/checkpoint")
+    return latest(spark, f"{root}/rates", ["source", "window_end"])
+
+
+# --- the SQL gate, the as-of join and the interval join --------------------------------------------
+
+
+@query(with_tables(f"""SELECT source, count(*) AS n, {money('amount')} AS amount FROM (SELECT source, amount FROM fk
+UNION ALL SELECT source, amount FROM st UNION ALL SELECT source, amount FROM rv) GROUP BY 1""", FK, ST, RV))
+def sql_alias_sources(spark, sf_dir):
+    register_alias(spark, "payments", f"{lake_of(spark, sf_dir).analytics}/tb-*/**/*.parquet")
+    return run_query(spark, f"SELECT source, count(*) AS n, {money('amount')} AS amount FROM payments() GROUP BY source")
+
+
+@query("""WITH i AS (SELECT event_id AS error_id, ts AS began, ts + INTERVAL 10 MINUTE AS ended FROM events WHERE event_type = 'error'),
+p AS (SELECT event_id AS purchase_id, ts AS bought FROM events WHERE event_type = 'purchase')
+SELECT error_id, purchase_id FROM i JOIN p ON began <= bought AND bought < ended""", name="range_join")
+def range_join_events(spark, sf_dir):
+    """Purchases of anyone in the ten minutes after an error."""
+    events = _table(spark, sf_dir, "events")
+    errors = events.filter("event_type = 'error'").selectExpr("event_id AS error_id", "ts AS began", "ts + INTERVAL '10' MINUTE AS ended")
+    bought = events.filter("event_type = 'purchase'").selectExpr("event_id AS purchase_id", "ts AS bought")
+    return range_join(errors, bought, "began", "ended", "bought").select("error_id", "purchase_id")
 
 
 @query(with_tables(f"SELECT payment_method, count(*) AS n, {money('amount')} AS amount FROM st GROUP BY 1", ST))

@@ -1,6 +1,6 @@
 """Reading and writing the three stored layers.
 
-raw        source=S/year=/month=/day=/hr=    envelopes, payload as JSON text
+raw        source=S/year=/month=/day=/hr=/batch=    envelopes, payload as JSON text
 processed  source=S/year=/month=/day=/hr=    typed rows of one source
 analytics  tb-S/year=/month=/day=            the same rows in files of bounded size
 
@@ -9,12 +9,13 @@ Dates, hours and sources are predicates on partition columns, so a window of any
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,35 +24,13 @@ from paylake.schemas import DAY_PARTS, HOUR_PARTS, RAW, processed_schema, with_p
 
 # --- windows of days and hours -------------------------------------------------------------------
 
-def _as_date(value: date | datetime | str) -> date:
-    if isinstance(value, datetime):
-        return value.date()
-    if isinstance(value, date):
-        return value
+def as_day(value: date | str) -> date:
+    """A day, given as such or as `yyyy-mm-dd`; a time counts as its day."""
     if isinstance(value, str):
         return datetime.strptime(value, "%Y-%m-%d").date()
-    raise TypeError(f"not a date: {value!r}")
-
-
-def resolve_dates(
-    mode: str,
-    day: date | datetime | str | None = None,
-    start: date | datetime | str | None = None,
-    end: date | datetime | str | None = None,
-) -> tuple[date, date]:
-    """First and last day of `single_day` (needs `day`) or `range` (needs `start` and `end`, both included)."""
-    if mode == "single_day":
-        if day is None:
-            raise ValueError("single_day needs day")
-        return _as_date(day), _as_date(day)
-    if mode == "range":
-        if start is None or end is None:
-            raise ValueError("range needs start and end")
-        first, last = _as_date(start), _as_date(end)
-        if first > last:
-            raise ValueError("start is after end")
-        return first, last
-    raise ValueError(f"mode must be single_day or range, not {mode!r}")
+    if not isinstance(value, date):
+        raise TypeError(f"a day is a date or text, not {type(value).__name__}")
+    return date(value.year, value.month, value.day)
 
 
 def days_between(spark: SparkSession, first: date, last: date) -> DataFrame:
@@ -73,6 +52,18 @@ class Days:
     last: date
     hour: int | None = None
 
+    def __post_init__(self) -> None:
+        if self.first > self.last:
+            raise ValueError(f"the window starts on {self.first}, after its end on {self.last}")
+
+    @classmethod
+    def on(cls, day: date | str, hour: int | None = None) -> Days:
+        return cls(as_day(day), as_day(day), hour)
+
+    @classmethod
+    def through(cls, first: date | str, last: date | str) -> Days:
+        return cls(as_day(first), as_day(last))
+
     def predicate(self) -> Column:
         """On partition columns: zero-padded parts compare like the dates they spell."""
         stamp = F.concat("year", "month", "day")
@@ -103,25 +94,19 @@ class Days:
         return days if self.hour is None else f"{days}/hr={self.hour:02d}"
 
 
-def in_days(first: date, last: date) -> Days:
-    return Days(first, last)
-
-
 def in_previous_hour(now: datetime) -> Days:
     """The whole hour before the one `now` is in; at midnight that is 23 h of the day before."""
     hour = now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=1)
-    return Days(hour.date(), hour.date(), hour.hour)
+    return Days.on(hour, hour.hour)
 
 
 def in_previous_day(now: datetime) -> Days:
-    day = now.date() - timedelta(days=1)
-    return Days(day, day)
+    return Days.on(now - timedelta(days=1))
 
 
 # --- scans ---------------------------------------------------------------------------------------
 #
-# A window names the folders to list, so a daily run does not list years of data. A layer that a stream
-# writes has a log of its committed files; it is read through that log, which needs no listing.
+# A window names the folders to list, so a daily run does not list years of data.
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -129,8 +114,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
-def is_streamed(spark: SparkSession, root: str) -> bool:
-    return path_exists(spark, f"{root}/_spark_metadata")
+#: The last level of the raw layer: one folder per batch that wrote to an hour.
+BATCH = "batch"
 
 
 def _scan(
@@ -148,9 +133,7 @@ def _scan(
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", ignore_corrupt)
     )
-    if is_streamed(spark, base):
-        df = reader.parquet(base)
-    elif not path_exists(spark, base):
+    if not path_exists(spark, base):
         raise ValueError(f"no such layer: {base}")
     else:
         path = "/".join(part for part in (base, below, window.folders() if window else "") if part)
@@ -160,6 +143,8 @@ def _scan(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             df = spark.read.schema(schema).parquet()  # no folder of the window exists: a scan of no files
+    # Levels below the partitions of the schema are no columns.
+    df = df.select(*schema.names)
     return df if window is None else df.filter(window.predicate())
 
 
@@ -200,19 +185,44 @@ def gathered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(part) for part in parts])
 
 
-def replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+def _stored_parts(spark: SparkSession, path: str, window: Days, parts: Sequence[str]) -> list[str]:
+    """The partitions of a window that exist below `path`, as folder names joined by slashes."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    hours = "/hr=*" if "hr" in parts and window.hour is None else ""
+    pattern = hadoop.Path(f"{path}/{window.folders()}{hours}")
+    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+    return ["/".join(status.getPath().toString().split("/")[-len(parts):]) for status in found or []]
+
+
+def remove_parts(spark: SparkSession, path: str, window: Days, parts: Sequence[str], keep: Collection[str]) -> None:
+    """Remove the partitions of a window that are not in `keep`."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for part in _stored_parts(spark, path, window, parts):
+        if part not in keep:
+            target = hadoop.Path(f"{path}/{part}")
+            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def replace_parts(df: DataFrame, path: str, parts: Sequence[str], **options) -> None:
     """Replace the partitions present in `df` below `path`; others stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*parts).parquet(path)
+
+
+def replace_window(df: DataFrame, path: str, window: Days, parts: Sequence[str]) -> int:
+    """Make the window below `path` hold the rows of `df` and nothing else; returns how many those are.
+
+    Partitions with rows are replaced by the write; those without any are removed once it has succeeded, so a job that
+    fails in between leaves rows that the next run removes, and never loses any. Which have rows comes from the write
+    itself; the calendar bounds the list, one entry per hour or day of the window.
+    """
+    named = F.concat_ws("/", *[F.concat(F.lit(f"{part}="), F.col(part)) for part in parts])
+    seen = Observation()
+    replace_parts(df.observe(seen, F.collect_set(named).alias("parts"), F.count(F.lit(1)).alias("rows")), path, parts)
+    remove_parts(df.sparkSession, path, window, parts, set(seen.get["parts"]))
+    return seen.get["rows"]
 
 
 def append_raw(rows: DataFrame, root: str) -> None:
-    """Add rows to a raw layer that is filled by batches only: readers of a streamed one would not see them."""
-    if is_streamed(rows.sparkSession, root):
-        raise ValueError(f"{root} is written by a stream")
+    """Add rows to a raw layer, as a batch with a name of its own."""
     parts = ["source", *HOUR_PARTS]
-    gathered(rows, parts).write.mode("append").partitionBy(*parts).parquet(root)
+    gathered(rows, parts).withColumn(BATCH, F.lit(f"job-{uuid.uuid4().hex}")).write.mode("append").partitionBy(*parts, BATCH).parquet(root)

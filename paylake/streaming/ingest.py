@@ -1,69 +1,71 @@
 """Stream messages into the raw layer, and refused messages into a folder of their own.
 
-Two queries read the same stream, each with a file sink and a checkpoint, so each row is stored exactly once
-even when a run is cut off. Rows go from the source straight to the files: messages of one source and hour
-arrive together, so a task opens few files and nothing is shuffled. The compaction job merges small files.
-
-The progress of the first query reports `accepted` and `refused` messages of each batch under `OUTCOMES`.
+One query reads the source once. Each batch is parsed once and kept while both outcomes are written, each into folders
+that carry the batch's name: a batch that runs again after a crash replaces its own folders, so every message is stored
+once. No log of files is kept; readers list the folders of their window. Messages of one source and hour arrive together,
+so a task opens few files and nothing is shuffled. The compaction job merges small files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paylake.operators.envelope import count_outcomes, read_envelopes, rejected_rows, valid_rows
 from paylake.schemas import HOUR_PARTS
-from paylake.sources.layers import is_streamed, path_exists
+from paylake.sources.layers import BATCH, replace_parts
 from paylake.sources.streams import POLL
 
-OUTCOMES = "outcomes"
 
+class Outcomes:
+    """Messages accepted and refused in all batches a query has finished here; a repeated batch counts once."""
+
+    def __init__(self) -> None:
+        self.accepted = self.refused = 0
+        self._last = -1
+
+    def add(self, batch_id: int, counted: dict) -> None:
+        if batch_id > self._last:
+            self._last = batch_id
+            self.accepted += counted["accepted"]
+            self.refused += counted["refused"]
 
-def _trigger(drain: bool) -> dict:
-    return {"availableNow": True} if drain else {"processingTime": POLL}
+    def totals(self) -> dict[str, int]:
+        return {"accepted": self.accepted, "refused": self.refused}
+
+
+def _store(messages: DataFrame, batch: str, raw_root: str, rejects_root: str) -> dict:
+    counts = Observation()
+    envelopes = count_outcomes(read_envelopes(messages), counts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        replace_parts(valid_rows(envelopes).withColumn(BATCH, F.lit(batch)), raw_root, ["source", *HOUR_PARTS, BATCH])
+        replace_parts(rejected_rows(envelopes).withColumn(BATCH, F.lit(batch)), rejects_root, [BATCH, "reason"])
+    finally:
+        envelopes.unpersist()
+    return counts.get
 
 
 def start_ingest(
-    messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str, drain: bool = False
-) -> list[StreamingQuery]:
-    """Start both queries; `drain` takes what is available and ends."""
-    spark = messages.sparkSession
-    for root in (raw_root, rejects_root):
-        # The stream's log would hide the files that are there.
-        if path_exists(spark, root) and not (is_streamed(spark, root) or path_exists(spark, checkpoints)):
-            raise ValueError(f"{root} is filled by batches")
-    envelopes = read_envelopes(messages)
-    stored = (
-        valid_rows(count_outcomes(envelopes, OUTCOMES))
-        .writeStream
-        .format("parquet")
-        .option("checkpointLocation", f"{checkpoints}/raw")
-        .partitionBy("source", *HOUR_PARTS)
-        .trigger(**_trigger(drain))
-        .start(raw_root)
-    )
-    refused = (
-        rejected_rows(envelopes)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoints}/rejects")
-        .partitionBy("reason")
-        .trigger(**_trigger(drain))
-        .start(rejects_root)
-    )
-    return [stored, refused]
-
-
-def outcomes(stored: StreamingQuery) -> dict[str, int]:
-    """Messages accepted and refused in the batches the query still remembers."""
-    seen = [progress.observedMetrics.get(OUTCOMES) for progress in stored.recentProgress]
-    counted = [row for row in seen if row is not None]
-    return {name: sum(row[name] for row in counted) for name in ("accepted", "refused")}
+    messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str, drain: bool = False, counted: Outcomes | None = None
+) -> StreamingQuery:
+    """Start the query; `drain` takes what is available and ends. Finished batches are added to `counted`."""
+    counted = counted or Outcomes()
+    # Streams that share a layer differ in their checkpoints, and so do the names of their batches.
+    stream = hashlib.sha256(checkpoints.encode()).hexdigest()[:12]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counted.add(batch_id, _store(batch, f"{stream}-{batch_id}", raw_root, rejects_root))
+
+    trigger = {"availableNow": True} if drain else {"processingTime": POLL}
+    return messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoints).trigger(**trigger).start()
 
 
 def drain_ingest(messages: DataFrame, raw_root: str, rejects_root: str, checkpoints: str) -> dict[str, int]:
     """Take what is available and return what was counted."""
-    queries = start_ingest(messages, raw_root, rejects_root, checkpoints, drain=True)
-    for query in queries:
-        query.awaitTermination()
-    return outcomes(queries[0])
+    counted = Outcomes()
+    start_ingest(messages, raw_root, rejects_root, checkpoints, True, counted).awaitTermination()
+    return counted.totals()

@@ -21,7 +21,9 @@ def test_from_messages_to_an_answer(spark, folder):
     main(["ingest", "--folder", f"{folder}/in", "--raw", f"{folder}/raw", "--rejects", f"{folder}/rejects",
           "--checkpoints", f"{folder}/checkpoints", "--drain"])
     window = ["--start", "2026-02-11", "--end", "2026-02-12", "--sources", "faker"]
-    main(["process", "--from", f"{folder}/raw", "--to", f"{folder}/processed", *window])
+    main(["process", "--from", f"{folder}/raw", "--to", f"{folder}/processed", "--rejects", f"{folder}/malformed", *window])
+    scheduled = ["--scheduled", "--now", "2026-02-11T03:10:00", "--sources", "faker", "--ignore-corrupt"]
+    main(["process", "--from", f"{folder}/raw", "--to", f"{folder}/processed", *scheduled])
     main(["compact", "--from", f"{folder}/processed", "--to", f"{folder}/analytics", *window])
     main(["query", "SELECT count(*) AS n, sum(amount) AS total FROM faker()", "--alias",
           f"faker={folder}/analytics/tb-faker/**/*.parquet", "--out", f"{folder}/answer"])

@@ -15,7 +15,7 @@ FIRST, LAST = date(2026, 2, 27), date(2026, 2, 28)
 
 def put_day(spark, root, day, rows, files, value="concat('t', id)", source="faker"):
     df = spark.range(0, rows, 1, files).selectExpr(
-        "TIMESTAMP_NTZ'2026-02-27 00:00:00' AS received_at", f"{value} AS transaction_id", "'u' AS user_id",
+        f"'{source}' AS source", "TIMESTAMP_NTZ'2026-02-27 00:00:00' AS received_at", f"{value} AS transaction_id", "'u' AS user_id",
         "CAST(id AS DOUBLE) AS amount", "'eur' AS currency", "'debit' AS transaction_type",
         f"'{day:%Y}' AS year", f"'{day:%m}' AS month", f"'{day:%d}' AS day", "IF(id % 3 = 0, '04', '17') AS hr",
     )
@@ -97,14 +97,14 @@ def test_only_the_days_that_fail_are_left_out(spark, folder):
 
 
 def test_a_failed_write_is_tried_day_by_day(spark, folder, monkeypatch):
-    out, write = f"{folder}-out", compaction._write_job
+    out, write = f"{folder}-out", compaction._write_day
 
-    def fails_for_the_second(session, table, job, target_bytes, path):
-        if any(day.day == "02" for day in job):
+    def fails_for_the_second(session, table, files, day, path):
+        if day.day == "02":
             raise OSError("disk gone")
-        write(session, table, job, target_bytes, path)
+        write(session, table, files, day, path)
 
-    monkeypatch.setattr(compaction, "_write_job", fails_for_the_second)
+    monkeypatch.setattr(compaction, "_write_day", fails_for_the_second)
     for number in (1, 2, 3):
         put_day(spark, folder, date(2026, 2, number), 50, 1)
     with pytest.raises(RuntimeError, match="faker 2026-02-02: disk gone"):
@@ -112,19 +112,29 @@ def test_a_failed_write_is_tried_day_by_day(spark, folder, monkeypatch):
     assert {row.day for row in scan_analytics(spark, out, "faker").select("day").distinct().collect()} == {"01", "03"}
 
 
-def test_days_are_cut_into_jobs(spark, folder, monkeypatch):
-    monkeypatch.setattr(compaction, "FILES_PER_JOB", 2)
-    monkeypatch.setattr(compaction, "BROADCAST_FILES", 0)
+def test_a_task_may_write_several_files(spark, folder):
     out = f"{folder}-out"
-    for number in range(1, 5):
-        put_day(spark, folder, date(2026, 2, number), 200 * number, 2)
-    compact_days(spark, folder, out, date(2026, 2, 1), date(2026, 2, 28), ["faker"], 6_000)
-    assert multiset(scan_analytics(spark, out, "faker")) == multiset(scan_processed(spark, folder, "faker"))
+    put_day(spark, folder, FIRST, 3_000, 4)
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        compact_days(spark, folder, out, FIRST, FIRST, ["faker"], 4_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    rows, per_file, files = plan_by_hand(glob.glob(f"{folder}/source=faker/*/*/*/*/*.parquet"), 4_000)
+    sizes = sorted(pq.ParquetFile(path).metadata.num_rows for path in files_of(out, FIRST))
+    assert files > 4 and len(sizes) == files and sum(sizes) == rows and sizes[1:] == [per_file] * (files - 1)
+
+
+def test_the_source_is_stored(spark, folder):
+    out = f"{folder}-out"
+    put_day(spark, folder, FIRST, 10, 1)
+    compact_days(spark, folder, out, FIRST, FIRST, ["faker"])
+    assert {r.source for r in scan_analytics(spark, out, "faker").collect()} == {"faker"}
 
 
 def test_plan(spark, folder):
     put_day(spark, folder, FIRST, 1_000, 4)
-    plan = compaction.compaction_plan(scan_processed(spark, folder, "faker"), 5_000).first()
+    plan = compaction.compaction_plan(compaction.stored_files(scan_processed(spark, folder, "faker")), 5_000).first()
     paths = glob.glob(f"{folder}/source=faker/*/*/*/*/*.parquet")
     assert (plan.rows, plan.rows_per_file, plan.files) == plan_by_hand(paths, 5_000)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import day_parts, utc_clock, wall_clock
 from paylake.functions.json_values import Document, as_array
-from paylake.functions.signing import hmac_sha256
+from paylake.functions.signing import hmac_sha256, signing_key
 
 ACCEPTED = [
     "2026-02-15", "2026-02-15T10", "2026-02-15T10:30", "2026-02-15T10:30:45", "2026-02-15T10:30:45.123",
@@ -60,10 +60,21 @@ def test_refused_times(spark):
 def test_hmac_matches_python(spark, secret):
     texts = ["", "v1.1.{}", "é" * 100, "v1.1700000000000." + "body " * 50]
     df = spark.createDataFrame([(text,) for text in texts], "text string")
-    for row in df.select("text", hmac_sha256(secret, F.col("text")).alias("digest")).collect():
+    for row in df.select("text", hmac_sha256(signing_key(spark, secret), F.col("text")).alias("digest")).collect():
         assert row.digest == hmac.new(secret.encode(), row.text.encode(), hashlib.sha256).hexdigest()
 
 
+def test_no_plan_shows_the_key(spark):
+    secret = "a very secret key"
+    df = spark.range(3).select(hmac_sha256(signing_key(spark, secret), F.col("id").cast("string")).alias("d"))
+    pads = [bytes(b ^ pad for b in secret.encode().ljust(64, b"\0")) for pad in (0, 0x36, 0x5C)]
+    df.collect()
+    execution = df._jdf.queryExecution()
+    shown = execution.toString() + execution.logical().toString() + execution.executedPlan().toString()
+    for pad in pads:
+        assert not any(form in shown.lower() for form in (pad.hex()[:24], pad[:12].hex(" "), pad[:12].decode("latin1").lower()))
+
+
 def test_numbers_convert_like_python_floats(spark):
     values = ["12", "12.5", "-3", "1e3", '"12"', '" 12 "', '"1_000"', '"1e5"', '".5"', '"5."', "true", '"+7"']
     refused = ['"12d"', '"0x1p3"', '"1__0"', '"abc"', '""', "null", "[1]", "{}", '"1_"']

@@ -5,9 +5,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from paylake.functions.signing import signing_key
 from paylake.operators import metrics
 from paylake.operators.asof import asof_join
 from paylake.operators.delivery import check_stripe_events, signature_is_valid, verified_deliveries, with_message_key, wrap_events
+from paylake.operators.ranges import range_join
 from tests.conftest import plan_of
 
 START = datetime(2026, 2, 27, 23, 50)
@@ -127,7 +129,7 @@ def test_signatures(spark):
         ("{}", "", "v1=" + sign("{}", ""), False), ("{}", "1", "", False), ("{}", "1", "v1=" + sign("{}", "1").upper(), False),
     ]
     df = table(spark, rows, "body string, ts string, signature string, expected boolean")
-    valid = signature_is_valid("secret", F.col("body"), F.col("ts"), F.col("signature"))
+    valid = signature_is_valid(signing_key(spark, "secret"), F.col("body"), F.col("ts"), F.col("signature"))
     assert [row.v == row.expected for row in df.select(valid.alias("v"), "expected").collect()] == [True] * len(rows)
     assert verified_deliveries(df, "secret").count() == 2
 
@@ -135,10 +137,14 @@ def test_signatures(spark):
 def test_wrapped_events_are_valid_envelopes(spark):
     from paylake.operators.envelope import read_envelopes
 
-    df = table(spark, [(START, '{"data":{"id":"r"}}'), (START, "no json")], "at timestamp_ntz, body string")
-    rows = read_envelopes(wrap_events(df, "revolut", "at", "body")).collect()
-    assert [row.reason for row in rows] == [None, "missing_key"]
-    assert (rows[0].source, rows[0].received_at) == ("revolut", "2026-02-27T23:50:00.000")
+    bodies = ['{"z": 1, "a":{"id":"r"}}', "no json", None, "null", "{} x", " [1] ", '"t"']
+    wrapped = wrap_events(table(spark, [(START, b) for b in bodies], "at timestamp_ntz, body string"), 'a "b"', "at", "body")
+    rows = wrapped.collect()
+    assert [(row.reason, row.payload) for row in rows if row.reason] == [("not_json", "no json"), ("not_json", None), ("not_json", "{} x")]
+    assert rows[0].value == '{"source":"a \\"b\\"","received_at":"2026-02-27T23:50:00.000","payload":{"z": 1, "a":{"id":"r"}}}'
+    read = read_envelopes(wrapped.filter("reason IS NULL").select("value")).collect()
+    assert [row.reason for row in read] == [None] * 4
+    assert (read[0].source, read[0].received_at) == ('a "b"', "2026-02-27T23:50:00.000")
 
 
 EVENTS = [
@@ -183,3 +189,48 @@ def test_asof_with_a_hot_moment(spark):
     # Every left row is also a right row, so its match is at its own time or, among copies, the greatest.
     assert found.filter("v IS NULL OR v < n").count() == 0
     assert found.filter("k = 'hot' AND ts = TIMESTAMP_NTZ'2026-02-27 12:00:00'").select("v").distinct().count() == 1
+
+
+@pytest.mark.parametrize("name", ["bucket", "side", "found", "start", "within", "last", "a.b", "_row", "n"])
+def test_asof_with_any_names(spark, name):
+    left, right = random_side(3, 200, 9_000, ["a", "b"]), random_side(4, 200, 9_000, ["a", "b"])
+    one = table(spark, left, "k string, ts timestamp_ntz, left_n int").toDF(name, "last" if name != "last" else "when", "left_n")
+    two = table(spark, right, "k string, ts timestamp_ntz, v int").toDF(name, one.columns[1], "v").withColumn("m", F.create_map(F.lit("x"), F.col("v")))
+    found = asof_join(one, two, [name], one.columns[1], points_per_part=3)
+    assert sorted(map(tuple, found.drop("m").collect()), key=str) == expected_asof(left, right)
+    assert found.filter("v IS NOT NULL AND m['x'] <> v").count() == 0
+
+
+def test_asof_with_an_integer_key_and_taken_suffixes(spark):
+    left = table(spark, [(1, START, 5, 6)], "side int, ts timestamp_ntz, v int, v_right int")
+    right = table(spark, [(1, START - timedelta(hours=3), 7)], "side int, ts timestamp_ntz, v int")
+    found = asof_join(left, right, ["side"], "ts")
+    assert found.columns == ["side", "ts", "v", "v_right", "v_right_right"]
+    assert tuple(found.first())[2:] == (5, 6, 7)
+
+
+def test_a_busy_hour_is_cut(spark):
+    left = spark.range(3_000).selectExpr("'k' AS k", "timestampadd(SECOND, id, TIMESTAMP_NTZ'2026-02-27 00:00:00') AS ts", "id AS n")
+    right = left.filter("n % 700 = 0").select("k", "ts", F.col("n").alias("v"))
+    found = asof_join(left, right, ["k"], "ts", points_per_part=100)
+    assert found.filter("v <> n - n % 700 OR v IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("width", [None, 0.5, 1000.0])
+def test_intervals_against_all_pairs(spark, width):
+    rng = random.Random(5)
+    spans = [(i, a, a + rng.choice([0, -1, 1, 3, 90]) * rng.random()) for i in range(200) for a in [rng.uniform(-50, 50)]] + [(900, None, 1.0), (901, 0.0, None)]
+    dots = [(i, rng.choice([rng.uniform(-60, 60), float(rng.randint(-5, 5))])) for i in range(200)] + [(999, None)]
+    found = range_join(table(spark, spans, "i int, low double, high double"), table(spark, dots, "p int, at double"), "low", "high", "at", width)
+    want = [(i, p) for i, a, b in spans for p, x in dots if None not in (a, b, x) and a <= x < b]
+    assert sorted((r.i, r.p) for r in found.collect()) == sorted(want)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+
+
+def test_intervals_of_times(spark):
+    spans = table(spark, [(1, START, START + timedelta(hours=1))], "i int, low timestamp_ntz, high timestamp_ntz")
+    dots = table(spark, [(n, START + timedelta(minutes=30 * n)) for n in range(-1, 4)], "p int, at timestamp_ntz")
+    assert sorted(r.p for r in range_join(spans, dots, "low", "high", "at").collect()) == [0, 1]
+    with pytest.raises(ValueError, match="both sides"):
+        range_join(spans, dots.withColumn("i", F.lit(1)), "low", "high", "at")
+    assert range_join(spans.limit(0), dots, "low", "high", "at").count() == 0

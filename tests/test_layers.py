@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 from datetime import date, datetime
@@ -5,15 +6,14 @@ from datetime import date, datetime
 import pytest
 
 from paylake.operators.envelope import read_envelopes, valid_rows
-from paylake.plans.jobs import ingest_batch, payload_rejects, process_days, process_previous_hour
+from paylake.plans.jobs import compact_days, ingest_batch, payload_rejects, process_days, process_previous_hour
 from paylake.sources.layers import (
     Days,
     append_raw,
     days_between,
-    in_days,
     in_previous_day,
     in_previous_hour,
-    resolve_dates,
+    scan_analytics,
     scan_processed,
     scan_raw,
 )
@@ -44,17 +44,17 @@ def raw(spark, folder):
 
 
 def test_partition_values_keep_their_zeros(spark, raw):
-    row = scan_raw(spark, raw, in_days(date(2026, 2, 27), date(2026, 2, 27))).filter("hr = '05'").first()
+    row = scan_raw(spark, raw, Days(date(2026, 2, 27), date(2026, 2, 27))).filter("hr = '05'").first()
     assert (row.year, row.month, row.day, row.hr) == ("2026", "02", "27", "05")
     assert os.path.isdir(f"{raw}/source=faker/year=2026/month=02/day=27/hr=05")
 
 
 def test_window_is_a_partition_filter(spark, raw):
-    df = scan_raw(spark, raw, in_days(date(2026, 2, 28), date(2026, 3, 1)), ["faker"])
+    df = scan_raw(spark, raw, Days(date(2026, 2, 28), date(2026, 3, 1)), ["faker"])
     assert "Filter " not in plan_of(df).replace("PartitionFilters", "").replace("DataFilters", "")
     assert len(df.inputFiles()) == 4
     assert df.count() == 4
-    assert scan_raw(spark, raw, in_days(date(2026, 2, 28), date(2026, 2, 28)), ["faker"]).count() == 3
+    assert scan_raw(spark, raw, Days(date(2026, 2, 28), date(2026, 2, 28)), ["faker"]).count() == 3
 
 
 def test_only_the_folders_of_the_window_are_listed(spark, raw):
@@ -73,7 +73,7 @@ def test_only_the_folders_of_the_window_are_listed(spark, raw):
 
 def test_a_missing_layer_is_an_error(spark, folder):
     with pytest.raises(ValueError, match="no such layer"):
-        scan_raw(spark, f"{folder}/nowhere", in_days(date(2026, 2, 28), date(2026, 2, 28)))
+        scan_raw(spark, f"{folder}/nowhere", Days(date(2026, 2, 28), date(2026, 2, 28)))
 
 
 def test_previous_hour_crosses_midnight_and_months(spark, raw):
@@ -82,25 +82,19 @@ def test_previous_hour_crosses_midnight_and_months(spark, raw):
     assert scan_raw(spark, raw, in_previous_day(datetime(2026, 3, 1, 1, 45))).count() == 6
 
 
-def test_dates():
-    assert resolve_dates("single_day", day="2026-02-11") == (date(2026, 2, 11), date(2026, 2, 11))
-    assert resolve_dates("single_day", day=datetime(2026, 2, 11, 9)) == (date(2026, 2, 11), date(2026, 2, 11))
-    assert resolve_dates("range", start=date(2026, 2, 11), end="2026-02-12") == (date(2026, 2, 11), date(2026, 2, 12))
+def test_windows_from_days():
+    day = Days(date(2026, 2, 11), date(2026, 2, 11))
+    assert Days.on("2026-02-11") == Days.on(datetime(2026, 2, 11, 9)) == Days.on(date(2026, 2, 11)) == day
+    assert Days.through(date(2026, 2, 11), "2026-02-12") == Days(date(2026, 2, 11), date(2026, 2, 12))
 
 
-@pytest.mark.parametrize("arguments", [
-    {"mode": "single_day"}, {"mode": "range", "start": "2026-01-01"}, {"mode": "range", "end": "2026-01-01"},
-    {"mode": "range", "start": "2026-01-02", "end": "2026-01-01"}, {"mode": "weekly"}, {"mode": None},
-    {"mode": "single_day", "day": "11.02.2026"},
+@pytest.mark.parametrize("make, error", [
+    (lambda: Days.through("2026-01-02", "2026-01-01"), ValueError), (lambda: Days.on("11.02.2026"), ValueError),
+    (lambda: Days.on(20260211), TypeError), (lambda: Days.on(None), TypeError), (lambda: Days.through("2026-01-01", None), TypeError),
 ])
-def test_date_errors(arguments):
-    with pytest.raises(ValueError):
-        resolve_dates(**arguments)
-
-
-def test_date_type_error():
-    with pytest.raises(TypeError):
-        resolve_dates("single_day", day=20260211)
+def test_no_window(make, error):
+    with pytest.raises(error):
+        make()
 
 
 def test_days_between(spark):
@@ -111,7 +105,7 @@ def test_days_between(spark):
 
 def test_other_files_and_empty_tables_add_no_rows(spark, raw):
     before = scan_raw(spark, raw).count()
-    place = f"{raw}/source=faker/year=2026/month=02/day=27/hr=05"
+    place = glob.glob(f"{raw}/source=faker/year=2026/month=02/day=27/hr=05/batch=*")[0]
     with open(f"{place}/notes.txt", "w") as file:
         file.write("not a table")
     empty = valid_rows(read_envelopes(messages(spark, [])))
@@ -121,7 +115,8 @@ def test_other_files_and_empty_tables_add_no_rows(spark, raw):
 
 def test_unreadable_files_fail_unless_ignored(spark, raw):
     before = scan_raw(spark, raw).count()
-    with open(f"{raw}/source=faker/year=2026/month=02/day=27/hr=05/part-broken.parquet", "wb") as file:
+    place = glob.glob(f"{raw}/source=faker/year=2026/month=02/day=27/hr=05/batch=*")[0]
+    with open(f"{place}/part-broken.parquet", "wb") as file:
         file.write(b"PAR1 this is no table PAR1")
     with pytest.raises(Exception):
         scan_raw(spark, raw).select("payload").collect()
@@ -151,6 +146,36 @@ def test_scheduled_run_rebuilds_the_previous_hour_only(spark, raw, folder):
     assert scan_processed(spark, target, "faker").count() == 5
 
 
+def test_a_window_holds_what_was_last_read(spark, raw, folder):
+    """Hours and days without rows are removed; what lies outside the window stays."""
+    target, less = f"{folder}-processed", f"{folder}-less"
+    window = (date(2026, 2, 27), date(2026, 2, 28))
+    process_days(spark, raw, target, date(2026, 2, 27), date(2026, 3, 1), ["faker"])
+    ingest_batch(messages(spark, [message("2026-02-27T05:00:00.000")]), less)
+    process_days(spark, less, target, *window, ["faker"])
+    assert {(r.day, r.hr) for r in scan_processed(spark, target, "faker").collect()} == {("27", "05"), ("01", "00")}
+    process_previous_hour(spark, less, target, datetime(2026, 2, 27, 6, 0), ["revolut"])
+    out = f"{folder}-analytics"
+    compact_days(spark, target, out, *window, ["faker"])
+    ingest_batch(messages(spark, [message("2026-02-28T05:00:00.000")]), f"{folder}-other")
+    process_days(spark, f"{folder}-other", target, *window, ["faker"])
+    compact_days(spark, target, out, *window, ["faker"])
+    assert [(r.source, r.day) for r in scan_analytics(spark, out, "faker").collect()] == [("faker", "28")]
+
+
+def test_the_job_accounts_for_every_row(spark, folder):
+    texts = [message("2026-02-27T00:00:00.000", number=1), message("2026-02-27T01:00:00.000", status=None), message("2026-02-27T02:00:00.000", status="FAILED")]
+    ingest_batch(messages(spark, texts), f"{folder}/raw")
+    run = lambda: process_days(spark, f"{folder}/raw", f"{folder}/p", date(2026, 2, 27), date(2026, 2, 27), ["faker"], rejects_root=f"{folder}/r")
+    assert run() == run() == {"faker": {"read": 3, "kept": 1, "rejected": 1, "dropped": 1}}
+    (row,) = spark.read.parquet(f"{folder}/r").collect()
+    assert (row.reason, row.source, row.hr) == ("not_text", "faker", "01")
+    for place in glob.glob(f"{folder}/raw/source=faker/*/*/*/hr=01"):
+        os.rename(place, f"{folder}/moved")
+    assert run()["faker"]["rejected"] == 0
+    assert not glob.glob(f"{folder}/r/source=faker/*/*/*/hr=01")
+
+
 def test_rejected_payloads_of_a_window(spark, folder):
     texts = [message("2026-02-27T00:00:00.000", number=1), message("2026-02-27T00:00:00.000", status=None)]
     assert ingest_batch(messages(spark, texts + ["junk"]), folder).count() == 1

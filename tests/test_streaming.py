@@ -9,6 +9,7 @@ from paylake.operators.envelope import read_envelopes, valid_rows
 from paylake.plans.jobs import ingest_batch
 from paylake.sources.layers import scan_raw
 from paylake.sources.streams import file_messages
+from paylake.streaming import ingest
 from paylake.streaming.ingest import drain_ingest, start_ingest
 from paylake.streaming.rates import live_counts, live_rates
 from paylake.streaming.updates import latest, store_updates
@@ -68,25 +69,49 @@ def test_late_messages_go_to_their_own_hour(spark, folder):
 
 def test_continuous_run_can_be_stopped(spark, folder):
     put(folder, "1.txt", [text(1), text(2)])
-    queries = start_ingest(
+    query = start_ingest(
         file_messages(spark, f"{folder}/in"), f"{folder}/raw", f"{folder}/rejects", f"{folder}/checkpoints"
     )
-    for query in queries:
-        query.processAllAvailable()
-        query.stop()
+    query.processAllAvailable()
+    query.stop()
     assert stored(spark, folder) == [1, 2]
 
 
-def test_a_layer_has_one_kind_of_writer(spark, folder):
+def test_every_batch_is_counted_whatever_the_engine_remembers(spark, folder):
+    for batch in range(8):
+        put(folder, f"{batch}.txt", [text(batch), "junk"])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        assert drain(spark, folder) == {"accepted": 8, "refused": 8}
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert stored(spark, folder) == list(range(8))
+
+
+def test_a_crash_between_write_and_commit_repeats_nothing(spark, folder, monkeypatch):
+    put(folder, "1.txt", [text(1), text(2), "junk"])
+    store = ingest._store
+
+    def dies_after_writing(*arguments):
+        store(*arguments)
+        raise OSError("lost")
+
+    monkeypatch.setattr(ingest, "_store", dies_after_writing)
+    with pytest.raises(Exception, match="lost"):
+        drain(spark, folder)
+    monkeypatch.setattr(ingest, "_store", store)
+    put(folder, "2.txt", [text(3)])
+    assert drain(spark, folder) == {"accepted": 3, "refused": 1}
+    assert stored(spark, folder) == [1, 2, 3] and spark.read.parquet(f"{folder}/rejects").count() == 1
+    assert not os.path.exists(f"{folder}/raw/_spark_metadata")
+
+
+def test_streams_and_batches_share_a_layer(spark, folder):
     put(folder, "1.txt", [text(1)])
-    lines = spark.read.text(f"{folder}/in")
     drain(spark, folder)
-    with pytest.raises(ValueError, match="written by a stream"):
-        ingest_batch(lines, f"{folder}/raw")
-    ingest_batch(lines, f"{folder}/other")
-    with pytest.raises(ValueError, match="filled by batches"):
-        drain_ingest(file_messages(spark, f"{folder}/in"), f"{folder}/other", f"{folder}/r", f"{folder}/c")
-    assert scan_raw(spark, f"{folder}/other").count() == 1
+    ingest_batch(spark.read.text(f"{folder}/in"), f"{folder}/raw")
+    drain_ingest(file_messages(spark, f"{folder}/in"), f"{folder}/raw", f"{folder}/r", f"{folder}/c")
+    assert stored(spark, folder) == [1, 1, 1]
 
 
 def test_ingest_does_not_shuffle(spark, folder):
