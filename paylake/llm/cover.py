@@ -181,7 +181,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, pivots: in
         ids, n = group["id"].to_numpy("<i8").tobytes(), group["n"].to_numpy("<i8").tobytes()
         return pd.DataFrame([(first["space"], first["cell"], first["part"], points[0].tolist(), float(made.radius[0]), made.pack(), ids, n)], columns=["space", "cell", "part", "centre", "radius", "tree", "ids", "n"])
 
-    trees = dealt.groupBy("space", "cell", "part").applyInPandas(
+    # Dealt by part as well: the join before has a cell's rows in one place.
+    trees = dealt.repartition("space", "cell", "part").groupBy("space", "cell", "part").applyInPandas(
         tree, "space string, cell int, part int, centre array<double>, radius double, tree binary, ids binary, n binary"
     )
     trees = staged(trees.withColumn("key", F.concat_ws(":", "space", "cell", "part")), "cover-trees")
