@@ -35,7 +35,7 @@ FIRST, LAST = date(2024, 1, 1), date(2024, 1, 2)
 SQL_QUERIES = [
     "sql_join_inner", "sql_join_left", "sql_range_join", "sql_anti", "sql_group_agg", "sql_cube", "sql_distinct", "sql_rank",
     "sql_lag_lead", "sql_range_frame", "sql_topk", "sql_topk_group", "sql_intersect", "sql_lateral", "sql_json", "sql_explode",
-    "sql_session", "sql_time_bucket", "sql_pivot", "sql_stats",
+    "sql_session", "sql_time_bucket", "sql_pivot", "sql_stats", "range_join",
 ]
 
 

@@ -74,6 +74,11 @@ NUMBER_TEXT = (
 )
 
 
+def beyond_limits(text: Column) -> Column:
+    """Whether a text that could not be read has a number longer than the parser's limit of 1,000 characters."""
+    return text.rlike("[-+.0-9eE]{1001}")
+
+
 def opens_object(text: Column) -> Column:
     """Whether a text known to be JSON is an object."""
     return F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))

@@ -4,6 +4,7 @@ A message is the JSON text `{source, received_at, payload}`. One parse extracts
 gets a `reason` when it is not a valid envelope:
 
     not_object       not JSON, or JSON that is no object
+    too_large        unreadable, with a number of more than 1,000 characters, the parser's limit
     missing_key      a key is absent, or source is null (payload may be null)
     bad_source       source is not text
     bad_received_at  received_at is not an accepted timestamp text
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import day_parts, wall_clock
-from paylake.functions.json_values import Document, as_array, canonical_field, computed_once
+from paylake.functions.json_values import Document, as_array, beyond_limits, canonical_field, computed_once
 from paylake.schemas import HOUR_PARTS
 
 _FIELDS = "ARRAY<STRUCT<source: STRING, received_at: STRING, payload: STRING>>"
@@ -51,7 +52,7 @@ def read_envelopes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     alone = (F.coalesce(F.size("docs"), F.lit(0)) == 2) & F.get("docs", F.lit(1)).isNull()
     source, received_at, payload = doc["source"], doc["received_at"], doc["payload"]
     reason = (
-        F.when(~alone | doc.isNull(), "not_object")
+        F.when(~alone | doc.isNull(), F.when(beyond_limits(F.col("value")), "too_large").otherwise("not_object"))
         .when(
             source.isNull() | _key_absent(received_at, "received_at") | _key_absent(payload, "payload"),
             "missing_key",

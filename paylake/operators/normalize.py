@@ -3,7 +3,7 @@
 Each source declares which rows it wants, the fields a wanted row must have, and the columns it takes. Rows a
 source does not want are dropped; malformed rows go to `rejected_payloads`, or stop the job when `strict`.
 
-Reasons: `not_json`, `not_object`, `missing_field`, `not_text`, `bad_amount`, `bad_received_at`.
+Reasons: `not_json`, `too_large` (unreadable, with a number beyond the parser's limit of 1,000 characters), `not_object`, `missing_field`, `not_text`, `bad_amount`, `bad_received_at`.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paylake.functions.iso_time import utc_clock
-from paylake.functions.json_values import Document, as_array, computed_once, opens_object
+from paylake.functions.json_values import Document, as_array, beyond_limits, computed_once, opens_object
 from paylake.schemas import processed_schema
 
 
@@ -152,7 +152,7 @@ def _fault(rules: Rules, doc: Document) -> Column:
     )
     unreadable = rules.unreadable(doc)
     return (
-        F.when(~F.coalesce(doc.is_alone(), F.lit(False)), "not_json")
+        F.when(~F.coalesce(doc.is_alone(), F.lit(False)), F.when(beyond_limits(F.col("payload")), "too_large").otherwise("not_json"))
         .when(_wanted(rules, doc), of_wanted)
         # The type of a whole document costs a walk through it; its first character tells as much.
         .when(unreadable.isNotNull(), F.when(opens_object(F.col("payload")), unreadable).otherwise("not_object"))

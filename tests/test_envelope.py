@@ -111,3 +111,15 @@ def test_no_python_in_the_plan(spark, python_node):
 
     df = spark.createDataFrame([("{}",)], "value string")
     assert python_node not in plan_of(valid_rows(read_envelopes(df)))
+
+
+def test_numbers_beyond_the_parser_have_a_reason_of_their_own(spark):
+    from paylake.operators.normalize import rejected_payloads
+
+    body = '{"status":"completed","amount":%s}' % ("9" * 1001)
+    value = '{"source":"faker","received_at":"2026-02-15T10:30:45.123","payload":%s}' % body
+    df = spark.createDataFrame([(value,), ("9" * 50,)], "value string")
+    assert [row.reason for row in read_envelopes(df).collect()] == ["too_large", "not_object"]
+    raw = spark.createDataFrame([("2026-02-15T10:30:45.123", body)], "received_at string, payload string")
+    (row,) = rejected_payloads(raw, "faker").collect()
+    assert (row.reason, row.payload) == ("too_large", body)
