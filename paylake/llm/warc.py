@@ -125,7 +125,7 @@ def _parsed(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(spark: SparkSession, path: str, also: list[Column] = ()) -> DataFrame:
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """The text between candidates, with its file, split and order there. The reader cuts files into byte ranges."""
     text = spark.read.option("lineSep", MAGIC).option("recursiveFileLookup", "true").text(path)
     return text.select(
@@ -171,9 +171,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     with the bytes there are.
     """
     pieces = _pieces(spark, path)
-    lengths = pieces.select("file", "_split_at", "_nth", "_len", F.struct("value").alias("_v"))
-    # Parsed where it is read: only small rows are ordered and shuffled.
-    parsed = _parsed(lengths.select("file", F.lit(0).cast("long").alias("at"), "_v.value", "_split_at", "_nth", "_len").withColumn("file", F.struct("file", "_split_at", "_nth", "_len")))
+    # Parsed where it is read, with places still counted from each piece: only small rows are ordered and shuffled.
+    place = F.struct("file", "_split_at", "_nth", "_len")
+    parsed = _parsed(pieces.select(place.alias("file"), F.lit(0).cast("long").alias("at"), "value"))
     parsed = parsed.select("file.*", *[c for c in parsed.columns if c not in ("file", "at", "next")], F.col("next").alias("_span"))
     found = staged(_with_offsets(parsed).withColumn("next", F.col("at") + F.col("_span")).drop("_span"), "warc-candidates")
     records = found.join(chain(found), ["file", "at"], "left_semi")

@@ -2,7 +2,6 @@ import hashlib
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from paylake.llm import cover, warc
 from paylake.llm.common import small_batches
