@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 from paylake.llm.common import small_batches, staged, table
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 #: Windows of a snippet are dealt in ranges of this many starts, which share the bytes all of them cover.
-RANGE = 25
+RANGE = 35
 #: Depth of the multikey quicksort in 8-byte words; blind tries order what is still equal there.
 SHALLOW = 4
 #: Windows sorted together in a task, unless one group has more.
 WINDOWS = 400_000
+#: Anchors a task combines before they are shuffled. Of a snippet that is everywhere, one occurrence per so many goes on.
+COMBINED = 1 << 19
 #: Longer texts are scanned in pieces of so many windows.
 PIECE = 1 << 18
 _INDEX = np.uint64((1 << 20) - 1)
@@ -182,9 +184,37 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
                 yield np.array(items)
 
 
-_ROWS = "h bigint, doc bigint, place int, lo int, hi int, sn bigint"
-_PARTS = "core bigint, doc bigint, lo int, hi int, sn bigint, first int, lead int, bytes binary"
-_RUNS = "doc bigint, lo int, hi int, sn bigint, runs array<int>"
+# A span is the place of an anchor, the bytes before it from where its first window starts, the number of its windows less
+# one, and whether all of them are repeats: 38, 12, 12 and 1 bits.
+_ROWS = "key bigint, doc bigint, sn bigint, span bigint"
+LONGEST = 1 << 12
+
+
+def _span(place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    return (place << 25) | ((place - lo) << 13) | ((hi - lo) << 1)
+
+
+def _unspan(span: int) -> tuple[int, int, int]:
+    place = span >> 25
+    lo = place - (span >> 13 & 0xFFF)
+    return place, lo, lo + (span >> 1 & 0xFFF)
+
+
+def _spread(doc: np.ndarray, span: np.ndarray) -> np.ndarray:
+    return _mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + span.view(np.uint64)).view(np.int64)
+
+
+def settled(key: np.ndarray, doc: np.ndarray, sn: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order, of which the first occurrence of each snippet, and which are later ones. Rows of one place are alike."""
+    order = np.lexsort((span, doc, sn, key))
+    key, doc, sn, span = key[order], doc[order], sn[order], span[order]
+    new = np.concatenate(([True], (np.diff(key) != 0) | (np.diff(sn) != 0))) if len(order) else np.zeros(0, bool)
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return order, new, (doc != doc[first]) | (span != span[first])
+
+
+_PARTS = "core bigint, doc bigint, span bigint, sn bigint, first int, bytes binary"
+_RUNS = "doc bigint, span bigint, sn bigint, runs array<int>"
 
 
 def _batch(columns: list, ddl: str) -> pa.RecordBatch:
@@ -200,35 +230,69 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     the same document. kept: the other bytes. Null texts are empty. Rows of one doc_id are alike: where they hold the same
     string at the same place neither is earlier. A row without doc_id is compared with nothing. Other columns are not read.
     """
-    if length < GRAM + 8:
-        raise ValueError("strings must be longer than a gram")
+    if not GRAM + 8 <= length <= LONGEST:
+        raise ValueError(f"strings have {GRAM + 8} to {LONGEST} bytes")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = docs.filter("doc_id IS NOT NULL")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h, place, lo, hi, sn = anchors(_bytes(text), length)
+                waiting.append((h, np.full(len(h), doc, np.int64), sn, _span(place, lo, hi)))
+                size += len(h)
+            if size >= COMBINED:
+                yield from combined(waiting)
+                waiting, size = [], 0
+        if size:
+            yield from combined(waiting)
+
+    def combined(waiting: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, doc, sn, span = (np.concatenate(c) for c in zip(*waiting, strict=True))
+        order, first, later = settled(key, doc, sn, span)
+        # Later occurrences need no other task; they travel by their own hash, so no key gathers them.
+        some, more = order[first], order[later]
+        whole = span[more] | 1
+        rows = [np.concatenate(c) for c in ((key[some], _spread(doc[more], whole)), (doc[some], doc[more]), (sn[some], sn[more]), (span[some], whole))]
+        for at in range(0, len(rows[0]), 1 << 16):
+            yield _batch([c[at : at + (1 << 16)] for c in rows], _ROWS)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []
         for batch in batches:
-            found = [(k, anchors(_bytes(t), length)) for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
-            found = [(np.full(len(a[0]), k, np.int64), a) for k, a in found]
-            h, place, lo, hi, sn = (np.concatenate([a[i] for _, a in found]) for i in range(5))
-            doc = np.concatenate([d for d, _ in found])
-            for at in range(0, len(h), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield _batch([h[part], doc[part], place[part], lo[part], hi[part], sn[part]], _ROWS)
-
-    # Two scans of the documents cost less than storing every anchor.
-    every = named.mapInArrow(scan, _ROWS)
-    again = every.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    met = staged(every.join(again, "h"), "anchors")
-
-    # Equal snippets: all but the first occurrence go whole.
-    kinds = met.groupBy("h", "sn").agg(F.min(F.struct("doc", "place", "lo", "hi")).alias("first"), F.count("*").alias("n"))
-    kinds = staged(kinds, "snippets")
-    copies = kinds.filter("n > 1").select("h", "sn", "first")
-    whole = met.join(copies, ["h", "sn"]).filter("doc <> first.doc OR place <> first.place").select("doc", "lo", "hi", "sn", F.lit(None).cast("array<int>").alias("runs"))
-
-    # Different snippets around one anchor hash: their bytes are fetched, first occurrences only.
-    several = kinds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    asked = kinds.join(several, "h").select("h", "sn", "first.*").groupBy("doc").agg(F.collect_list(F.struct("h", "place", "lo", "hi", "sn")).alias("asked"))
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            cut = np.searchsorted(rows[0], rows[0][-1])
+            if cut and sum(len(w[0]) for w in waiting) + cut >= COMBINED // 4:
+                yield decided([*waiting, [c[:cut] for c in rows]])
+                waiting, rows = [], [c[cut:] for c in rows]
+            waiting.append(rows)
+        if waiting:
+            yield decided(waiting)
+
+    def decided(waiting: list[list[np.ndarray]]) -> pa.RecordBatch:
+        """Spans to remove, and those whose anchor hash has several snippets; the rest occurs once."""
+        key, doc, sn, span = (np.concatenate(c) for c in zip(*waiting, strict=True))
+        known = span & 1 == 1
+        done = [c[known] for c in (key, doc, sn, span)]
+        key, doc, sn, span = (c[~known] for c in (key, doc, sn, span))
+        order, first, later = settled(key, doc, sn, span)
+        some, more = order[first], order[later]
+        begin = np.flatnonzero(np.concatenate(([True], np.diff(key[some]) != 0))) if len(some) else np.zeros(0, np.int64)
+        kinds = np.diff(np.append(begin, len(some)))
+        some = some[np.repeat(kinds, kinds) > 1]
+        picked = [np.concatenate((d, c[more], c[some])) for d, c in zip(done, (key, doc, sn, span), strict=True)]
+        picked[3][len(done[0]) : len(done[0]) + len(more)] |= 1
+        return _batch(picked, _ROWS)
+
+    every = named.mapInArrow(scan, _ROWS).repartition("key").sortWithinPartitions("key")
+    found = staged(every.mapInArrow(meet, _ROWS), "snippets")
+    whole = found.filter("span & 1 = 1").select("doc", "span", "sn", F.lit(None).cast("array<int>").alias("runs"))
+
+    # Different snippets around one anchor hash: their bytes are fetched, first occurrences only. The documents are dealt
+    # by id once, for this and for the removal.
+    asked = found.filter("span & 1 = 0").groupBy("doc").agg(F.collect_list(F.struct("key", "span", "sn")).alias("asked"))
+    dealt = named.repartition("doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,7 +302,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for at in range(0, len(rows), 4096):
                 yield _batch(list(zip(*rows[at : at + 4096], strict=True)), _PARTS)
 
-    parts = named.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "asked").mapInArrow(cut, _PARTS)
+    parts = dealt.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "asked").mapInArrow(cut, _PARTS)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, windows = [], 0
@@ -248,12 +312,12 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     yield repeats(waiting, length)
                     waiting, windows = [], 0
                 waiting.append(row)
-                windows += len(row[7]) - length + 1
+                windows += len(row[5]) - length + 1
         if waiting:
             yield repeats(waiting, length)
 
     runs = parts.repartition("core").sortWithinPartitions("core").mapInArrow(sort, _RUNS)
-    spans = whole.union(runs).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi", "sn", "runs")).alias("spans"))
+    spans = whole.union(runs).groupBy("doc").agg(F.collect_list(F.struct("span", "sn", "runs")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -266,53 +330,53 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t.type) for i, t in enumerate(kinds)], schema=kinds)
 
     ddl = "doc_id bigint, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary"
-    out = named.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans").mapInArrow(remove, ddl)
-    unnamed = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<struct<lo: int, hi: int, sn: bigint, runs: array<int>>>").alias("spans"))
+    out = dealt.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans").mapInArrow(remove, ddl)
+    unnamed = docs.filter("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast("array<struct<span: bigint, sn: bigint, runs: array<int>>>").alias("spans"))
     return out.union(unnamed.mapInArrow(remove, ddl))
 
 
-def _own(data: np.ndarray, wanted: list[dict], length: int) -> list[dict]:
-    """Those snippets that this text holds; another text of the same doc_id may have asked for the others."""
-    wanted = [w for w in wanted if w["hi"] + length <= len(data)]
-    if not wanted:
+def _own(data: np.ndarray, wanted: list[dict], length: int) -> list[tuple]:
+    """(asked, place, lo, hi) of those snippets that this text holds; another text of the same doc_id may have the others."""
+    rows = [(w, *_unspan(w["span"])) for w in wanted]
+    rows = [r for r in rows if r[3] + length <= len(data)]
+    if not rows:
         return []
-    lo, hi = (np.array([w[k] for w in wanted], np.int64) for k in ("lo", "hi"))
-    same = stretch_hashes(data, lo, hi + length).view(np.int64) == np.array([w["sn"] for w in wanted], np.int64)
-    return [w for w, s in zip(wanted, same.tolist(), strict=True) if s]
+    lo, hi = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
+    same = stretch_hashes(data, lo, hi + length).view(np.int64) == np.array([r[0]["sn"] for r in rows], np.int64)
+    return [r for r, s in zip(rows, same.tolist(), strict=True) if s]
 
 
 def snippet_parts(doc: int, data: np.ndarray, wanted: list[dict], length: int = LENGTH) -> list[tuple]:
     """Rows of a snippet's windows by range of their lead, the bytes before the anchor; `core` names the bytes shared."""
     cuts = []
-    for w in _own(data, wanted, length):
-        place, lo, hi = w["place"], w["lo"], w["hi"]
+    for w, place, lo, hi in _own(data, wanted, length):
         for r in range((place - hi) // RANGE, (place - lo) // RANGE + 1):
             first, last = max(lo, place - RANGE * r - RANGE + 1), min(hi, place - RANGE * r)
             cuts.append((w, r, first, last, place - RANGE * r, place - RANGE * r - RANGE + 1 + length))
     if not cuts:
         return []
     core = stretch_hashes(data, np.array([c[4] for c in cuts]), np.array([c[5] for c in cuts]))
-    core = _mix(core ^ np.array([(c[0]["h"] + c[1]) & 0xFFFFFFFFFFFFFFFF for c in cuts], np.uint64)).view(np.int64).tolist()
+    core = _mix(core ^ np.array([(c[0]["key"] + c[1]) & 0xFFFFFFFFFFFFFFFF for c in cuts], np.uint64)).view(np.int64).tolist()
     raw = data.tobytes()
-    return [(k, doc, w["lo"], w["hi"], w["sn"], first, w["place"] - first, raw[first : last + length]) for k, (w, _, first, last, *_) in zip(core, cuts, strict=True)]
+    return [(k, doc, w["span"], w["sn"], first, raw[first : last + length]) for k, (w, _, first, last, *_) in zip(core, cuts, strict=True)]
 
 
 def repeats(rows: list[tuple], length: int = LENGTH) -> pa.RecordBatch:
     """For rows of whole groups: the runs of window starts, first and last, that hold a repeat of an earlier window."""
-    sizes = np.array([len(r[7]) for r in rows], np.int64)
+    sizes = np.array([len(r[5]) for r in rows], np.int64)
     base = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     count = sizes - length + 1
     row = np.repeat(np.arange(len(rows)), count)
     step = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)
     core = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
+    doc, span, first = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 4))
     # Windows can only be equal if they share core and lead.
-    group = core[row] * (length + 1) + np.array([r[6] for r in rows], np.int64)[row] - step
+    group = core[row] * (length + 1) + ((span >> 25) - first)[row] - step
     numbers, counts = np.unique(group, return_inverse=True, return_counts=True)[1:]
     several = np.flatnonzero(counts[numbers] > 1)
-    doc, first = (np.array([r[i] for r in rows], np.int64) for i in (1, 5))
     repeat = np.zeros(len(row), bool)
     if len(several):
-        data = np.frombuffer(b"".join(r[7] for r in rows), np.uint8)
+        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
         starts = (base[row] + step)[several]
         for items in equal_windows(data, starts, numbers[several], length):
             own = several[items]
@@ -321,18 +385,18 @@ def repeats(rows: list[tuple], length: int = LENGTH) -> pa.RecordBatch:
             repeat[own[(at != at[low]) | (start != start[low])]] = True
     made = []
     for i in np.unique(row[repeat]).tolist():
-        found = first[i] + step[(row == i) & repeat] if len(rows) < 64 else first[i] + np.flatnonzero(repeat[np.searchsorted(row, i) : np.searchsorted(row, i, "right")])
+        found = first[i] + np.flatnonzero(repeat[np.searchsorted(row, i) : np.searchsorted(row, i, "right")])
         edge = np.flatnonzero(np.diff(found) != 1)
         runs = np.stack((found[np.concatenate(([0], edge + 1))], found[np.concatenate((edge, [len(found) - 1]))]), 1).ravel().tolist()
-        made.append((rows[i][1], rows[i][2], rows[i][3], rows[i][4], runs))
-    return _batch(list(zip(*made, strict=True)) if made else [[]] * 5, _RUNS)
+        made.append((rows[i][1], rows[i][2], rows[i][3], runs))
+    return _batch(list(zip(*made, strict=True)) if made else [[]] * 4, _RUNS)
 
 
 def without(data: np.ndarray, wanted: list[dict], length: int = LENGTH) -> tuple[list[dict], bytes]:
     """Maximal removed runs and the bytes left, of a text with the spans found for its doc_id."""
     change = np.zeros(len(data) + 1, np.int64)
-    for w in _own(data, wanted, length):
-        ends = w["runs"] if w["runs"] is not None else [w["lo"], w["hi"]]
+    for w, _, lo, hi in _own(data, wanted, length):
+        ends = w["runs"] if w["runs"] is not None else [lo, hi]
         for a, b in zip(ends[::2], ends[1::2], strict=True):
             change[a] += 1
             change[b + length] -= 1
