@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm.common import connected_components, small_batches, staged, table
+from paylake.llm.common import connected_components, merge_joins, small_batches, staged, table
 
 WORDS = 4
 #: Jaccard similarity in percent.
@@ -29,6 +29,13 @@ PERCENT = 85
 LARGEST_LIGHT = 24
 #: What a list entry costs, in subset keys: it is shuffled twice and may lead to a comparison.
 ENTRY_COST = 4
+#: Shingles of slots with this many times the mean, and this many more, are common: their lists are not gathered to see
+#: whether they have two sets.
+COMMON_TIMES, COMMON_MORE = 8, 10_000
+#: List entries looked at together in a task, unless one list has more.
+GATHERED = 1 << 18
+#: 64-bit words of the bitmap by which sets of one list are compared before they are paired.
+BITMAP_WORDS = 4
 #: Shingles are counted in so many slots to order prefixes; order decides cost, never results.
 SLOT_BITS = 18
 
@@ -121,11 +128,12 @@ def subset_keys(tokens: np.ndarray, light: int, percent: int = PERCENT) -> tuple
 
 _SETS = pa.schema(
     [
-        ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("typical", pa.float64()), ("prefix", pa.list_(pa.int64())),
+        ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("typical", pa.float64()),
         ("low", pa.list_(pa.int64())), ("high", pa.list_(pa.int64())),
     ]
 )
-_SETS_DDL = "doc_id bigint, node bigint, n bigint, typical double, prefix array<bigint>, low array<bigint>, high array<bigint>"
+_SETS_DDL = "doc_id bigint, node bigint, n bigint, typical double, low array<bigint>, high array<bigint>"
+_ENTRIES_DDL = "key bigint, token bigint, node bigint"
 
 
 def _slots(tokens: np.ndarray) -> np.ndarray:
@@ -158,8 +166,24 @@ def feasible(x: str, y: str, common: str, percent: int = PERCENT) -> Column:
     return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) AND {common} >= {need} - greatest({rest(x)}, {rest(y)})")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold, compared whole. texts: (node, text)."""
+def _columns(columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "token", "node"])
+
+
+def _shared(waiting: list[list[np.ndarray]]) -> pa.RecordBatch:
+    """Of whole lists, the entries of those with two sets; those of common shingles were not gathered and stay."""
+    key, token, node = (np.concatenate(c) for c in zip(*waiting, strict=True))
+    order = np.lexsort((node, token))
+    key, token, node = key[order], token[order], node[order]
+    begin = np.flatnonzero(np.concatenate(([True], np.diff(token) != 0)))
+    size = np.diff(np.append(begin, len(token)))
+    several = np.repeat(node[begin] != node[begin + size - 1], size)
+    keep = several | (key != token)
+    return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(node[keep])], ["token", "node"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, others: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the threshold, compared whole. texts, others: (node, text) of a and of b."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +197,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: in
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    two = others.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return staged(rows.mapInArrow(compare, "a bigint, b bigint"), "jaccard-links")
 
@@ -187,32 +211,76 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    with merge_joins(spark):
+        rows, known = _classes(docs, words, percent)
+    linked = rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(known, "node", "left")
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+    return linked.select("doc_id", "n_shingles", alone.alias("component_id"))
+
+
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node, n) of every row, and (node, component_id) of every set."""
+    spark = docs.sparkSession
     counts = docs.select("text").mapInArrow(_count_slots(words), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     slot, n = counts["slot"].to_numpy(), counts["n"].to_numpy()
     seen = np.zeros(1 << SLOT_BITS, np.int64)
     seen[slot[slot >= 0]] = n[slot >= 0]
     light = boundary(dict(zip((-1 - slot[slot < 0]).tolist(), n[slot < 0].tolist(), strict=True)), percent)
+    common = COMMON_TIMES * seen.mean() + COMMON_MORE
     sent = spark.sparkContext.broadcast(np.minimum(seen, 0xFFFFFFFF).astype(np.uint32))
 
+    def first_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The prefix, rarest shingles first, and how often their slots were seen."""
+        often = sent.value[_slots(tokens)]
+        first = np.lexsort((tokens, often))[: prefix_size(len(tokens), percent)]
+        return tokens[first], often[first]
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = sent.value
         for batch in batches:
             made = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = shingles(text.as_py(), words)
-                size = len(tokens)
-                prefix, low, high, typical = [], [], [], 0.0
-                if size and key is not None:
-                    seen = often[_slots(tokens)]
-                    first = np.lexsort((tokens, seen))[: prefix_size(size, percent)]
-                    typical = float(np.log(seen[first].astype(np.float64)).mean())
-                    if size <= light:
-                        low, high = subset_keys(tokens, light, percent)
-                    if partners(size, percent)[-1] > light:
-                        prefix = tokens[first].view(np.int64).tolist()
-                made.append((key, digest(tokens), size, typical, prefix, low, high))
+                low, high, typical = [], [], 0.0
+                if len(tokens):
+                    typical = float(np.log(first_of(tokens)[1].astype(np.float64)).mean())
+                if 0 < len(tokens) <= light:
+                    low, high = subset_keys(tokens, light, percent)
+                made.append((key, digest(tokens), len(tokens), typical, low, high))
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t.type) for i, t in enumerate(_SETS)], schema=_SETS)
 
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        for batch in batches:
+            keys, found, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for text in batch.column(0):
+                tokens = shingles(text.as_py(), words)
+                if not len(tokens) or partners(len(tokens), percent)[-1] <= light:
+                    continue
+                node = digest(tokens)
+                # Copies that a task reads together are one set.
+                if node in known:
+                    continue
+                known.add(node)
+                tokens, often = first_of(tokens)
+                owner = np.full(len(tokens), node, np.int64)
+                spread = mix(tokens ^ owner.view(np.uint64))
+                keys.append(np.where(often > common, spread, tokens).view(np.int64))
+                found.append(tokens.view(np.int64))
+                owners.append(owner)
+            yield _columns([np.concatenate(c) for c in (keys, found, owners)])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []
+        for batch in batches:
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            cut = np.searchsorted(rows[0], rows[0][-1])
+            if cut and sum(len(w[0]) for w in waiting) + cut >= GATHERED:
+                yield _shared([*waiting, [c[:cut] for c in rows]])
+                waiting, rows = [], [c[cut:] for c in rows]
+            waiting.append(rows)
+        if waiting:
+            yield _shared(waiting)
+
     rows = staged(docs.mapInArrow(sets, _SETS_DDL), "jaccard-sets")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     nodes = named.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("typical").alias("typical"))
@@ -224,14 +292,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     edges = staged(edges.distinct(), "jaccard-links")
 
     # Heavy sets: lists with two sets at least.
-    entries = named.select(F.explode("prefix").alias("token"), "node")
-    shared = entries.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("token")
-    lists = staged(entries.join(shared, "token").distinct(), "jaccard-lists")
-    met = lists.groupBy("node").agg(F.count("*").alias("k")).join(nodes, "node")
-    met = staged(met, "jaccard-met")
-    texts = docs.join(met.select("node", F.col("rep").alias("doc_id")), "doc_id").select("node", "text")
-    texts = staged(texts, "jaccard-texts")
-    full = lists.join(met.select("node", "n", "k", "typical"), "node")
+    every = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(entries, _ENTRIES_DDL)
+    lists = staged(every.repartition("key").sortWithinPartitions("key").mapInArrow(gather, "token bigint, node bigint").distinct(), "jaccard-lists")
+    met = staged(lists.groupBy("node").agg(F.count("*").alias("k")).join(nodes, "node"), "jaccard-met")
+    full = staged(lists.join(met.select("node", "n", "k", "typical"), "node"), "jaccard-entries")
 
     # Each set with the leader it meets in most lists; a list's leader is its most typical set, with the commonest shingles.
     leaders = full.groupBy("token").agg(F.max_by("node", F.struct("typical", -F.col("node"))).alias("leader"))
@@ -239,7 +303,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     best = often.groupBy("node").agg(F.max_by("leader", F.struct("times", -F.col("leader"))).alias("leader")).alias("p")
     pairs = best.join(met.alias("x"), F.expr("p.node = x.node")).join(met.alias("y"), F.expr("p.leader = y.node"))
     pairs = pairs.filter(feasible("x", "y", "least(x.k, y.k)", percent)).select(F.col("p.node").alias("a"), F.col("p.leader").alias("b"))
-    edges = edges.union(verified(pairs, texts, words, percent))
+    pairs = staged(pairs, "jaccard-pairs")
+    # Texts are fetched once, marked by the part they play in the first comparison; few are needed for the second.
+    led = pairs.select(F.col("a").alias("node"), F.lit(True).alias("follows")).join(
+        pairs.select(F.col("b").alias("node"), F.lit(True).alias("leads")).distinct(), "node", "full")
+    part = met.select("node", F.col("rep").alias("doc_id")).join(led, "node", "left")
+    texts = staged(docs.join(part, "doc_id").select("node", "text", "follows", "leads"), "jaccard-texts")
+    edges = edges.union(verified(pairs, texts.filter("follows"), texts.filter("leads"), words, percent))
 
     # Sets of different labels in one list: one of the two is outside the list's commonest label.
     labels = connected_components(edges).withColumnRenamed("component", "label")
@@ -248,23 +318,28 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     mixed = per_label.groupBy("token").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("times", -F.col("label"))).alias("major"))
     open_ = full.join(mixed.filter("labels > 1"), "token").select("token", "node", "n", "k", "label", "major")
     open_ = staged(open_, "jaccard-open")
-    # A set brings its open shingles along, at most its prefix, so a pair is judged where it meets and most never leave.
-    brought = open_.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-    open_ = open_.join(brought, "node")
+    # A set brings a bitmap of its open shingles along. Two sets share no more of them than the bits they share and the
+    # shingles that fell on a bit taken already, so most pairs that cannot reach the threshold never leave the join.
+    slot = F.pmod(F.xxhash64("token"), F.lit(64 * BITMAP_WORDS))
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(token), 64) AS int))")
+    words_ = [F.bit_or(F.when(F.floor(slot / 64) == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{i}") for i in range(BITMAP_WORDS)]
+    maps = open_.groupBy("node").agg(F.count("*").alias("open"), *words_)
+    taken = sum((F.bit_count(F.col(f"w{i}")) for i in range(1, BITMAP_WORDS)), F.bit_count("w0"))
+    open_ = open_.join(maps.withColumn("spare", F.col("open") - taken), "node")
     x, y = open_.filter("label <> major").alias("x"), open_.alias("y")
     meet = F.expr("x.token = y.token AND x.label <> y.label AND (y.label = y.major OR x.node < y.node)")
-    common = F.expr("element_at(array_intersect(x.tokens, y.tokens), 1) = x.token") & feasible("x", "y", "size(array_intersect(x.tokens, y.tokens))", percent)
-    pairs = x.join(y, meet & feasible("x", "y", "least(x.k, y.k)", percent) & common)
+    shared = " + ".join(f"bit_count(x.w{i} & y.w{i})" for i in range(BITMAP_WORDS))
+    pairs = x.join(y, meet & feasible("x", "y", f"least(x.k, y.k, {shared} + least(x.spare, y.spare))", percent))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    edges = edges.union(verified(pairs, texts, words, percent))
+    pairs = staged(pairs, "jaccard-pairs")
+    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+    few = staged(texts.join(ends, "node").select("node", "text"), "jaccard-texts")
+    edges = edges.union(verified(pairs, few, few, words, percent))
 
     found = connected_components(edges)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = known.groupBy("component").agg(F.min("rep").alias("component_id"))
-    known = known.join(names, "component").select("node", "component_id")
-    linked = rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(known, "node", "left")
-    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return linked.select("doc_id", "n_shingles", alone.alias("component_id"))
+    return rows, staged(known.join(names, "component").select("node", "component_id"), "jaccard-classes")
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
