@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from paylake.llm import decontaminate, jaccard, mixing, packing, quality
 from paylake.llm.common import small_batches, staged, table, unused
 
+#: Near duplicates share this percentage of their word shingles; `op8_jaccard` keeps the values of its own contract.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the classifier rejects. It is trained on the labelled documents of this stage's input."""
@@ -26,7 +29,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat both doc_id and text are one document. Rows without doc_id have no group and stay.
     """
     small_batches(spark)
-    groups = jaccard.jaccard_components(docs)
+    groups = jaccard.jaccard_components(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).union(docs.filter("doc_id IS NULL"))
 

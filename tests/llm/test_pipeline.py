@@ -69,6 +69,17 @@ def test_stages(spark, tables):
     assert set(_rebuilt(packed)) == set(after)
 
 
+def test_near_copies_share_four_fifths_of_their_five_word_shingles(spark):
+    words = prose(random.Random(3), 50).split()
+    words = [f"{w}{i}" for i, w in enumerate(words)]
+    near, far = words[:], words[:]
+    near[25] = far[15] = far[35] = "other"
+    texts = {1: " ".join(words), 2: " ".join(near), 3: " ".join(far)}
+    assert [jaccard_groups(texts, *level)[1][2] for level in ((85, 4), (80, 5))] == [2, 1]
+    kept = corpus_pipeline.keep_one_of_each(spark, documents(spark, list(texts.items())), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
+
+
 def test_run_and_registration(spark, tables):
     assert corpus_pipeline.run(spark, tables[0]).count() > 0
     names = set(queries.queries())
