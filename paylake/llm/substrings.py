@@ -5,7 +5,9 @@ of `length` bytes picks an anchor, its gram with the smallest hash, and equal wi
 once end there. Of the others, the stretch of bytes whose windows share an anchor is a snippet; occurrences of one snippet
 are settled by the first of them. Only different snippets around one anchor hash need their bytes: their windows are
 suffixes of known depth, dealt to tasks by the bytes they must share, and sorted there, by multikey quicksort to a shallow
-depth and by blind tries below. Windows that end up equal are repeats of the earliest.
+depth and by blind tries below. Windows that end up equal are repeats of the earliest. Where many rows share such bytes, as at
+the edges of a passage that is everywhere, no task gathers them: each window is dealt by a hash of all its bytes, and a task
+sends on the earliest of the equal ones it holds.
 """
 
 from __future__ import annotations
@@ -29,6 +31,11 @@ SHALLOW = 4
 WINDOWS = 400_000
 #: Anchors a task combines before they are shuffled. Of a snippet that is everywhere, one occurrence per so many goes on.
 COMBINED = 1 << 19
+#: Different snippets of one anchor hash beyond this many in a combination are spread by content.
+KINDS = 256
+#: Cores are counted in so many slots; the windows of a slot with more rows than HOT_ROWS are dealt one by one.
+SLOTS = 1 << 20
+HOT_ROWS = 2_000
 #: Longer texts are scanned in pieces of so many windows.
 PIECE = 1 << 18
 _INDEX = np.uint64((1 << 20) - 1)
@@ -188,6 +195,8 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
 # one, and whether all of them are repeats: 38, 12, 12 and 1 bits.
 _ROWS = "key bigint, doc bigint, sn bigint, span bigint"
 LONGEST = 1 << 12
+#: The sign of a span on its way to `meet`: its anchor hash has several snippets.
+_SEVERAL = np.int64(-1 << 63)
 
 
 def _span(place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -215,6 +224,8 @@ def settled(key: np.ndarray, doc: np.ndarray, sn: np.ndarray, span: np.ndarray)
 
 _PARTS = "core bigint, doc bigint, span bigint, sn bigint, first int, bytes binary"
 _RUNS = "doc bigint, span bigint, sn bigint, runs array<int>"
+#: runs: the start of one window that is still open, or else the runs found.
+_WINDOWS = "key bigint, doc bigint, span bigint, sn bigint, runs array<int>"
 
 
 def _batch(columns: list, ddl: str) -> pa.RecordBatch:
@@ -254,6 +265,13 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         # Later occurrences need no other task; they travel by their own hash, so no key gathers them.
         some, more = order[first], order[later]
         whole = span[more] | 1
+        # An anchor hash with many snippets has several for certain, so all but one of them can do without its other tasks.
+        begin = np.flatnonzero(np.concatenate(([True], np.diff(key[some]) != 0)))
+        kinds = np.diff(np.append(begin, len(some)))
+        many = np.repeat(kinds, kinds) > KINDS
+        span[some[many]] |= _SEVERAL
+        many[begin] = False
+        key[some[many]] = _mix(key[some[many]].view(np.uint64) + sn[some[many]].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
         rows = [np.concatenate(c) for c in ((key[some], _spread(doc[more], whole)), (doc[some], doc[more]), (sn[some], sn[more]), (span[some], whole))]
         for at in range(0, len(rows[0]), 1 << 16):
             yield _batch([c[at : at + (1 << 16)] for c in rows], _ROWS)
@@ -276,11 +294,13 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         known = span & 1 == 1
         done = [c[known] for c in (key, doc, sn, span)]
         key, doc, sn, span = (c[~known] for c in (key, doc, sn, span))
+        several = np.unique(key[span < 0])
+        span = span & ~_SEVERAL
         order, first, later = settled(key, doc, sn, span)
         some, more = order[first], order[later]
         begin = np.flatnonzero(np.concatenate(([True], np.diff(key[some]) != 0))) if len(some) else np.zeros(0, np.int64)
         kinds = np.diff(np.append(begin, len(some)))
-        some = some[np.repeat(kinds, kinds) > 1]
+        some = some[(np.repeat(kinds, kinds) > 1) | np.isin(key[some], several)]
         picked = [np.concatenate((d, c[more], c[some])) for d, c in zip(done, (key, doc, sn, span), strict=True)]
         picked[3][len(done[0]) : len(done[0]) + len(more)] |= 1
         return _batch(picked, _ROWS)
@@ -291,7 +311,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # Different snippets around one anchor hash: their bytes are fetched, first occurrences only. The documents are dealt
     # by id once, for this and for the removal.
-    asked = found.filter("span & 1 = 0").groupBy("doc").agg(F.collect_list(F.struct("key", "span", "sn")).alias("asked"))
+    asked = found.filter("span & 1 = 0").groupBy("doc").agg(F.collect_list(F.struct("span", "sn")).alias("asked"))
     dealt = named.repartition("doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,6 +323,41 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield _batch(list(zip(*rows[at : at + 4096], strict=True)), _PARTS)
 
     parts = dealt.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "asked").mapInArrow(cut, _PARTS)
+    parts = staged(parts, "snippet-parts")
+    # A core that many documents share is not gathered. Of slots only the crowded come to the driver, a bounded number.
+    slot = F.pmod("core", F.lit(SLOTS))
+    crowded = np.zeros(SLOTS, bool)
+    crowded[parts.groupBy(slot.alias("slot")).count().filter(F.col("count") > HOT_ROWS).toArrow()["slot"].to_numpy()] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(crowded))
+
+    def chosen(batches: Iterator[pa.RecordBatch], hot: bool) -> Iterator[pa.RecordBatch]:
+        crowded = np.unpackbits(sent.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(crowded[batch.column(0).to_numpy() % SLOTS] == hot))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, windows = [], 0
+        for batch in chosen(batches, True):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                waiting.append(row)
+                windows += len(row[5]) - length + 1
+                if windows >= WINDOWS:
+                    yield from single_windows(waiting, length)
+                    waiting, windows = [], 0
+        if waiting:
+            yield from single_windows(waiting, length)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut and sum(w.num_rows for w in waiting) + cut >= WINDOWS:
+                yield later_windows([*waiting, batch.slice(0, cut)])
+                waiting, batch = [], batch.slice(cut)
+            waiting.append(batch)
+        if waiting:
+            yield later_windows(waiting)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, windows = [], 0
@@ -316,7 +371,11 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if waiting:
             yield repeats(waiting, length)
 
-    runs = parts.repartition("core").sortWithinPartitions("core").mapInArrow(sort, _RUNS)
+    few = parts.mapInArrow(lambda batches: chosen(batches, False), _PARTS) if crowded.any() else parts
+    runs = few.repartition("core").sortWithinPartitions("core").mapInArrow(sort, _RUNS)
+    if crowded.any():
+        alone = parts.mapInArrow(spread, _WINDOWS).repartition("key").sortWithinPartitions("key")
+        runs = runs.union(alone.mapInArrow(judge, _RUNS))
     spans = whole.union(runs).groupBy("doc").agg(F.collect_list(F.struct("span", "sn", "runs")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,22 +411,83 @@ def snippet_parts(doc: int, data: np.ndarray, wanted: list[dict], length: int =
     for w, place, lo, hi in _own(data, wanted, length):
         for r in range((place - hi) // RANGE, (place - lo) // RANGE + 1):
             first, last = max(lo, place - RANGE * r - RANGE + 1), min(hi, place - RANGE * r)
-            cuts.append((w, r, first, last, place - RANGE * r, place - RANGE * r - RANGE + 1 + length))
+            cuts.append((w, r, first, last, place - RANGE * r, place - RANGE * r - RANGE + 1 + length, place))
     if not cuts:
         return []
     core = stretch_hashes(data, np.array([c[4] for c in cuts]), np.array([c[5] for c in cuts]))
-    core = _mix(core ^ np.array([(c[0]["key"] + c[1]) & 0xFFFFFFFFFFFFFFFF for c in cuts], np.uint64)).view(np.int64).tolist()
+    place = np.array([c[6] for c in cuts])
+    core = _mix(core ^ (stretch_hashes(data, place, place + GRAM) + np.array([c[1] for c in cuts], np.uint64))).view(np.int64).tolist()
     raw = data.tobytes()
     return [(k, doc, w["span"], w["sn"], first, raw[first : last + length]) for k, (w, _, first, last, *_) in zip(core, cuts, strict=True)]
 
 
-def repeats(rows: list[tuple], length: int = LENGTH) -> pa.RecordBatch:
-    """For rows of whole groups: the runs of window starts, first and last, that hold a repeat of an earlier window."""
+def _windows(rows: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window of the rows: its row, its number in there, and its place in their joined bytes."""
     sizes = np.array([len(r[5]) for r in rows], np.int64)
     base = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     count = sizes - length + 1
     row = np.repeat(np.arange(len(rows)), count)
     step = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)
+    return row, step, base[row] + step
+
+
+def _found(rows: list[tuple], row: np.ndarray, start: np.ndarray, repeat: np.ndarray) -> list[tuple]:
+    """(doc, span, sn, runs) of the rows with repeats."""
+    made = []
+    for i in np.unique(row[repeat]).tolist():
+        begin, end = np.searchsorted(row, [i, i + 1])
+        found = start[begin:end][repeat[begin:end]]
+        edge = np.flatnonzero(np.diff(found) != 1)
+        runs = np.stack((found[np.concatenate(([0], edge + 1))], found[np.concatenate((edge, [len(found) - 1]))]), 1).ravel().tolist()
+        made.append((rows[i][1], rows[i][2], rows[i][3], runs))
+    return made
+
+
+def single_windows(rows: list[tuple], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
+    """Windows of crowded cores by a hash of core, lead and bytes: the first of each is left open, later ones are repeats."""
+    row, step, at = _windows(rows, length)
+    data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+    core, doc, span, sn, first = (np.array([r[i] for r in rows], np.int64) for i in range(5))
+    start = first[row] + step
+    lead = ((span >> 25)[row] - start).view(np.uint64)
+    key = _mix(stretch_hashes(data, at, at + length) ^ _mix(core[row].view(np.uint64) + lead)).view(np.int64)
+    low, repeat = _later(key, doc[row], start)
+    made = _found(rows, row, start, repeat)
+    # What is settled travels by its own hash, so no key gathers it.
+    if made:
+        docs, spans = (np.array([m[i] for m in made], np.int64) for i in (0, 1))
+        yield _batch([_spread(docs, spans), *zip(*made, strict=True)], _WINDOWS)
+    for i in range(0, len(low), 1 << 16):
+        some = low[i : i + (1 << 16)]
+        yield _batch([key[some], doc[row[some]], span[row[some]], sn[row[some]], [[s] for s in start[some].tolist()]], _WINDOWS)
+
+
+def _later(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the earliest windows of each key, all of one place, and which windows are later ones."""
+    order = np.lexsort((start, doc, key))
+    new = np.concatenate(([True], np.diff(key[order]) != 0)) if len(order) else np.zeros(0, bool)
+    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    later = np.zeros(len(key), bool)
+    later[order] = (doc[order] != doc[first]) | (start[order] != start[first])
+    return np.flatnonzero(~later), later
+
+
+def later_windows(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Runs of whole keys: those settled before, and each open window that is not the earliest of its key."""
+    key, doc, span, sn = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in range(4))
+    runs = [r for b in batches for r in b.column(4).to_pylist()]
+    open_ = np.flatnonzero(np.array([len(r) == 1 for r in runs], bool))
+    done = np.setdiff1d(np.arange(len(runs)), open_)
+    start = np.array([runs[i][0] for i in open_.tolist()], np.int64)
+    more = open_[_later(key[open_], doc[open_], start)[1]]
+    picked = np.concatenate((done, more))
+    ends = [runs[i] for i in done.tolist()] + [runs[i] * 2 for i in more.tolist()]
+    return _batch([doc[picked], span[picked], sn[picked], ends], _RUNS)
+
+
+def repeats(rows: list[tuple], length: int = LENGTH) -> pa.RecordBatch:
+    """For rows of whole groups: the runs of window starts, first and last, that hold a repeat of an earlier window."""
+    row, step, place = _windows(rows, length)
     core = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
     doc, span, first = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 4))
     # Windows can only be equal if they share core and lead.
@@ -377,18 +497,13 @@ def repeats(rows: list[tuple], length: int = LENGTH) -> pa.RecordBatch:
     repeat = np.zeros(len(row), bool)
     if len(several):
         data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        starts = (base[row] + step)[several]
+        starts = place[several]
         for items in equal_windows(data, starts, numbers[several], length):
             own = several[items]
             at, start = doc[row[own]], first[row[own]] + step[own]
             low = np.lexsort((start, at))[0]
             repeat[own[(at != at[low]) | (start != start[low])]] = True
-    made = []
-    for i in np.unique(row[repeat]).tolist():
-        found = first[i] + np.flatnonzero(repeat[np.searchsorted(row, i) : np.searchsorted(row, i, "right")])
-        edge = np.flatnonzero(np.diff(found) != 1)
-        runs = np.stack((found[np.concatenate(([0], edge + 1))], found[np.concatenate((edge, [len(found) - 1]))]), 1).ravel().tolist()
-        made.append((rows[i][1], rows[i][2], rows[i][3], runs))
+    made = _found(rows, row, first[row] + step, repeat)
     return _batch(list(zip(*made, strict=True)) if made else [[]] * 4, _RUNS)
 
 

@@ -1,5 +1,6 @@
 """Decontamination, Jaccard join and substring removal against plain Python."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -118,6 +119,28 @@ def test_repeated_strings_against_a_scan(spark, monkeypatch):
         assert got == repeated(texts)
 
 
+def test_a_passage_in_many_documents_is_not_gathered(spark, monkeypatch):
+    small_batches(spark)
+    rng = random.Random(10)
+    passage, tail = prose(rng, 60), prose(rng, 12)
+    texts = {i: prose(rng, 25) + passage + (tail[: i % 50] if i % 3 else "") + prose(rng, 25) for i in range(300)}
+    gathered = spark.sparkContext.accumulator(0)
+    whole = substrings.repeats
+
+    def counted(rows, length):
+        cores = [r[0] for r in rows]
+        gathered.add(sum(cores.count(c) > 20 for c in set(cores)))
+        return whole(rows, length)
+
+    monkeypatch.setattr(substrings, "repeats", counted)
+    for name, value in (("KINDS", 8), ("HOT_ROWS", 20), ("WINDOWS", 3000), ("COMBINED", 400)):
+        monkeypatch.setattr(substrings, name, value, raising=False)
+    rows = [(i, t) for i, t in texts.items()]
+    got = {r["doc_id"]: bytes(r["kept"]) for r in substrings.repeated_strings(documents(spark, rows).repartition(4)).collect()}
+    assert {i: hashlib.sha256(k).hexdigest() for i, k in got.items()} == {i: r[3] for i, r in repeated(texts).items()}
+    assert gathered.value == 0
+
+
 def test_repeated_strings_of_odd_rows(spark):
     small_batches(spark)
     rng = random.Random(6)
