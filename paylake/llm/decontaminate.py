@@ -58,7 +58,7 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Benchmark items with their q-grams in order of hash. Items shorter than q characters say too little and are left out."""
+    """Benchmark items with their q-grams in order of hash. Items shorter than q characters have none; see `short_items`."""
 
     ids: list[int] = field(default_factory=list)
     texts: list[np.ndarray] = field(default_factory=list)
@@ -126,6 +126,11 @@ class Items:
                 yield i, edits
 
 
+def short_items(rows: Sequence[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Items without q-grams, normalised. No edit is allowed them, so containment decides; empty ones say nothing."""
+    return [(i, t) for i, t in ((i, normalise(t)) for i, t in rows) if 0 < len(t) < Q]
+
+
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> int | None:
     """Fewest edits of the item against any stretch of the text on diagonals low to high, or None if more than `most`."""
     shifts = np.arange(low, high + 1)
@@ -168,20 +173,23 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RA
     """Add the items each whole text holds: array of (item_id, edits), in order of id, empty where there is none.
 
     One pass over the documents for all blocks of the benchmark together; nothing is shuffled. Null and empty texts hold
-    nothing, an empty benchmark is held by no text, and of items with one id the best match is given.
+    nothing, an empty benchmark and an empty item are held by no text, and of items with one id the best match is given.
     """
     sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks(benchmark)]
 
     @F.pandas_udf("array<struct<item_id: bigint, edits: int>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sets = [Items.of(s.value, edit_rate) for s in sent] if len(sent) == 1 else None
+        sets = [(Items.of(s.value, edit_rate), short_items(s.value)) for s in sent] if len(sent) == 1 else None
         for batch in batches:
             best: list[dict[int, int]] = [{} for _ in batch]
-            for items in sets or (Items.of(s.value, edit_rate) for s in sent):
+            for items, short in sets or ((Items.of(s.value, edit_rate), short_items(s.value)) for s in sent):
                 for row, value in zip(best, batch, strict=True):
                     for item, edits in items.find(value).items():
                         key = items.ids[item]
                         row[key] = min(edits, row.get(key, edits))
+                    if short:
+                        whole = normalise(value)
+                        row.update((key, 0) for key, t in short if t in whole)
             yield pd.Series([[{"item_id": i, "edits": e} for i, e in sorted(row.items())] for row in best])
 
     return docs.withColumn(leaks, found(F.col(text)))

@@ -54,6 +54,14 @@ def test_leaks_of_tables_in_blocks(spark, monkeypatch):
     assert decontaminate.with_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_items_without_qgrams_are_found_by_containment(spark):
+    small_batches(spark)
+    bench = spark.createDataFrame([(1, "Qux  42"), (2, "zyx"), (3, " \n "), (4, "a longer item than ten"), (2, "zyxwv")], "item_id bigint, text string")
+    rows = [(1, "so qux\n42 it is"), (2, "qux 43"), (3, "ZYX; a longer item than ten, Qux 42"), (4, None), (5, "")]
+    got = decontaminate.with_leaks(documents(spark, rows), bench).collect()
+    assert {r["doc_id"]: [tuple(x) for x in r["leaks"]] for r in got} == {1: [(1, 0)], 2: [], 3: [(1, 0), (2, 0), (4, 0)], 4: [], 5: []}
+
+
 def _family(rng, size, words, copies, share):
     base = prose(rng, words).split(" ")
     out = []
