@@ -32,34 +32,18 @@ from paylake.llm.packing import VOCABULARY
 PIECES = "piece_bpe_32k.model"
 #: Links gathered in a block before it is spilled, unless one document has more.
 BLOCK_LINKS = 1 << 20
-#: Words whose ids a task remembers.
-REMEMBERED = 1 << 17
 #: Entries of a run that are decoded at a time while runs are merged.
 DECODED = 1 << 12
 #: Fixed value: how the pieces of vocabulary B write a blank.
 BLANK = "▁"
 
 
-class Remembering(Encoder):
-    """An encoder that keeps the ids of recent words."""
-
-    def __init__(self, *args, **kw):
-        super().__init__(*args, **kw)
-        self.known: dict[bytes, bytes] = {}
-
-    def words(self, distinct: list[bytes]) -> dict[bytes, bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        self.known.update(super().words([w for w in distinct if w not in self.known]))
-        return self.known
-
-
 class SideA:
     """Byte-level ids of space and text; strings of special tokens are ordinary text."""
 
     def __init__(self, folder: str, name: str, runs: tuple[list[int], list[int]]):
         merges = Merges(folder, name)
-        self.encode, self.bytes_of = Remembering(merges, class_table(runs), special=False), merges.bytes_of
+        self.encode, self.bytes_of = Encoder(merges, class_table(runs), special=False), merges.bytes_of
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(ids, "<u4") for ids in self.encode([" " + t for t in texts])]

@@ -13,6 +13,7 @@ import heapq
 import json
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -24,13 +25,19 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm.common import merge_joins, small_batches, table
+from paylake.llm.common import small_batches, staged, table
 from paylake.llm.packing import VOCABULARY
 from paylake.session import scratch_folder
 
 NAME = "byte_bpe_50k.json"
 #: The lexicon holds so many words at most, of so many bytes at most. All others are merged.
-LEXICON_WORDS, LEXICON_BYTES = 1 << 16, 32
+LEXICON_WORDS, LEXICON_BYTES = 1 << 17, 32
+#: Words of more bytes are merged with a heap.
+SHORT_WORD = 64
+#: Merged words that a task remembers.
+REMEMBERED = 1 << 17
+#: Word counts fall into this many steps per doubling when the lexicon's least count is sought.
+STEPS = 16
 #: Distinct words that a task counts before it hands its counts on.
 COUNTED = 1 << 18
 
@@ -114,10 +121,12 @@ class Merges:
             whole = json.load(file)
         vocabulary, names = whole["model"]["vocab"], byte_names()
         self.of_byte = [vocabulary[n] for n in names]
-        self.rules = {}
+        #: Rank of each pair of ids that merges, and the id it makes by rank.
+        self.rules, self.makes = {}, []
         for rank, pair in enumerate(whole["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.rules[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+            self.rules[vocabulary[left], vocabulary[right]] = rank
+            self.makes.append(vocabulary[left + right])
         self.special = {t["content"]: t["id"] for t in whole["added_tokens"]}
         back = {n: b for b, n in enumerate(names)}
         self.bytes_of = [b""] * (1 + max(*vocabulary.values(), *self.special.values()))
@@ -127,27 +136,42 @@ class Merges:
             self.bytes_of[i] = token.encode()
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: the rule of lowest rank goes first, of equal ones the leftmost. Any length, n log n."""
-        ids, rules = [self.of_byte[b] for b in word], self.rules
-        n = len(ids)
-        if n < 2:
-            return ids
+        """Ids of one word: the rule of lowest rank goes first, of equal ones the leftmost."""
+        ids = [self.of_byte[b] for b in word]
+        return self._merge_long(ids) if len(ids) > SHORT_WORD else self._merge_short(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        rules, makes, none = self.rules, self.makes, len(self.makes)
+        ranks = [rules.get(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            ids[i] = makes[rank]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rules.get((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = rules.get((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same in n log n steps, with a heap of ranks and places."""
+        rules, n = self.rules, len(ids)
         following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rules[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
+        heap = [(rules[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
             j = following[i]
-            if ids[i] < 0 or j >= n or (rule := rules.get((ids[i], ids[j]))) is None or rule[0] != rank:
+            if ids[i] < 0 or j >= n or rules.get((ids[i], ids[j])) != rank:
                 continue
-            ids[i], ids[j] = rule[1], -1
+            ids[i], ids[j] = self.makes[rank], -1
             following[i] = k = following[j]
             if k < n:
                 previous[k] = i
                 if (ids[i], ids[k]) in rules:
-                    heapq.heappush(heap, (rules[ids[i], ids[k]][0], i))
+                    heapq.heappush(heap, (rules[ids[i], ids[k]], i))
             if (h := previous[i]) >= 0 and (ids[h], ids[i]) in rules:
-                heapq.heappush(heap, (rules[ids[h], ids[i]][0], h))
+                heapq.heappush(heap, (rules[ids[h], ids[i]], h))
         return [i for i in ids if i >= 0]
 
 
@@ -252,17 +276,26 @@ class Encoder:
     def __init__(self, merges: Merges, classes: np.ndarray, lexicon: Lexicon | None = None, special: bool = True):
         self.merges, self.classes, self.lexicon = merges, classes, lexicon
         self.special = merges.special if special else {}
+        self.merged: dict[bytes, bytes] = {}
 
     def words(self, distinct: list[bytes]) -> dict[bytes, bytes]:
-        if self.lexicon is None or not distinct:
-            return {w: np.array(self.merges.merge(w), "<u4").tobytes() for w in distinct}
-        numbers, out = self.lexicon.numbers(distinct), {}
-        offsets, ids = self.lexicon.offsets, self.lexicon.ids
-        known = numbers >= 0
-        at = np.where(known, numbers, 0)
-        begins, ends = offsets[at].tolist(), offsets[np.minimum(at + 1, len(offsets) - 1)].tolist()
-        for word, held, a, b in zip(distinct, known.tolist(), begins, ends, strict=True):
-            out[word] = ids[a:b].tobytes() if held else np.array(self.merges.merge(word), "<u4").tobytes()
+        """Ids of words: from the lexicon, or else merged. Merged words are remembered for the next batches."""
+        out, rest = {}, distinct
+        if self.lexicon is not None and distinct:
+            numbers = self.lexicon.numbers(distinct)
+            known, rest = np.flatnonzero(numbers >= 0), [distinct[i] for i in np.flatnonzero(numbers < 0).tolist()]
+            data, at = self.lexicon.ids, self.lexicon.offsets
+            for i, a, b in zip(known.tolist(), at[numbers[known]].tolist(), at[numbers[known] + 1].tolist(), strict=True):
+                out[distinct[i]] = data[a:b].tobytes()
+        if len(self.merged) > REMEMBERED:
+            self.merged = {}
+        for word in rest:
+            ids = self.merged.get(word)
+            if ids is None:
+                ids = array("I", self.merges.merge(word)).tobytes()
+                if len(word) <= LEXICON_BYTES:
+                    self.merged[word] = ids
+            out[word] = ids
         return out
 
     def pieces(self, text: str) -> list[str | int]:
@@ -295,25 +328,37 @@ def decoded(ids: bytes, bytes_of: Sequence[bytes]) -> str:
 
 
 def frequent_words(docs: DataFrame, runs: tuple[list[int], list[int]], n: int = LEXICON_WORDS, text: str = "text") -> list[bytes]:
-    """The n words that come most often in all texts, ties by bytes. Tasks hand on counts, not words."""
+    """The words that come most often in all texts: as many steps of counts, from the top, as have n words or fewer.
+
+    Tasks hand on counts, not words; the driver gets the steps' sizes and then at most n words.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, counts = class_table(runs), Counter()
 
         def taken() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            kept = {w: c for w, c in counts.items() if len(w) <= LEXICON_BYTES}
+            out = pa.RecordBatch.from_arrays([pa.array(kept.keys(), pa.binary()), pa.array(kept.values(), pa.int64())], ["word", "n"])
             counts.clear()
             return out
 
         for batch in batches:
-            found = Counter(split_words([t for t in batch.column(0).to_pylist() if t], classes)[0])
-            counts.update({w: c for w, c in found.items() if len(w) <= LEXICON_BYTES})
+            counts.update(split_words([t for t in batch.column(0).to_pylist() if t], classes)[0])
             if len(counts) > COUNTED:
                 yield taken()
         yield taken()
 
-    words = docs.select(text).mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in words.orderBy(F.desc("n"), "word").limit(n).collect()]
+    words = staged(docs.select(text).mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    step = F.floor(F.log2(F.col("n").cast("double")) * STEPS).cast("bigint")
+    # One row per step of counts, a thousand at most.
+    steps = sorted(((r["s"], r["c"]) for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("c")).collect()), reverse=True)
+    least, held = None, 0
+    for s, c in steps:
+        held += c
+        if held > n:
+            break
+        least = s
+    return [bytes(r["word"]) for r in words.filter(step >= least).select("word").collect()] if least is not None else []
 
 
 @dataclass
@@ -373,9 +418,7 @@ def with_text(coded: DataFrame, folder: str = VOCABULARY, name: str = NAME, ids:
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(small_batches(spark), sf_dir, "documents").select("doc_id", "text")
-    with merge_joins(spark):
-        fitted = fit(docs)
-    return with_text(with_ids(docs, fitted)).select(
+    return with_text(with_ids(docs, fit(docs))).select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

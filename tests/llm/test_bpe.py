@@ -114,5 +114,13 @@ def test_rows_are_coded_and_decoded(spark, library, words):
 def test_frequent_words_are_counted_over_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(bpe, "COUNTED", 3)
     docs = documents(spark, [(i, "common rare%d" % i) for i in range(40)]).repartition(8)
-    found = bpe.frequent_words(docs, bpe.character_classes(VOCABULARY), 3)
-    assert found == [b" rare", b"common", b"0"]
+    runs = bpe.character_classes(VOCABULARY)
+    assert sorted(bpe.frequent_words(docs, runs, 3)) == [b" rare", b"common"]
+    assert len(bpe.frequent_words(docs, runs, 100)) == 42 and bpe.frequent_words(docs, runs, 1) == []
+
+
+def test_short_and_long_words_merge_alike():
+    rng = random.Random(9)
+    for _ in range(300):
+        ids = [MERGES.of_byte[b] for b in "".join(rng.choices("aaehint ", k=rng.randint(0, 60))).encode()]
+        assert MERGES._merge_short(list(ids)) == MERGES._merge_long(list(ids))
