@@ -8,6 +8,8 @@ to the siblings of that node. A leaf then takes whole epochs and, of one more, a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -42,8 +44,12 @@ def _weight(level: str, weights: Mapping[str, int]) -> Column:
 
 
 def allocate(leaves: DataFrame, budget: int, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], max_epochs: int) -> DataFrame:
-    """Add `allotted`, in whole tokens, to leaves (levels..., tokens). Sums stay below the budget by rounding down only."""
-    nodes = leaves.withColumn("_cap", (F.col("tokens") * max_epochs).cast("decimal(20,0)"))
+    """Add `allotted`, in whole tokens, to leaves (levels..., tokens). Sums stay below the budget by rounding down only.
+
+    A leaf without weight, or below a node without weight, holds nothing that its ancestors could be given a budget for.
+    """
+    weighed = reduce(and_, (_weight(level, weights.get(level, {})) > 0 for level in levels))
+    nodes = leaves.withColumn("_cap", F.when(weighed, F.col("tokens") * max_epochs).otherwise(0).cast("decimal(20,0)"))
     out = nodes.withColumn("_budget", F.lit(budget).cast("decimal(20,0)"))
     for depth, level in enumerate(levels):
         parent, path = list(levels[:depth]), list(levels[: depth + 1])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -25,6 +26,10 @@ NAME = "byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_OF_TEXT = 50256
 PAD = END_OF_TEXT
+#: The characters that the pattern holds to be white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space of so many characters are cut out before the pattern is tried: it goes back over a run from its end.
+LONG_RUN = 1000
 #: Ids as stored; a vocabulary that needs more than 16 bits takes "<u4".
 ID_TYPE = "<u2"
 CONTEXT = 2048
@@ -92,7 +97,11 @@ def best_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[list[int]]:
 
 
 def tokenizer(folder: str = VOCABULARY, name: str = NAME, id_type: str = ID_TYPE) -> Callable[[str], bytes]:
-    """A function from text to its token ids as little-endian integers. Raises where the type cannot hold all ids."""
+    """A function from text to its token ids as little-endian integers. Raises where the type cannot hold all ids.
+
+    Of a run of white space the pattern makes one piece, without the run's last character if more text follows. Long runs
+    are cut there and merged as they are, so their length is not bounded by the pattern's engine.
+    """
     import tiktoken
 
     with open(os.path.join(folder, name), "rb") as lines:
@@ -100,7 +109,20 @@ def tokenizer(folder: str = VOCABULARY, name: str = NAME, id_type: str = ID_TYPE
     if max(ranks.values(), default=0) > np.iinfo(id_type).max:
         raise ValueError(f"{name} has ids that {id_type} cannot hold")
     encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype(id_type).tobytes()
+    runs = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
+    def plain(text: str) -> np.ndarray:
+        return encoding.encode_to_numpy(text, disallowed_special=())
+
+    def ids(text: str) -> bytes:
+        parts, at = [], 0
+        for run in runs.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            parts += [plain(text[at : run.start()]), encoding._encode_single_piece(text[run.start() : end])]
+            at = end
+        return np.concatenate([*parts, plain(text[at:])]).astype(id_type).tobytes()
+
+    return ids
 
 
 def pack_rows(chunks: list[tuple[int | None, int, bytes]], context: int, pack_ids: Iterator[int], id_type: str = ID_TYPE) -> pa.RecordBatch:

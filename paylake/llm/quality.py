@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ MAX_TRAINING_ROWS = 3000
 EPOCHS = 6
 RATE = 0.5
 THRESHOLD = 0.7
-#: Longer texts are hashed in pieces, cut at white space where there is any; n-grams do not cross a cut.
+#: Characters of a text that are hashed at a time; bounds memory, never changes features.
 PIECE = 1 << 19
 
 _BASE = np.uint32(0x01000193)
@@ -46,37 +47,49 @@ def _bucket(h: np.ndarray, salt: int) -> np.ndarray:
 
 
 def features(text: str) -> Iterator[np.ndarray]:
-    """Arrays of bucket numbers, one per occurrence: n-grams of code points, words, and how each word repeats."""
-    at = 0
-    while at < len(text):
-        end = at + PIECE
-        if end < len(text):
-            cut = text.rfind(" ", at, end)
-            end = cut if cut > at else end
-        yield from _features(text[at:end])
-        at = end
-
-
-def _features(piece: str) -> Iterator[np.ndarray]:
-    points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-    h, n = points, 1
-    for size in NGRAMS:
-        while n < size and len(h) > 1:
-            h = h[:-1] * _BASE + points[n:]
-            n += 1
-        if n == size:
-            yield _bucket(h, size)
-    space = points <= 32
-    starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
-    ends = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
-    if len(starts):
+    """Arrays of bucket numbers, one per occurrence: n-grams of code points, words, and how each word repeats.
+
+    A piece is handed the last characters, the open word and the last two words before it, so the features are those of the
+    whole text wherever it is cut.
+    """
+    tail, before = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+    open_hash, open_length = np.uint32(0), 0
+    for at in range(0, len(text), PIECE):
+        points = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        joined = np.concatenate((tail, points))
+        h, n = joined, 1
+        for size in NGRAMS:
+            while n < size and len(h) > 1:
+                h = h[:-1] * _BASE + joined[n:]
+                n += 1
+            if n == size:
+                yield _bucket(h[max(0, len(tail) - size + 1) :], size)
+        tail = joined[-(max(NGRAMS) - 1) :]
+
+        space, last = points <= 32, at + PIECE >= len(text)
+        starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+        ends = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
         sums = np.concatenate((np.zeros(1, np.uint32), np.cumsum(points * _powers(_BASE, len(points)), dtype=np.uint32)))
         words = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(points))[starts]
+        if open_length:
+            if space[0]:
+                words = np.concatenate(([open_hash], words)).astype(np.uint32)
+            else:
+                words[:1] = open_hash + words[:1] * np.uint32(pow(int(_BASE), open_length, 1 << 32))
+        carried = open_length if open_length and not space[0] else 0
+        open_length = 0
+        if not space[-1] and not last:
+            open_hash, open_length = words[-1], int(ends[-1] - starts[-1]) + (carried if len(starts) == 1 else 0)
+            words = words[:-1]
+        if not len(words):
+            continue
         yield _bucket(words, 1)
-        repeats = np.zeros(len(words), np.uint32)
-        repeats[2:][words[2:] == words[:-2]] = 2
-        repeats[1:][words[1:] == words[:-1]] = 1
-        yield _bucket(repeats, 2)
+        run = np.concatenate((before, words)).astype(np.uint32)
+        repeats = np.zeros(len(run), np.uint32)
+        repeats[2:][run[2:] == run[:-2]] = 2
+        repeats[1:][run[1:] == run[:-1]] = 1
+        yield _bucket(repeats[len(before) :], 2)
+        before = run[-2:]
 
 
 @dataclass
@@ -136,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
 
     Rows without a label of 0 or 1 or without an id are not used; of an id labelled twice the smaller label counts, and of
     one with several texts the first in order. Only ids meet to draw the sample, which then goes to the documents: at most
-    `max_rows` ids. The driver holds the sample as bucket counts, and a document has no more than `BUCKETS` of those.
+    `max_rows` ids. One task trains on the sample's bucket counts, no more than `BUCKETS` per document, and the driver gets
+    one weight per bucket.
     """
     known = labels.filter("label IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.min("label").cast("int").alias("label"))
     ids = known.join(docs.select("id"), "id", "left_semi")
@@ -156,15 +170,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
             yield pd.DataFrame(made, columns=["ids", "share"])
 
     texts = docs.join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
-    rows = sorted(
-        (r["id"], r["label"], bytes(r["f"]["ids"]), bytes(r["f"]["share"]))
-        for r in texts.select("id", "label", counted("text").alias("f")).collect()
-    )
     total = max(1, sum(shares.values()))
-    return train(
-        [(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4"), y) for _, y, a, b in rows],
-        (shares.get(0, 0) / total, shares.get(1, 0) / total),
-    )
+    parts = (shares.get(0, 0) / total, shares.get(1, 0) / total)
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        model = train([(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4"), y) for _, y, a, b in rows], parts)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()]), pa.array([model.bias])], ["weights", "bias"])
+
+    sample = texts.select("id", "label", counted("text").alias("f")).select("id", "label", "f.ids", "f.share")
+    made = sample.repartition(1).mapInArrow(trained, "weights binary, bias double").first()
+    return QualityModel(np.frombuffer(bytes(made["weights"]), "<f4"), made["bias"])
 
 
 def with_score(docs: DataFrame, model: QualityModel, text: str = "text", score: str = "score") -> DataFrame:

@@ -28,7 +28,8 @@ def test_shortages_go_to_siblings_first(spark):
         budget = rng.randint(0, 1500)
         df = spark.createDataFrame([(*k, v) for k, v in leaves.items()], "domain string, lang string, source string, tokens bigint")
         got = {tuple(r)[:3]: r["allotted"] for r in mixing.allocate(df, budget, ["domain", "lang", "source"], weights, 2).collect()}
-        cap = lambda key: sum(2 * v for k, v in leaves.items() if k[: len(key)] == key)
+        weighed = lambda k: all(weights[n].get(x, 1) for n, x in zip(("domain", "lang", "source"), k, strict=True))
+        cap = lambda key: sum(2 * v for k, v in leaves.items() if k[: len(key)] == key and weighed(k))
         want = {}
         tops = _fill(budget, {(d,): (cap((d,)), weights["domain"].get(d, 1)) for d in "xy"})
         for d, b in tops.items():
@@ -37,6 +38,13 @@ def test_shortages_go_to_siblings_first(spark):
         assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
 
 
+def test_what_has_no_weight_takes_no_budget(spark):
+    leaves = [("a", "z", 1000), ("a", "y", 10), ("b", "x", 1000)]
+    df = spark.createDataFrame(leaves, "domain string, source string, tokens bigint")
+    got = {r["source"]: r["allotted"] for r in mixing.allocate(df, 600, ["domain", "source"], {"source": {"z": 0}}, 1).collect()}
+    assert got == {"z": 0, "y": 10, "x": 590}
+
+
 def test_mix_handles_odd_rows_and_names(spark):
     docs = documents(spark, [(1, "a b c"), (1, "a b c"), (2, None), (None, "x y"), (3, ""), (4, "q " * 1000)])
     docs = docs.withColumn("_mix_0_lang", F.lit(1)).withColumn("epoch", F.lit("mine")).withColumn("source", F.lit(None).cast("string"))

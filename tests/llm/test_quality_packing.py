@@ -49,12 +49,41 @@ def test_scores_of_odd_inputs(spark):
     assert quality.with_score(docs.limit(0), model, score="q").count() == 0
 
 
-def test_pieces_of_long_texts_make_the_same_features(monkeypatch):
-    text = prose(random.Random(3), 500)
-    whole = np.sort(np.concatenate(list(quality.features(text))))
-    monkeypatch.setattr(quality, "PIECE", 400)
-    cut = np.sort(np.concatenate(list(quality.features(text))))
-    assert len(set(whole)) * 0.97 <= len(set(cut) & set(whole))
+def _features(text):
+    return np.sort(np.concatenate([np.zeros(0, np.int32), *quality.features(text)])).tolist()
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 7, 64, 400])
+def test_pieces_change_no_feature(monkeypatch, piece):
+    rng = random.Random(3)
+    texts = [prose(rng, 120), "", "a", "ab cd", "x" * 900, " " * 50, "  a  a\n\ta a b a b  ", "word " * 90, prose(rng, 3) + "y" * 300 + " z z", "\U0001f600é " * 40]
+    whole = [_features(t) for t in texts]
+    assert len(whole[0]) > 1000
+    monkeypatch.setattr(quality, "PIECE", piece)
+    assert [_features(t) for t in texts] == whole
+
+
+def test_features_are_the_ngrams_words_and_repeats_of_the_text():
+    """Counts by the plain definition; equal strings share a bucket, so distinct buckets are at most the distinct strings."""
+    text = prose(random.Random(5), 80) + " again again and again"
+    words = text.split()
+    found = list(quality.features(text))
+    assert [len(f) for f in found] == [len(text) - 2, len(text) - 4, len(words), len(words)]
+    for ids, items in zip(found, ([text[i : i + 3] for i in range(len(text) - 2)], [text[i : i + 5] for i in range(len(text) - 4)], words), strict=False):
+        by_item = {}
+        assert all(by_item.setdefault(item, i) == i for item, i in zip(items, ids.tolist(), strict=True))
+        assert len(set(by_item.values())) > 0.99 * len(by_item)
+
+
+def test_scores_equal_a_plain_mean_and_softmax(spark):
+    rows = _labelled(random.Random(6), 60)
+    docs = documents(small_batches(spark), [r[:2] for r in rows])
+    labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id bigint, quality int, toxic int")
+    model = quality.fit_tables(docs, labels)
+    for r in quality.with_score(docs, model).collect():
+        values = [float(model.weights[i]) for ids in quality.features(r["text"]) for i in ids.tolist()]
+        logit = model.bias + sum(values) / len(values)
+        assert abs(r["score"] - np.exp(logit) / (np.exp(logit) + 1)) < 1e-9
 
 
 def test_one_label_alone_gives_its_share(spark):
@@ -119,3 +148,23 @@ def test_best_fit_decreasing_against_a_plain_search():
 def test_ids_too_wide_are_refused():
     with pytest.raises(ValueError, match="cannot hold"):
         packing.tokenizer(id_type="<u1")
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t ", "\u2003"])
+@pytest.mark.parametrize("after", ["", "x", "\nx", "  "])
+def test_cut_runs_of_white_space_give_the_same_ids(monkeypatch, run, after):
+    ids_of = packing.tokenizer()
+    texts = [before + run * n + after + tail for before in ("", "a b", "a ") for n in (1, 4, 5, 9, 30) for tail in ("", run * 7, " end" + run * 12 + "1")]
+    whole = [ids_of(t) for t in texts]
+    monkeypatch.setattr(packing, "LONG_RUN", 5)
+    cut = packing.tokenizer()
+    assert [cut(t) for t in texts] == whole
+
+
+def test_very_long_runs_are_packed(spark):
+    n = 1_500_000
+    docs = documents(small_batches(spark), [(1, " " * n), (2, "\n" * n + "x"), (3, "a" * n), (4, "x" + " \n" * n + "y")])
+    rows = packing.pack(docs).collect()
+    ids_of = packing.tokenizer()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert sum(r["n_tokens"] for r in rows) == sum(len(ids_of(t)) // 2 + 1 for t in texts.values())
