@@ -24,9 +24,13 @@ _READ_CALL = re.compile(
 _OTHER_JOIN = re.compile(r"\b(asof|positional)\s+((left|right|full|inner)\s+)?(outer\s+)?join\b", re.I)
 
 # What an analysed query must not hold, by class: programs, calls into the JVM, and anything that is not read as Parquet.
-_PROGRAMS = ("ScriptTransformation", "ScriptInputOutputSchema")
-_JVM_CALLS = ("CallMethodViaReflection", "TryReflect", "Reflect")
-_OTHER_RELATIONS = ("DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingRelation", "StreamingRelationV2", "HiveTableRelation")
+_PROGRAMS = {"ScriptTransformation", "ScriptInputOutputSchema"}
+_JVM_CALLS = {"CallMethodViaReflection", "TryReflect", "Reflect"}
+_OTHER_RELATIONS = {"DataSourceV2Relation", "DataSourceV2ScanRelation", "StreamingRelation", "StreamingRelationV2", "HiveTableRelation"}
+
+# How a plan told as JSON names a node's class, and the classes that hold expressions in lists of lists, which it leaves out.
+_CLASS = re.compile(r'"class":"([^"\\]+)"')
+_NESTED = {"Expand", "Unpivot", "Pivot", "UnresolvedInlineTable"}
 
 
 def _relation(root: str) -> str:
@@ -107,20 +111,35 @@ def _nodes(gateway, plan) -> Iterator:
             waiting.append(node.plan())
 
 
+def _kinds(gateway, plan) -> set[str]:
+    """The classes of all nodes. The plan tells them in one piece, and text of the query is escaped in it; expressions that
+    are nested too deep for that are looked for node by node."""
+    kinds = {name.rsplit(".", 1)[-1].rstrip("$").rsplit("$", 1)[-1] for name in _CLASS.findall(plan.toJSON())}
+    if kinds & _NESTED:
+        kinds |= {node.getClass().getSimpleName() for node in _nodes(gateway, plan)}
+    return kinds
+
+
+def _relations(plan) -> Iterator:
+    """Stored tables of the plan and of its subqueries at any depth."""
+    for part in (plan, *_each(plan.subqueriesAll())):
+        for leaf in _each(part.collectLeaves()):
+            if leaf.getClass().getSimpleName() == "LogicalRelation":
+                yield leaf.relation()
+
+
 def _refuse(gateway, plan) -> None:
     """Look at what was understood, not at how it was written: names can be spelled or computed in many ways."""
-    for node in _nodes(gateway, plan):
-        kind = node.getClass().getSimpleName()
-        if kind in _PROGRAMS:
-            raise ValueError("a query cannot start programs")
-        if kind in _JVM_CALLS:
-            raise ValueError("a query cannot call JVM code")
-        if kind in _OTHER_RELATIONS:
+    kinds = _kinds(gateway, plan)
+    if kinds & _PROGRAMS:
+        raise ValueError("a query cannot start programs")
+    if kinds & _JVM_CALLS:
+        raise ValueError("a query cannot call JVM code")
+    if kinds & _OTHER_RELATIONS:
+        raise ValueError("only Parquet tables can be read")
+    for relation in _relations(plan):
+        if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat":
             raise ValueError("only Parquet tables can be read")
-        if kind == "LogicalRelation":
-            relation = node.relation()
-            if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat":
-                raise ValueError("only Parquet tables can be read")
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:

@@ -155,3 +155,32 @@ def test_path_lists_and_merged_columns(spark, folder):
     with pytest.raises(ValueError, match="union_by_name"):
         run_query(spark, f"SELECT * FROM read_parquet('{one}', filename = true)")
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("paths_")]
+
+
+def test_the_told_classes_are_those_of_the_tree(spark, folder):
+    """The plan's JSON names every class that a walk over its nodes finds, in all registered SQL queries."""
+    from paylake.operators import gate
+    from paylake.plans import registry
+
+    plans, refuse = [], gate._refuse
+    gate._refuse = lambda gateway, plan: plans.append(plan)
+    try:
+        for name, query in registry.queries().items():
+            if name.startswith("sql_"):
+                query(spark, "/root/testdata/sf0.001")
+    finally:
+        gate._refuse = refuse
+    gateway = spark.sparkContext._gateway
+    assert len(plans) > 40
+    for plan in plans:
+        walked = list(gate._nodes(gateway, plan))
+        assert {n.getClass().getSimpleName().rstrip("$") for n in walked} <= gate._kinds(gateway, plan)
+        stored = [n.relation() for n in walked if n.getClass().getSimpleName() == "LogicalRelation"]
+        assert len(stored) <= len(list(gate._relations(plan)))
+
+
+def test_a_call_in_grouping_sets_is_found(spark):
+    call = "reflect('java.lang.Math', 'abs', 1)"
+    for sql in (f"SELECT * FROM (SELECT {call} AS x, 1 AS y) UNPIVOT (v FOR k IN (x))", f"SELECT x, count(*) FROM (SELECT {call} AS x) GROUP BY CUBE (x)"):
+        with pytest.raises((ValueError, AnalysisException)):
+            run_query(spark, sql)
