@@ -1,4 +1,4 @@
-"""Keep the results of an updating stream as files: one folder per batch, the newest row of a key counts."""
+"""Keep the results of a stream as files: one folder per batch, the newest row of a key counts."""
 
 from __future__ import annotations
 
@@ -6,25 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
-def store_updates(updates: DataFrame, path: str, checkpoint: str) -> None:
-    """Drain an updating query. A batch that runs again replaces its own folder."""
+def start_updates(results: DataFrame, path: str, checkpoint: str, mode: str = "update", drain: bool = False) -> StreamingQuery:
+    """Store every batch of results in a folder of its own. A batch that runs again replaces its own folder.
+
+    `drain` takes what is available and ends; otherwise the query goes on.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    stream = results.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (stream.trigger(availableNow=True) if drain else stream).start()
+
+
+def store_updates(updates: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
+    start_updates(updates, path, checkpoint, mode, drain=True).awaitTermination()
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key. Batches are numbers, whatever partition values are read as: 10 comes after 9."""
     stored = spark.read.parquet(path)
     values = [name for name in stored.columns if name not in (*keys, "batch")]
-    return stored.groupBy(*keys).agg(*(F.max_by(name, "batch").alias(name) for name in values))
+    newest = F.max_by(F.struct(*values), F.col("batch").cast("bigint")).alias("newest")
+    return stored.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+
+
+def appended(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a stream that only appends."""
+    return spark.read.parquet(path).drop("batch")

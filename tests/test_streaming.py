@@ -12,7 +12,8 @@ from paylake.sources.streams import file_messages
 from paylake.streaming import ingest
 from paylake.streaming.ingest import drain_ingest, start_ingest
 from paylake.streaming.rates import live_counts, live_rates
-from paylake.streaming.updates import latest, store_updates
+from paylake.streaming.sessions import live_sessions, once_each
+from paylake.streaming.updates import latest, start_updates, store_updates
 
 
 def text(number, minute=0, hour=10):
@@ -137,3 +138,67 @@ def test_live_metrics_equal_batch_metrics(spark, folder, live, batch, keys):
     expected = batch(events(spark.read.text(f"{folder}/in")), ["source"])
     found = latest(spark, f"{folder}/updates", keys).select(expected.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_the_newest_row_is_of_the_highest_batch(spark, folder):
+    """Twelve batches change one key; as text, batch 9 would come last."""
+    schema = "id bigint, ts timestamp_ntz"
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/in")
+    live = live_counts(spark.readStream.schema(schema).parquet(f"{folder}/in"), [], lateness="1 day")
+    running = start_updates(live, f"{folder}/out", f"{folder}/state")
+    for batch in range(12):
+        spark.range(batch + 1).selectExpr("id", "timestamp_ntz'2026-02-15 10:00:00' AS ts").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        running.processAllAvailable()
+    running.stop()
+    assert [row.n for row in latest(spark, f"{folder}/out", ["minute"]).collect()] == [78]
+
+
+def test_values_of_the_newest_row_stay_together(spark, folder):
+    for batch, row in enumerate([("k", 1, "a"), ("k", None, "b")]):
+        spark.createDataFrame([row], "key string, n int, t string").write.parquet(f"{folder}/u/batch={batch}")
+    assert [tuple(r) for r in latest(spark, f"{folder}/u", ["key"]).collect()] == [("k", None, "b")]
+
+
+def _hours(spark, folder, build, batches, schema="id string, user string, ts timestamp"):
+    """Feed rows (id, user, hour) batch by batch; returns the rows given, and the state rows held after each batch."""
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/in")
+    running = start_updates(build(spark.readStream.schema(schema).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/state", "append")
+    held = []
+    for rows in batches:
+        made = spark.createDataFrame([(i, u, f"2026-02-15 00:00:00 +{h}") for i, u, h in rows], "id string, user string, t string")
+        made = made.selectExpr("id", "user", "timestamp'2026-02-15 00:00:00' + make_interval(0, 0, 0, 0, int(split(t, '[+]')[1])) AS ts")
+        made.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        running.processAllAvailable()
+        held.append(sum(s["numRowsTotal"] for s in running.lastProgress["stateOperators"]))
+    running.stop()
+    return spark.read.parquet(f"{folder}/out"), held
+
+
+def test_messages_are_kept_once_and_forgotten_with_the_watermark(spark, folder):
+    batches = [[(f"m{h}", "u", h), (f"m{h}", "v", h), *([(f"m{h - 1}", "u", h - 1)] if h else [])] for h in range(14)]
+    out, held = _hours(spark, folder, lambda live: once_each(live, ["id"], "ts", "3 hours"), batches)
+    assert sorted(r["id"] for r in out.collect()) == sorted(f"m{h}" for h in range(14))
+    assert max(held[6:]) <= 6  # a key is held for three hours, and the watermark trails by three, however long the stream runs
+
+
+def test_sessions_close_with_the_watermark(spark, folder):
+    rows = {"a": [0, 1, 2, 9, 10, 20], "b": [0, 5, 6, 7, 20]}
+    every = sorted((h, u) for u, hours in rows.items() for h in hours)
+    batches = [[(f"{u}{h}", u, h) for h, u in every if h == hour] for hour in sorted({h for h, _ in every})]
+    batches.append([("late", "a", 1)])
+    batches.append([("end", "c", 60)])
+    batches.append([("after", "c", 61)])
+    out, held = _hours(spark, folder, lambda live: live_sessions(live, ["user"], "2 hours", lateness="1 hour"), batches)
+    got = sorted((r["user"], r["began"].hour, r["n"]) for r in out.collect())
+    assert got == [("a", 0, 3), ("a", 9, 2), ("a", 20, 1), ("b", 0, 1), ("b", 5, 3), ("b", 20, 1)]
+    assert max(held) <= 4
+
+
+def test_repeats_and_sessions_in_one_stream(spark, folder):
+    batches = [[(f"m{h}", "u", h), (f"m{h}", "u", h)] + ([(f"m{h - 1}", "u", h - 1)] if h else []) for h in range(5)] + [[("end", "w", 40)], [("more", "w", 41)], [("last", "w", 42)]]
+
+    def build(live):
+        return live_sessions(once_each(live, ["id"], "ts", "2 hours"), ["user"], "90 minutes", lateness=None)
+
+    out, _ = _hours(spark, folder, build, batches)
+    assert [(r["user"], r["n"]) for r in out.collect()] == [("u", 5)]
