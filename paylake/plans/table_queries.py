@@ -10,8 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paylake import fixtures
 from paylake.operators.absent import not_in
-from paylake.operators.envelope import read_envelopes, valid_rows
+from paylake.operators.distinct_sketches import ERROR, daily_sketches, estimate, in_both, only_in, united
 from paylake.operators.ordered import with_ranks, with_row_numbers
+from paylake.operators.overlaps import overlap_join
+from paylake.operators.quantiles import RANK_ERROR, estimated_percentiles, exact_percentiles, merged_sketches, quantile_sketches, rank_errors
+from paylake.operators.samples import bottom_k, share
 from paylake.plans.jobs import ingest_batch
 from paylake.plans.lake_queries import query
 from paylake.session import scratch_folder
@@ -193,3 +196,72 @@ def not_in_columns(spark, sf_dir):
     left = lines.selectExpr("l_orderkey", "l_linenumber", "CASE WHEN l_orderkey % 3 <> 0 THEN l_partkey END AS a", "CASE WHEN l_linenumber <> 3 THEN l_suppkey END AS b")
     right = lines.filter("l_quantity > 45 AND l_orderkey % 8 <> 0 AND l_suppkey % 3 = 0").selectExpr("CASE WHEN l_orderkey % 4 <> 0 THEN l_partkey END AS c", "CASE WHEN l_orderkey % 8 <> 1 THEN l_suppkey END AS d")
     return not_in(left, right, ["a", "b"], ["c", "d"]).select("l_orderkey", "l_linenumber")
+
+
+# --- overlaps, quantiles, sketches and samples -----------------------------------------------------
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate AS began, l_shipdate + to_days(CAST(l_quantity AS INT)) AS ended FROM lineitem)
+SELECT a.l_orderkey, a.l_linenumber, count(*) AS n FROM l a JOIN l b ON a.l_partkey = b.l_partkey AND a.began < b.ended AND b.began < a.ended GROUP BY 1, 2""")
+def overlap_join_lines(spark, sf_dir):
+    """Lines of the same part that are under way at the same time; how long depends on the quantity."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate AS began", "timestampadd(DAY, CAST(l_quantity AS INT), CAST(l_shipdate AS TIMESTAMP_NTZ)) AS ended"
+    )
+    pairs = overlap_join(lines, lines, ("began", "ended"), ("began", "ended"), ["l_partkey"])
+    return pairs.groupBy(F.col("left.l_orderkey").alias("l_orderkey"), F.col("left.l_linenumber").alias("l_linenumber")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_FRACTIONS = [0.01, 0.5, 0.9, 0.999]
+
+
+@query(" UNION ALL ".join(f"SELECT l_returnflag, {f}::DOUBLE AS fraction, round(quantile_cont(l_extendedprice, {f}), 6) AS percentile FROM lineitem GROUP BY 1" for f in _FRACTIONS))
+def exact_price_percentiles(spark, sf_dir):
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    found = exact_percentiles(lines, "l_extendedprice", _FRACTIONS, ["l_returnflag"])
+    return found.select("l_returnflag", "fraction", F.round("percentile", 6).alias("percentile"))
+
+
+@query("""SELECT l_returnflag, f.fraction AS fraction, true AS held FROM (SELECT DISTINCT l_returnflag FROM lineitem),
+    (VALUES (0.01::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS f(fraction)""")
+def sketched_price_percentiles(spark, sf_dir):
+    """Sketches per flag and ship month merge to one per flag, and keep the rank error they state."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_returnflag", F.date_trunc("month", "l_shipdate").alias("month"), "l_extendedprice")
+    stored = merged_sketches(quantile_sketches(lines, "l_extendedprice", ["l_returnflag", "month"]), ["l_returnflag"])
+    errors = rank_errors(lines, estimated_percentiles(stored, [0.01, 0.5, 0.9, 0.99], ["l_returnflag"]), "l_extendedprice", ["l_returnflag"])
+    return errors.select("l_returnflag", "fraction", (F.col("rank_error") <= RANK_ERROR).alias("held"))
+
+
+@query("""SELECT event_type, date_trunc('week', ts)::TIMESTAMP AS week, count(DISTINCT user_id) AS users, true AS united, true AS only_here, true AS in_both
+FROM events GROUP BY 1, 2""")
+def distinct_sketch_weeks(spark, sf_dir):
+    """Users of a week by kind of event, from the stored sketches of its days: estimates keep their bounds beside exact counts.
+
+    Compared with all users of the week, whatever they did: those who did not do this, and those who did.
+    """
+    root = scratch_folder(spark, "sketches")
+    events = fixtures.table(spark, sf_dir, "events").select("event_type", "user_id", "ts")
+    daily_sketches(events, "user_id", "ts", ["event_type"]).write.partitionBy("day").parquet(root)
+    days = spark.read.parquet(root).withColumn("week", F.date_trunc("week", F.col("day").cast("date")).cast("timestamp_ntz"))
+    weeks, everyone = united(days, ["event_type", "week"]), united(days, ["week"]).withColumnRenamed("sketch", "whole")
+    told = weeks.join(everyone, "week").select("event_type", "week", estimate("sketch").alias("e"), only_in("whole", "sketch").alias("o"), in_both("whole", "sketch").alias("b"))
+    timed = events.withColumn("week", F.date_trunc("week", "ts").cast("timestamp_ntz"))
+    exact = timed.groupBy("event_type", "week").agg(F.count_distinct("user_id").alias("users"))
+    total = timed.groupBy("week").agg(F.count_distinct("user_id").alias("all_users"))
+    near = lambda estimate, truth, of: F.abs(F.col(estimate) - truth) <= ERROR * F.col(of)
+    return exact.join(total, "week").join(told, ["event_type", "week"]).select(
+        "event_type", "week", "users", near("e", F.col("users"), "users").alias("united"), near("o", F.col("all_users") - F.col("users"), "all_users").alias("only_here"),
+        near("b", F.col("users"), "all_users").alias("in_both"),
+    )
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_returnflag, md5('7/=' || l_orderkey || '/=' || l_linenumber) AS place FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY place) AS n FROM p)
+SELECT 'share' AS kind, l_orderkey, l_linenumber, l_returnflag FROM p WHERE ('0x' || left(place, 8))::BIGINT < 100 * 4294967296 // 1000
+UNION ALL SELECT 'fixed', l_orderkey, l_linenumber, l_returnflag FROM r WHERE n <= 500""")
+def stable_samples(spark, sf_dir):
+    """A tenth of all lines, and 500 lines of each flag: the same rows however the table is split."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    key = ["l_orderkey", "l_linenumber"]
+    some, fixed = share(lines, key, 100, seed=7), bottom_k(lines.repartition(7), ["l_returnflag"], key, 500, seed=7)
+    return some.withColumn("kind", F.lit("share")).unionByName(fixed.withColumn("kind", F.lit("fixed"))).select("kind", *key, "l_returnflag")
