@@ -8,7 +8,7 @@ from paylake import fixtures
 from paylake.operators.envelope import read_envelopes, valid_rows
 from paylake.operators.gate import run_query
 from paylake.operators.normalize import normalize
-from paylake.plans import lake_queries, table_queries  # noqa: F401  (registers its queries)
+from paylake.plans import counter_queries, lake_queries, table_queries  # noqa: F401  (registers its queries)
 from paylake.plans.oracles import money
 from paylake.plans.sql_queries import SQL
 from paylake.session import configure
