@@ -2,6 +2,7 @@
 
 ingest    drain or follow a stream into the raw layer
 process   rebuild processed days: --day, --start/--end, or --scheduled for the previous hour
+merge     merge the small batches of a raw layer, once their hours are over: --day, or --start/--end
 compact   rewrite processed days: --day, --start/--end, or --scheduled for the previous day
 query     run one read-only SQL text and store its result as Parquet
 """
@@ -9,12 +10,13 @@ query     run one read-only SQL text and store its result as Parquet
 from __future__ import annotations
 
 import argparse
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import SparkSession
 
 from paylake.operators.compact import TARGET_BYTES
 from paylake.operators.gate import register_alias, run_query
+from paylake.operators.merge_batches import clean_merged, merge_batches
 from paylake.plans.jobs import compact_days, compact_previous_day, process_days, process_previous_hour
 from paylake.plans.lake import SOURCES
 from paylake.session import configure
@@ -57,6 +59,15 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--strict", action="store_true", help="fail on the first malformed payload")
             job.add_argument("--rejects", help="root for malformed payloads; without it they are only counted")
 
+    merge = jobs.add_parser("merge", help="merge the raw layer's batches of hours that are over")
+    merge.add_argument("--raw", required=True)
+    merge.add_argument("--now", type=datetime.fromisoformat, help="hours that ended before this count as over; else the clock, in UTC")
+    merge.add_argument("--settle-minutes", type=int, default=60, help="how long an hour and its files must have been at rest")
+    merge.add_argument("--retain-hours", type=int, default=24, help="how long replaced folders are left to readers")
+    merge.add_argument("--day")
+    merge.add_argument("--start")
+    merge.add_argument("--end")
+
     query = jobs.add_parser("query")
     query.add_argument("sql")
     query.add_argument("--alias", action="append", default=[], metavar="NAME=PATH")
@@ -105,6 +116,10 @@ def main(argv: list[str] | None = None) -> None:
             compact_previous_day(spark, args.origin, args.target, _now(args), *more)
         else:
             compact_days(spark, args.origin, args.target, *_window(args), *more)
+    elif args.job == "merge":
+        window, now = Days(*_window(args)), _now(args)
+        told = merge_batches(spark, args.raw, window, now, timedelta(minutes=args.settle_minutes))
+        print(told | {"removed": clean_merged(spark, args.raw, window, now, timedelta(hours=args.retain_hours))})
     else:
         for alias in args.alias:
             name, _, path = alias.partition("=")

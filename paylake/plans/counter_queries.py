@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake import fixtures
 from paylake.operators.counters import counter_totals, windowed_increase
+from paylake.operators.merge_batches import clean_merged, merge_batches, stored_batches
+from paylake.plans.jobs import ingest_batch
+from paylake.plans.lake import FIRST, LAST
 from paylake.plans.lake_queries import query
+from paylake.schemas import HOUR_PARTS
+from paylake.session import scratch_folder
+from paylake.sources.layers import Days, scan_raw_batches
+from paylake.sources.swaps import is_visible, read_swaps
 
 # --- counters that restart -------------------------------------------------------------------------
 
@@ -62,3 +71,50 @@ SELECT producer, count(*) AS samples, count(*) FILTER (value < before) AS restar
     CAST(sum(CASE WHEN value >= before THEN value - before ELSE value END) AS BIGINT) AS total FROM b GROUP BY 1""")
 def counter_restarts(spark, sf_dir):
     return counter_totals(_samples(spark, sf_dir), ["producer"])
+
+
+# --- merged batches of the raw layer ---------------------------------------------------------------
+
+BATCHES = 4
+
+_HOUR = "year(folded)::VARCHAR AS year, strftime(folded, '%m') AS month, strftime(folded, '%d') AS day, strftime(folded, '%H') AS hr"
+
+
+@query(f"""WITH e AS (SELECT event_id % {BATCHES + 1} AS batch, TIMESTAMP '2024-01-01' + to_minutes(event_id % 2880) AS folded FROM events),
+h AS (SELECT {_HOUR}, count(*) AS every, count(*) FILTER (batch < {BATCHES}) AS early,
+    count(DISTINCT batch) FILTER (batch < {BATCHES}) AS folders, count(*) FILTER (batch = {BATCHES}) AS late FROM e GROUP BY ALL)
+SELECT '1 stored' AS state, year, month, day, hr, early AS n, folders FROM h WHERE early > 0
+UNION ALL SELECT '2 merged', year, month, day, hr, early, 1 FROM h WHERE early > 0
+UNION ALL SELECT '3 late', year, month, day, hr, every, CAST(early > 0 AS INT) + CAST(late > 0 AS INT) FROM h
+UNION ALL SELECT '4 cleaned', year, month, day, hr, every, 1 FROM h""")
+def raw_merge(spark, sf_dir):
+    """Rows and folders per hour as readers see them: batches as stored, merged, with a late one, and merged again and cleaned.
+
+    The whole table arrives in five batches. The last state counts the folders that are left, not only those seen.
+    """
+    root, later = scratch_folder(spark, "raw-merge"), datetime(2100, 1, 1)
+    window = Days(FIRST, LAST)
+    messages = fixtures.table(spark, sf_dir, "events").withColumn("batch", F.col("event_id") % (BATCHES + 1))
+
+    def arrive(number: int) -> None:
+        ingest_batch(fixtures.faker_env(messages.filter(F.col("batch") == number), folded=True), f"{root}/raw")
+
+    def keep(state: str, rows: DataFrame) -> None:
+        counts = rows.groupBy(*HOUR_PARTS).agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("folders"))
+        counts.withColumn("state", F.lit(state)).write.mode("append").parquet(f"{root}/states")
+
+    def seen() -> DataFrame:
+        swaps = read_swaps(spark, f"{root}/raw", window.day_folders())
+        return stored_batches(scan_raw_batches(spark, f"{root}/raw", window).filter(is_visible(swaps)))
+
+    for number in range(BATCHES):
+        arrive(number)
+    keep("1 stored", seen())
+    merge_batches(spark, f"{root}/raw", window, later)
+    keep("2 merged", seen())
+    arrive(BATCHES)
+    keep("3 late", seen())
+    merge_batches(spark, f"{root}/raw", window, later)
+    clean_merged(spark, f"{root}/raw", window, later)
+    keep("4 cleaned", stored_batches(scan_raw_batches(spark, f"{root}/raw", window)))
+    return spark.read.parquet(f"{root}/states").select("state", *HOUR_PARTS, "n", "folders")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.schemas import DAY_PARTS, HOUR_PARTS, RAW, processed_schema, with_parts
+from paylake.sources.swaps import BATCH, is_visible, read_swaps
 
 
 # --- windows of days and hours -------------------------------------------------------------------
@@ -79,6 +80,10 @@ class Days:
         middle = self.first + (self.last - self.first) // 2
         return [Days(self.first, middle, self.hour), Days(middle + timedelta(days=1), self.last, self.hour)]
 
+    def day_folders(self) -> str:
+        """The days of the window as a path pattern, whatever its hour."""
+        return Days(self.first, self.last).folders()
+
     def folders(self) -> str:
         """The same window as a path pattern; a month that lies inside as a whole is one entry."""
         entries, day = [], self.first
@@ -114,10 +119,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
-#: The last level of the raw layer: one folder per batch that wrote to an hour.
-BATCH = "batch"
-
-
 def _scan(
     spark: SparkSession,
     schema: T.StructType,
@@ -125,8 +126,9 @@ def _scan(
     below: str,
     window: Days | None,
     ignore_corrupt: bool,
+    seen: Column | None = None,
 ) -> DataFrame:
-    """Read `base`, or its part `below`, cut to the window."""
+    """Read `base`, or its part `below`, cut to the window and to the batches seen."""
     reader = (
         spark.read.schema(schema)
         .option("basePath", base)
@@ -143,6 +145,8 @@ def _scan(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             df = spark.read.schema(schema).parquet()  # no folder of the window exists: a scan of no files
+    if seen is not None and BATCH in df.columns:
+        df = df.filter(seen)
     # Levels below the partitions of the schema are no columns.
     df = df.select(*schema.names)
     return df if window is None else df.filter(window.predicate())
@@ -155,12 +159,27 @@ def scan_raw(
     sources: Sequence[str] | None = None,
     ignore_corrupt: bool = False,
 ) -> DataFrame:
-    """Raw rows; unreadable files fail the job unless `ignore_corrupt`."""
+    """Raw rows; unreadable files fail the job unless `ignore_corrupt`. Merged batches stand for those they replace."""
+    # Before the folders are listed: a swap published in between is not seen, and neither are its folders.
+    seen = is_visible(read_swaps(spark, root, *([window.day_folders()] if window else [])))
     if sources is None:
-        return _scan(spark, RAW, root, "source=*" if window else "", window, ignore_corrupt)
+        return _scan(spark, RAW, root, "source=*" if window else "", window, ignore_corrupt, seen)
     names = list(sources)
     below = "source=" + (names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
-    return _scan(spark, RAW, root, below, window, ignore_corrupt).filter(F.col("source").isin(names))
+    return _scan(spark, RAW, root, below, window, ignore_corrupt, seen).filter(F.col("source").isin(names))
+
+
+def scan_raw_batches(spark: SparkSession, root: str, window: Days) -> DataFrame:
+    """Raw rows of all batch folders, replaced ones included, with their batch and `_metadata`."""
+    schema = with_parts(RAW, [BATCH])
+    reader = spark.read.schema(schema).option("basePath", root).option("pathGlobFilter", "*.parquet")
+    try:
+        df = reader.parquet(f"{root}/source=*/{window.folders()}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.read.schema(schema).parquet()
+    return df.filter(window.predicate())
 
 
 def scan_processed(

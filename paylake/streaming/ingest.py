@@ -3,7 +3,7 @@
 One query reads the source once. Each batch is parsed once and kept while both outcomes are written, each into folders
 that carry the batch's name: a batch that runs again after a crash replaces its own folders, so every message is stored
 once. No log of files is kept; readers list the folders of their window. Messages of one source and hour arrive together,
-so a task opens few files and nothing is shuffled. The compaction job merges small files.
+so a task opens few files and nothing is shuffled. `operators.merge_batches` merges the folders of hours that are over.
 """
 
 from __future__ import annotations

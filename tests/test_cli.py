@@ -20,7 +20,9 @@ def test_from_messages_to_an_answer(spark, folder):
         file.write("junk\n")
     main(["ingest", "--folder", f"{folder}/in", "--raw", f"{folder}/raw", "--rejects", f"{folder}/rejects",
           "--checkpoints", f"{folder}/checkpoints", "--drain"])
-    window = ["--start", "2026-02-11", "--end", "2026-02-12", "--sources", "faker"]
+    days = ["--start", "2026-02-11", "--end", "2026-02-12"]
+    main(["merge", "--raw", f"{folder}/raw", "--now", "2100-01-01T00:00:00", *days])
+    window = [*days, "--sources", "faker"]
     main(["process", "--from", f"{folder}/raw", "--to", f"{folder}/processed", "--rejects", f"{folder}/malformed", *window])
     scheduled = ["--scheduled", "--now", "2026-02-11T03:10:00", "--sources", "faker", "--ignore-corrupt"]
     main(["process", "--from", f"{folder}/raw", "--to", f"{folder}/processed", *scheduled])
