@@ -25,6 +25,9 @@ WEIGHTS = {"domain": {"d0": 3, "d1": 2, "d2": 1}, "lang": {"en": 4, "de": 2, "fr
 BUDGET_PER_MILLE = 800
 MAX_EPOCHS = 2
 SEED = 20
+#: A plan of up to this size goes to all tasks; a larger one meets rows that are dealt into salts.
+BROADCAST_BYTES = 16 << 20
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -77,6 +80,21 @@ def epoch_key(doc_id: Column, epoch: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
 
 
+def _meet(rows: DataFrame, plan: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows with what the plan says of their leaf; others go. The plan is stored and has one row per leaf.
+
+    A leaf may hold a third of all rows, so no task gets a whole one: a plan whose size was checked goes to where the rows
+    are, and a larger one is copied per salt.
+    """
+    size = plan.agg(F.sum(sum((F.octet_length(n) for n in names), F.lit(16 * len(plan.columns))))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(plan), list(names))
+    salt = unused(rows, "_salt")
+    dealt = rows.withColumn(salt, F.monotonically_increasing_id() % SALTS)
+    copies = plan.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return dealt.join(copies.hint("merge"), [*names, salt]).drop(salt)
+
+
 def selection(
     counted: DataFrame, budget_per_mille: int = BUDGET_PER_MILLE, levels: Sequence[str] = LEVELS,
     weights: Mapping[str, Mapping[str, int]] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
@@ -92,14 +110,15 @@ def selection(
     plan = allocate(leaves.filter("tokens > 0"), total * budget_per_mille // 1000, levels, weights, max_epochs)
     plan = plan.withColumn("full", F.expr("allotted div tokens")).withColumn("rest", F.expr("allotted % tokens")).drop("tokens")
     plan = staged(plan, "mix-leaves")
-    keyed = counted.join(plan.filter("rest > 0"), levels).withColumn("_key", epoch_key(F.col("doc_id"), F.col("full") + 1, seed))
+    keyed = _meet(counted, plan.filter("rest > 0"), levels).withColumn("_key", epoch_key(F.col("doc_id"), F.col("full") + 1, seed))
     keyed = keyed.withColumn("_range", F.substring("_key", 1, 3))
     ranges = keyed.groupBy(*levels, "_range", "rest").agg(F.sum("tokens").alias("_sum"))
     upto = F.sum("_sum").over(W.partitionBy(*levels).orderBy("_range"))
     ends = ranges.withColumn("_upto", upto).filter("_upto > rest AND _upto - _sum <= rest")
     # A range without tokens may follow with the same sum; the first one that exceeds the rest is the end.
     ends = ends.select(*levels, F.col("_range").alias("cut_range"), (F.col("rest") - F.col("_upto") + F.col("_sum")).alias("_room"))
-    last = keyed.join(ends, levels).filter("_range = cut_range")
+    ends = staged(ends, "mix-ends")
+    last = _meet(keyed, ends, levels).filter("_range = cut_range")
     within = F.sum("tokens").over(W.partitionBy(*levels).orderBy("_key"))
     keys = last.withColumn("_within", within).filter("_within <= _room").groupBy(*levels).agg(F.max("_key").alias("cut_key"))
     return plan.join(ends.drop("_room"), levels, "left").join(keys, levels, "left")
@@ -122,10 +141,10 @@ def mix(
     weights = {n: weights.get(level, {}) for n, level in zip(names, levels, strict=True)}
     plan = selection(staged(counted, "mix-counts"), levels=names, weights=weights, **options)
     full, bound, last, times = (f"{mine}_{c}" for c in ("full", "range", "cut", "times"))
-    plan = plan.select(*names, F.col("full").alias(full), F.col("cut_range").alias(bound), F.col("cut_key").alias(last))
+    plan = staged(plan.select(*names, F.col("full").alias(full), F.col("cut_range").alias(bound), F.col("cut_key").alias(last)), "mix-plan")
     key = epoch_key(F.col(doc_id), F.col(full) + 1, seed)
     more = F.coalesce(F.substring(key, 1, 3) < F.col(bound), F.lit(False)) | F.coalesce(key <= F.col(last), F.lit(False))
-    found = docs.withColumns(leaf).join(plan, names).withColumn(times, F.col(full) + more.cast("long"))
+    found = _meet(docs.withColumns(leaf), plan, names).withColumn(times, F.col(full) + more.cast("long"))
     keep = [F.col(f"`{c}`") for c in docs.columns if c != epoch]
     return found.filter(F.col(times) > 0).select(*keep, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(epoch))
 

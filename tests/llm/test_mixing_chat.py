@@ -64,6 +64,18 @@ def test_prefixes_are_the_same_in_any_partitioning(spark):
     assert run(docs.repartition(7)) == run(docs.coalesce(1))
 
 
+def test_a_plan_too_large_to_send_meets_salted_rows(spark, monkeypatch):
+    rng = random.Random(4)
+    docs = documents(spark, [(i % 250, "w " * rng.randint(1, 50), rng.choice("aaaab"), rng.choice("ppppq")) for i in range(300)])
+    run = lambda: mixing.mix(docs, mixing.document_levels(), mixing.word_count(F.col("text"))).select("doc_id", "mix_epoch")
+    sent = sorted(map(tuple, run().collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+    salted = run()
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "_salt" in plan
+    assert sorted(map(tuple, salted.collect())) == sent
+
+
 def _render(turns, me):
     out, masks = "", []
     for role, text in turns:
