@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.schemas import DAY_PARTS
@@ -20,6 +20,8 @@ from paylake.sources.layers import Days, path_exists, remove_parts, replace_part
 
 # Fixed value: default size of a compacted file.
 TARGET_BYTES = 134_217_728
+#: Days of one source whose jobs run at the same time.
+DAYS_AT_ONCE = 8
 
 
 def plan_sizes(totals: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
@@ -84,7 +86,7 @@ def compact(
     target_bytes: int = TARGET_BYTES,
     ignore_corrupt: bool = False,
 ) -> None:
-    """Compact the days of a window, the sources side by side.
+    """Compact the days of a window, the sources side by side, and several days of a source at a time.
 
     Afterwards the window holds the compacted days and nothing else. What fails does not stop the rest: it is tried again
     in smaller pieces, down to single days, and the days that still fail are raised together at the end; what they held
@@ -105,12 +107,15 @@ def compact(
             if not halves:
                 return [f"{source} {days.first if days else ''}: {_first_line(error)}"]
             return [failure for half in halves for failure in compact_window(source, half)]
-        failures = []
-        for day in planned:
+
+        def write(day: Row) -> list[str]:
             try:
                 _write_day(spark, table, files, day, path)
             except Exception as error:  # noqa: BLE001
-                failures.append(f"{source} {day.year}-{day.month}-{day.day}: {_first_line(error)}")
+                return [f"{source} {day.year}-{day.month}-{day.day}: {_first_line(error)}"]
+            return []
+
+        failures = [failure for found in for_each(planned, write, DAYS_AT_ONCE) for failure in found]
         if days and path_exists(spark, path):
             remove_parts(spark, path, days, DAY_PARTS, {f"year={d.year}/month={d.month}/day={d.day}" for d in planned})
         return failures

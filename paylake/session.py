@@ -44,10 +44,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-T = TypeVar("T")
+S, T = TypeVar("S"), TypeVar("T")
 
 
-def for_each(names: Sequence[str], job: Callable[[str], T]) -> list[T]:
-    """Start one Spark job per name at a time, so a small one does not leave the executors idle."""
-    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
-        return list(pool.map(job, names))
+def for_each(items: Sequence[S], job: Callable[[S], T], at_once: int | None = None) -> list[T]:
+    """Run a job per item side by side, at most `at_once` of them, so a small one does not leave the executors idle."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(items), at_once or len(items)))) as pool:
+        return list(pool.map(job, items))

@@ -8,7 +8,7 @@ from paylake.operators import metrics
 from paylake.operators.envelope import read_envelopes, valid_rows
 from paylake.plans.jobs import ingest_batch
 from paylake.sources.layers import scan_raw
-from paylake.sources.streams import file_messages
+from paylake.sources.streams import file_messages, kafka_messages, send_to_kafka
 from paylake.streaming import ingest
 from paylake.streaming.ingest import drain_ingest, start_ingest
 from paylake.streaming.rates import live_counts, live_rates
@@ -202,3 +202,42 @@ def test_repeats_and_sessions_in_one_stream(spark, folder):
 
     out, _ = _hours(spark, folder, build, batches)
     assert [(r["user"], r["n"]) for r in out.collect()] == [("u", 5)]
+
+
+class Recorded:
+    """Stands for a reader or writer and keeps what it is told, as there is no connector here."""
+
+    def __init__(self, streaming=False):
+        self.told, self.isStreaming = {}, streaming
+        self.readStream = self.writeStream = self.write = self
+
+    def format(self, name):
+        return self.options(format=name)
+
+    def option(self, key, value):
+        return self.options(**{key: value})
+
+    def options(self, **more):
+        self.told |= more
+        return self
+
+    def load(self):
+        return self
+
+    start = save = load
+
+
+def test_batches_of_messages_start_by_count_or_delay():
+    told = kafka_messages(Recorded(), "a:1,b:2", ["faker", "stripe"]).told
+    assert told == {
+        "format": "kafka", "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "faker,stripe", "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": 1000, "maxTriggerDelay": "180s",
+    }
+    told = kafka_messages(Recorded(), "a:1", ["faker"], smallest_batch=5, longest_wait="1s", largest_batch=9).told
+    assert (told["minOffsetsPerTrigger"], told["maxTriggerDelay"], told["maxOffsetsPerTrigger"]) == (5, "1s", 9)
+
+
+def test_a_sent_stream_keeps_its_place():
+    table = {"format": "kafka", "kafka.bootstrap.servers": "a:1", "topic": "t"}
+    assert send_to_kafka(Recorded(), "a:1", "t").told == table
+    assert send_to_kafka(Recorded(streaming=True), "a:1", "t", "/checks").told == table | {"checkpointLocation": "/checks"}
