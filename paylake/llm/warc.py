@@ -23,6 +23,8 @@ MAGIC = "WARC/1.0\r\n"
 SMALLEST_REVISIT = 100
 #: Bounds an archive, and so what the order of one file's offsets costs.
 RECORDS_PER_FILE = 50_000
+#: Names of files are sent to all tasks up to this many bytes.
+BROADCAST_BYTES = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -59,9 +61,10 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
         known.filter(f"_bytes >= {SMALLEST_REVISIT}").groupBy(F.col("_digest").alias("_d"))
         .agg(F.min("page_id").alias("_first"), F.max("page_id").alias("_last")).filter("_first < _last").drop("_last")
     )
-    # Only payloads with a copy are matched; the join is split where one payload has many copies.
+    # Only payloads with a copy are matched; the join is split where one payload has many copies. Their number grows with
+    # the pages, so they are merged and never broadcast.
     known = known.withColumn("html", _squeezed(html))
-    joined = known.join(first, F.col("_digest") == F.col("_d"), "left").drop("_d").withColumn("html", _restored("html"))
+    joined = known.join(first.hint("merge"), F.col("_digest") == F.col("_d"), "left").drop("_d").withColumn("html", _restored("html"))
     return joined.withColumn("_original", F.when(F.col("page_id") > F.col("_first"), F.col("_first"))).drop("_first")
 
 
@@ -141,13 +144,8 @@ def _with_offsets(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("at", start).filter("at >= 0").drop("_split_at", "_nth", "_len")
 
 
-def chain(candidates: DataFrame) -> DataFrame:
-    """The candidates (file, at) that the chain of (file, at, next) from offset 0 of each file reaches.
-
-    Pointer jumping: after k rounds the first 2^k records are reached and every pointer spans 2^k records. A round joins
-    one small row per candidate, its file as a hash, and is written, so its plan does not grow; its files compress too
-    well for their size to tell what may be broadcast, so the joins are merges.
-    """
+def _reached(candidates: DataFrame) -> DataFrame:
+    """(f, at), f being the file's hash, of the candidates that are reached; see `chain`."""
     state = staged(candidates.select(F.xxhash64("file").alias("f"), "at", "next", (F.col("at") == 0).alias("on")), "warc-chain")
     reached = -1
     while (now := state.filter("on").count()) != reached:
@@ -159,8 +157,28 @@ def chain(candidates: DataFrame) -> DataFrame:
             .select("f", "at", F.col("_far").alias("next"), (F.col("on") | F.coalesce("_hit", F.lit(False))).alias("on")),
             "warc-chain",
         )
-    ends = state.filter("on").select("f", "at")
-    return candidates.select("file", "at").withColumn("f", F.xxhash64("file")).join(ends, ["f", "at"], "left_semi").select("file", "at")
+    return state.filter("on").select("f", "at")
+
+
+def kept(candidates: DataFrame) -> DataFrame:
+    """The candidates, with all their columns, that the chain reaches; see `chain`."""
+    return candidates.withColumn("f", F.xxhash64("file")).join(_reached(candidates).hint("merge"), ["f", "at"], "left_semi").select(*candidates.columns)
+
+
+def chain(candidates: DataFrame) -> DataFrame:
+    """The candidates (file, at) that the chain of (file, at, next) from offset 0 of each file reaches.
+
+    Pointer jumping: after k rounds the first 2^k records are reached and every pointer spans 2^k records. A round joins
+    one small row per candidate, its file as a hash, and is written, so its plan does not grow; its files compress too
+    well for their size to tell what may be broadcast, so the joins are merges.
+    """
+    return kept(candidates).select("file", "at")
+
+
+def _of_files(pieces: DataFrame, files: DataFrame) -> DataFrame:
+    """The pieces of the named files, given as a stored table: sent to where the text is read if the names are few."""
+    size = files.agg(F.sum(F.octet_length("file") + 64)).first()[0] or 0
+    return pieces.join(F.broadcast(files) if size <= BROADCAST_BYTES else files.hint("merge"), "file", "left_semi")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -176,14 +194,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     parsed = _parsed(pieces.select(place.alias("file"), F.lit(0).cast("long").alias("at"), "value"))
     parsed = parsed.select("file.*", *[c for c in parsed.columns if c not in ("file", "at", "next")], F.col("next").alias("_span"))
     found = staged(_with_offsets(parsed).withColumn("next", F.col("at") + F.col("_span")).drop("_span"), "warc-candidates")
-    records = found.join(chain(found), ["file", "at"], "left_semi")
-    broken = records.filter("NOT whole").select("file", "at", F.col("next").alias("_end"))
+    records = kept(found)
+    broken = staged(records.filter("NOT whole").select("file", F.col("at").alias("_start"), F.col("next").alias("_end")), "warc-broken")
     columns = ["file", "at", "record_type", "url", "page_id", "refers_to", "payload_bytes", "payload_digest"]
     if broken.isEmpty():
         return records.select(*columns)
-    broken = staged(broken, "warc-broken")
-    again = _with_offsets(pieces.join(broken.select("file").distinct(), "file", "left_semi"))
-    inside = again.join(broken.withColumnRenamed("at", "_start"), "file").filter("at >= _start AND (at < _end OR at = _start)")
+    again = _with_offsets(_of_files(pieces, staged(broken.select("file").distinct(), "warc-files")))
+    # The offsets have brought the texts of a file together already; the merge shuffles only the small side.
+    inside = again.join(broken.hint("merge"), "file").filter("at >= _start AND (at < _end OR at = _start)")
     joined = inside.groupBy("file", F.col("_start").alias("at")).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("_parts"))
     whole = _parsed(joined.select("file", "at", F.array_join(F.col("_parts.value"), MAGIC).alias("value")))
     return records.filter("whole").select(*columns).union(whole.select(*columns))
