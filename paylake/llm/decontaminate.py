@@ -15,12 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm.common import small_batches, table
+from paylake.llm.common import small_batches, staged, table, unused
 
 Q = 10
 #: Edits allowed, as a share of an item's characters.
 EDIT_RATE = 0.05
-#: Items are compared in blocks of at most this many characters, so what a task holds does not grow with the benchmark.
+#: Items are compared in blocks of at most this many characters (a longer item is a block of its own), so neither a task nor
+#: the driver holds more of a benchmark of any size.
 BLOCK_CHARS = 4_000_000
 #: Longer texts are searched in overlapping pieces.
 PIECE = 1 << 19
@@ -156,43 +157,75 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
     return int(cost.min())
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """Items (item_id, text) in blocks of bounded size; rows without id or text are left out."""
-    block, size = [], 0
-    for row in benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        if block and size + len(row["text"]) > block_chars:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    if block:
-        yield block
+def dealt(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, list[int]]:
+    """Distinct items (item_id, text, block), stored, and the blocks; rows without id or text are left out.
 
+    If all items are within the bound they are one block. Otherwise an item of more than an eighth of it has a block of its
+    own, and the others are dealt by a hash, into twice as many blocks until each is within the bound.
+    """
+    items = staged(benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct(), "benchmark")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    if total <= block_chars:
+        return items.withColumn("block", F.lit(0)), [0]
+    n, own = 2 * -(-total // block_chars), F.length("text") > block_chars // 8
+    while True:
+        place = F.xxhash64("item_id", "text")
+        numbered = items.withColumn("block", F.when(own, place).otherwise(F.pmod(place, F.lit(n))))
+        if numbered.filter(~own).groupBy("block").agg(F.sum(F.length("text")).alias("size")).filter(F.col("size") > block_chars).isEmpty():
+            return numbered, [r["block"] for r in numbered.select("block").distinct().collect()]
+        n *= 2
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE, text: str = "text", leaks: str = "leaks") -> DataFrame:
-    """Add the items each whole text holds: array of (item_id, edits), in order of id, empty where there is none.
 
-    One pass over the documents for all blocks of the benchmark together; nothing is shuffled. Null and empty texts hold
-    nothing, an empty benchmark and an empty item are held by no text, and of items with one id the best match is given.
-    """
-    sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks(benchmark)]
+def _finder(docs: DataFrame, rows: list[tuple[int, str]], edit_rate: float):
+    """The column function that finds the items of one block in whole texts, and what its tasks hold of it."""
+    sent = docs.sparkSession.sparkContext.broadcast(rows)
 
     @F.pandas_udf("array<struct<item_id: bigint, edits: int>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sets = [(Items.of(s.value, edit_rate), short_items(s.value)) for s in sent] if len(sent) == 1 else None
+        items, short = Items.of(sent.value, edit_rate), short_items(sent.value)
         for batch in batches:
-            best: list[dict[int, int]] = [{} for _ in batch]
-            for items, short in sets or ((Items.of(s.value, edit_rate), short_items(s.value)) for s in sent):
-                for row, value in zip(best, batch, strict=True):
-                    for item, edits in items.find(value).items():
-                        key = items.ids[item]
-                        row[key] = min(edits, row.get(key, edits))
-                    if short:
-                        whole = normalise(value)
-                        row.update((key, 0) for key, t in short if t in whole)
-            yield pd.Series([[{"item_id": i, "edits": e} for i, e in sorted(row.items())] for row in best])
-
-    return docs.withColumn(leaks, found(F.col(text)))
+            out = []
+            for value in batch:
+                best: dict[int, int] = {}
+                for item, edits in items.find(value).items():
+                    best[items.ids[item]] = min(edits, best.get(items.ids[item], edits))
+                if short:
+                    whole = normalise(value)
+                    best.update((key, 0) for key, t in short if t in whole)
+                out.append([{"item_id": i, "edits": e} for i, e in sorted(best.items())])
+            yield pd.Series(out)
+
+    return found, sent
+
+
+def with_leaks(
+    docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE, text: str = "text", leaks: str = "leaks", block_chars: int = BLOCK_CHARS
+) -> DataFrame:
+    """Add the items each whole text holds: array of (item_id, edits), in order of id, empty where there is none.
+
+    A column named as `leaks` is replaced. Null and empty texts hold nothing, an empty benchmark and an empty item are held
+    by no text, and of items with one id the best match is given. A benchmark of one block, as its size was counted to be, is
+    sent to the tasks, and documents are read once and not shuffled. A larger one takes a pass per block, which sends that
+    block alone and writes only what it found, by the text's digest; the findings then meet the documents in a join.
+    """
+    items, places = dealt(benchmark, block_chars)
+    if len(places) == 1:
+        found, _ = _finder(docs, [tuple(r) for r in items.drop("block").collect()], edit_rate)
+        return docs.withColumn(leaks, found(F.col(text)))
+    hits = None
+    for block in places:
+        found, sent = _finder(docs, [tuple(r) for r in items.filter(F.col("block") == block).drop("block").collect()], edit_rate)
+        one = docs.select(F.sha2(F.col(text).cast("binary"), 256).alias("_digest"), found(F.col(text)).alias("_found"))
+        one = staged(one.filter(F.size("_found") > 0).select("_digest", F.explode("_found").alias("_hit")).distinct(), "leaks")
+        sent.destroy()
+        hits = one if hits is None else hits.union(one)
+    digest, told = unused(docs, "_digest"), unused(docs, "_leaks")
+    hits = hits.groupBy("_digest", "_hit.item_id").agg(F.min("_hit.edits").alias("edits"))
+    hits = hits.groupBy(F.col("_digest").alias(digest)).agg(F.array_sort(F.collect_list(F.struct("item_id", "edits"))).alias(told))
+    met = docs.withColumn(digest, F.sha2(F.col(text).cast("binary"), 256)).join(hits.hint("merge"), digest, "left")
+    none = F.expr("cast(array() AS array<struct<item_id: bigint, edits: int>>)")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != leaks]
+    return met.select(*rest, F.coalesce(F.col(told), none).alias(leaks))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

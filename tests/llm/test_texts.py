@@ -38,16 +38,21 @@ def test_leaks_against_edit_distance(monkeypatch):
     assert hits > 60
 
 
-def test_leaks_of_tables_in_blocks(spark, monkeypatch):
+def test_leaks_of_tables_in_blocks(spark):
     small_batches(spark)
     rng = random.Random(2)
     items = [(i, prose(rng, 20)) for i in range(6)] + [(7, None), (None, "z" * 40), (8, "short"), (0, prose(rng, 20))]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     rows = [(1, "a " + items[0][1].upper().replace(" ", " \n ") + " b"), (2, None), (3, ""), (4, items[3][1] + " " + items[9][1]), (4, "x"), (None, items[5][1])]
     docs = documents(spark, rows).withColumn("leaks", F.lit("mine"))
-    for size in (4_000_000, 100):
-        monkeypatch.setattr(decontaminate.blocks, "__defaults__", (size,))
-        got = decontaminate.with_leaks(docs, bench, leaks="found").collect()
+    long = max(len(t) for _, t in items if t)
+    assert decontaminate.dealt(bench)[1] == [0] and len(decontaminate.dealt(bench, 3 * long)[1]) == 8
+    spread = spark.createDataFrame([(100 + i, prose(rng, 3)) for i in range(40)], "item_id bigint, text string").union(bench)
+    numbered, places = decontaminate.dealt(spread, 4 * long)
+    sizes = [r["n"] for r in numbered.groupBy("block").agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert len(places) == len(sizes) and max(sizes) <= 4 * long
+    for size in (4_000_000, 3 * long):
+        got = decontaminate.with_leaks(docs, bench, leaks="found", block_chars=size).collect()
         assert sorted((str(r["doc_id"]), [x["item_id"] for x in r["found"]]) for r in got) == [("1", [0]), ("2", []), ("3", []), ("4", []), ("4", [0, 3]), ("None", [5])]
         assert {r["leaks"] for r in got} == {"mine"}
     assert decontaminate.with_leaks(docs, bench.limit(0), leaks="found").filter("size(found) > 0").count() == 0
