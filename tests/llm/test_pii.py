@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from paylake.llm import pii
-from tests.llm.helpers import base_spans, documents
+from tests.llm.helpers import base_spans, documents, prose
 
 TRAPS = [
     None, "", "plain words", "a@b.c d@e.f", "a@b.c.d@e.f x.@y.z", "a@b a@.b @c.d a..b%@x-y.z-", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3 0001.02.3.255",
@@ -45,6 +45,51 @@ def test_a_number_run_together_is_found_by_its_look(spark):
     assert all(not spans[i] for i in range(600, 800))
 
 
+def test_recall_per_kind_on_disguised_data(spark):
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    luhn = lambda body: body + str((10 - sum(sum(divmod(int(d) * (2 - i % 2), 10)) for i, d in enumerate(reversed(body)))) % 10)
+
+    def card(sep):
+        number = luhn("4" + digits(14))
+        return sep.join(number[i : i + 4] for i in range(0, 16, 4))
+
+    plain = {
+        "email": lambda: f"{rng.choice(['jo', 'ann', 'k.lee'])}{rng.randint(1, 99)}@{rng.choice(['mail', 'corp-x'])}.{rng.choice(['com', 'co.uk'])}",
+        "ip": lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4)),
+        "card": lambda: card(rng.choice(["", " ", "-"])),
+        "phone": lambda: rng.choice([f"+1 ({rng.randint(200, 999)}) 555-{digits(4)}", f"+49 30 {digits(3)} {digits(4)}", f"+44 20-{digits(4)}-{digits(4)}"]),
+    }
+
+    def hidden(kind):
+        s = plain[kind]()
+        if kind == "email":
+            name, host = s.split("@")
+            at, dot = rng.choice([(" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", ".")])
+            return name + at + host.replace(".", dot)
+        if kind == "ip":
+            return s.replace(".", rng.choice("-,_:"))
+        if kind == "card":
+            return rng.choice([card("."), card("/"), s[:-1] + str((int(s[-1]) + rng.randint(1, 9)) % 10)])
+        return rng.choice([s[1:], s.split(" ", 1)[1]])
+
+    def other():
+        n = rng.randint(0, 6)
+        return [f"order {digits(7)}", f"on 2024-1{n % 3}-{digits(2)}", f"met at 3.{n}", f"see page.{n} now", f"ratio {digits(3)}.{n}", f"pages {digits(2)}-{digits(3)}", f"at {digits(2)}:{digits(2)}"][n]
+
+    words = {"email": ["mail me at", "write to"], "ip": ["server", "seen"], "card": ["card", "paid with"], "phone": ["call", "ring"]}
+    said = lambda kind, what: f"{prose(rng, 6)} {rng.choice(words[kind])} {what} {prose(rng, 4)}"
+    clean = lambda: f"{prose(rng, 6)} {other()} {prose(rng, 3)} {other()}."
+    known = [said(k, plain[k]()) for k in pii.KINDS for _ in range(300)] + [clean() for _ in range(800)]
+    model = pii.fit(pii.with_candidates(documents(spark, list(enumerate(known)))))
+    asked = [said(k, hidden(k)) for k in pii.KINDS for _ in range(60)] + [clean() for _ in range(240)]
+    found = pii.with_spans(pii.with_candidates(documents(spark, list(enumerate(asked)))), model)
+    got = {r["doc_id"]: r["n"] > 0 for r in found.select("doc_id", F.size("pii_spans").alias("n")).collect()}
+    for i, kind in enumerate(pii.KINDS):
+        assert sum(got[d] for d in range(60 * i, 60 * i + 60)) >= 54, kind
+    assert sum(got[d] for d in range(240, 480)) <= 12
+
+
 def test_redaction_replaces_spans(spark):
     found, _ = _spans(spark, ["to é a@b.co, 1.2.3.4", None, "+49 30 1234567"])
     rows = found.select("doc_id", pii.redacted(F.coalesce("text", F.lit("")), F.col("pii_spans")).alias("t")).collect()
