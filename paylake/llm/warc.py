@@ -23,7 +23,7 @@ MAGIC = "WARC/1.0\r\n"
 SMALLEST_REVISIT = 100
 #: Bounds an archive, and so what the order of one file's offsets costs.
 RECORDS_PER_FILE = 50_000
-#: Names of files are sent to all tasks up to this many bytes.
+#: Names of files and places of records are sent to all tasks up to this many bytes, and merged beyond.
 BROADCAST_BYTES = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 
@@ -144,8 +144,8 @@ def _with_offsets(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("at", start).filter("at >= 0").drop("_split_at", "_nth", "_len")
 
 
-def _reached(candidates: DataFrame) -> DataFrame:
-    """(f, at), f being the file's hash, of the candidates that are reached; see `chain`."""
+def _reached(candidates: DataFrame) -> tuple[DataFrame, int]:
+    """(f, at), f being the file's hash, of the candidates that are reached, and how many those are; see `chain`."""
     state = staged(candidates.select(F.xxhash64("file").alias("f"), "at", "next", (F.col("at") == 0).alias("on")), "warc-chain")
     reached = -1
     while (now := state.filter("on").count()) != reached:
@@ -157,12 +157,14 @@ def _reached(candidates: DataFrame) -> DataFrame:
             .select("f", "at", F.col("_far").alias("next"), (F.col("on") | F.coalesce("_hit", F.lit(False))).alias("on")),
             "warc-chain",
         )
-    return state.filter("on").select("f", "at")
+    return state.filter("on").select("f", "at"), reached
 
 
 def kept(candidates: DataFrame) -> DataFrame:
     """The candidates, with all their columns, that the chain reaches; see `chain`."""
-    return candidates.withColumn("f", F.xxhash64("file")).join(_reached(candidates).hint("merge"), ["f", "at"], "left_semi").select(*candidates.columns)
+    ends, n = _reached(candidates)
+    ends = F.broadcast(ends) if 32 * n <= BROADCAST_BYTES else ends.hint("merge")
+    return candidates.withColumn("f", F.xxhash64("file")).join(ends, ["f", "at"], "left_semi").select(*candidates.columns)
 
 
 def chain(candidates: DataFrame) -> DataFrame:
