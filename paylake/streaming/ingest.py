@@ -1,16 +1,16 @@
 """Stream messages into the raw layer, and refused messages into a folder of their own.
 
-One query reads the source once. Each batch is parsed once and kept while both outcomes are written, each into folders
-that carry the batch's name: a batch that runs again after a crash replaces its own folders, so every message is stored
-once. No log of files is kept; readers list the folders of their window. Messages of one source and hour arrive together,
-so a task opens few files and nothing is shuffled. `operators.merge_batches` merges the folders of hours that are over.
+One query takes the source in batches. A batch is not kept, however large: one pass stores what is accepted and counts, and
+only a batch with refused messages is read again to set those aside, each into folders that carry the batch's name: a batch
+that runs again after a crash replaces its own folders, so every message is stored once. No log of files is kept; readers list
+the folders of their window. Nothing is shuffled, and a task of up to `OPEN_HOURS` hours sorts nothing either: it holds one
+small row group per hour. `operators.merge_batches` merges the folders of hours that are over.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,11 @@ from paylake.schemas import HOUR_PARTS
 from paylake.sources.layers import BATCH, replace_parts
 from paylake.sources.streams import POLL
 
+#: Folders a task writes to side by side; rows of further ones are sorted first.
+OPEN_HOURS = 64
+#: A row group of each of these is in memory.
+ROW_GROUP_BYTES = 4 * 1024 * 1024
+
 
 class Outcomes:
     """Messages accepted and refused in all batches a query has finished here; a repeated batch counts once."""
@@ -39,14 +44,15 @@ class Outcomes:
 
 
 def _store(messages: DataFrame, batch: str, raw_root: str, rejects_root: str) -> dict:
-    counts = Observation()
-    envelopes = count_outcomes(read_envelopes(messages), counts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        replace_parts(valid_rows(envelopes).withColumn(BATCH, F.lit(batch)), raw_root, ["source", *HOUR_PARTS, BATCH])
-        replace_parts(rejected_rows(envelopes).withColumn(BATCH, F.lit(batch)), rejects_root, [BATCH, "reason"])
-    finally:
-        envelopes.unpersist()
-    return counts.get
+    # The session of a batch is the stream's own, so nothing else is written that way.
+    messages.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_HOURS))
+    counts, envelopes = Observation(), read_envelopes(messages)
+    accepted = valid_rows(count_outcomes(envelopes, counts)).withColumn(BATCH, F.lit(batch))
+    replace_parts(accepted, raw_root, ["source", *HOUR_PARTS, BATCH], **{"parquet.block.size": ROW_GROUP_BYTES})
+    counted = counts.get
+    refused = rejected_rows(envelopes) if counted["refused"] else rejected_rows(envelopes).limit(0)
+    replace_parts(refused.withColumn(BATCH, F.lit(batch)), rejects_root, [BATCH, "reason"])
+    return counted
 
 
 def start_ingest(

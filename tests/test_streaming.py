@@ -60,6 +60,26 @@ def test_restart_adds_only_what_is_new(spark, folder):
     assert reasons == {"not_object": 2, "missing_key": 1}
 
 
+def test_a_batch_is_not_kept_and_nothing_is_sorted(spark, folder, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuses(*_):
+        raise AssertionError("a batch may be larger than the memory")
+
+    monkeypatch.setattr(DataFrame, "persist", refuses)
+    seen, replace = [], ingest.replace_parts
+
+    def replaces(df, *arguments, **options):
+        seen.append(int(df.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        replace(df, *arguments, **options)
+
+    monkeypatch.setattr(ingest, "replace_parts", replaces)
+    put(folder, "1.txt", [text(i, hour=i % 24) for i in range(30)] + ["junk"])
+    assert drain(spark, folder) == {"accepted": 30, "refused": 1}
+    assert stored(spark, folder) == list(range(30)) and spark.read.parquet(f"{folder}/rejects").count() == 1
+    assert seen and min(seen) >= 48 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_late_messages_go_to_their_own_hour(spark, folder):
     put(folder, "1.txt", [text(1, hour=12)])
     drain(spark, folder)
