@@ -8,6 +8,8 @@ a filter on a parsed field would otherwise be pushed through the projection and
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,30 +24,50 @@ def computed_once(df: DataFrame, columns: dict[str, Column], *keep: str) -> Data
     return df.select(*keep, F.inline(F.array(named)))
 
 
+def _could_be_other(text: Column) -> Column:
+    """Whether the text of a value could come from a number (one too large reads Infinity), a container or a boolean."""
+    return F.left(text, F.lit(1)).isin(list("-0123456789{[IN")) | text.isin("true", "false")
+
+
 class Document:
-    """Paths into one JSON document held as `[document, null]` in a VARIANT column."""
+    """Paths into one JSON document held as `[document, null]` in a VARIANT column.
 
-    def __init__(self, column: Column):
-        self.column = column
+    What has been computed before, by `computed_once`, can be given by path: `texts`, `kinds`, and whether the document is
+    `alone`. The type of a value costs several times its text, as the value is copied first; a type is asked for only where
+    a given text leaves it open.
+    """
+
+    def __init__(
+        self, column: Column, texts: Mapping[str, Column] | None = None, kinds: Mapping[str, Column] | None = None,
+        alone: Column | None = None,
+    ):
+        self.column, self.texts, self.kinds, self.alone = column, texts or {}, kinds or {}, alone
 
     def value(self, path: str = "") -> Column:
         """The value as VARIANT: SQL NULL when missing, a variant null when JSON null."""
         return F.try_variant_get(self.column, f"$[0]{path}", "variant")
 
     def text(self, path: str) -> Column:
-        return F.try_variant_get(self.column, f"$[0]{path}", "string")
+        return self.texts[path] if path in self.texts else F.try_variant_get(self.column, f"$[0]{path}", "string")
 
     def kind(self, path: str = "") -> Column:
-        return F.schema_of_variant(self.value(path))
+        return self.kinds[path] if path in self.kinds else F.schema_of_variant(self.value(path))
+
+    def _known(self, path: str, of_text: Column, otherwise: Column) -> Column:
+        """`of_text` where a given text can be nothing but a text."""
+        if path not in self.texts:
+            return otherwise
+        text = self.texts[path]
+        return F.when(text.isNotNull() & ~_could_be_other(text), of_text).otherwise(otherwise)
 
     def missing(self, path: str) -> Column:
-        return self.value(path).isNull()
+        return self._known(path, F.lit(False), self.value(path).isNull())
 
     def is_text(self, path: str) -> Column:
-        return F.coalesce(self.kind(path) == "STRING", F.lit(False))
+        return self._known(path, F.lit(True), F.coalesce(self.kind(path) == "STRING", F.lit(False)))
 
     def is_text_or_null(self, path: str) -> Column:
-        return F.coalesce(self.kind(path).isin("STRING", "VOID"), F.lit(False))
+        return self._known(path, F.lit(True), F.coalesce(self.kind(path).isin("STRING", "VOID"), F.lit(False)))
 
     def is_number_or_null(self, path: str) -> Column:
         kind = self.kind(path)
@@ -56,6 +78,8 @@ class Document:
 
     def is_alone(self) -> Column:
         """True when the text holds one document and nothing more."""
+        if self.alone is not None:
+            return self.alone
         second, third = (F.try_variant_get(self.column, path, "variant") for path in ("$[1]", "$[2]"))
         return F.is_variant_null(second) & third.isNull()
 

@@ -24,11 +24,14 @@ from paylake.schemas import processed_schema
 class Rules:
     """What a source takes from a payload.
 
-    `wanted` selects rows; `unreadable` gives a reason when that cannot even be decided. A wanted row must
+    `wanted` selects rows; `unreadable` gives a reason when that cannot even be decided. The payload of a wanted row spells
+    all `words`, in any case and maybe escaped; `decided_by` are the paths that `wanted` looks at. A wanted row must
     have all named fields: `texts` are text, `optional_texts` text or null, and `amount_ok` holds for `amount`.
     """
 
     wanted: Callable[[Document], Column]
+    words: Sequence[str]
+    decided_by: Sequence[str]
     unreadable: Callable[[Document], Column]
     texts: Sequence[str]
     optional_texts: Sequence[str]
@@ -48,6 +51,8 @@ def _converts(doc: Document, path: str) -> Column:
 # Generated card transactions: words are stored in lower case, the status is compared without case.
 FAKER = Rules(
     wanted=lambda doc: F.lower(doc.text(".status")) == "completed",
+    words=("completed",),
+    decided_by=(".status",),
     unreadable=lambda doc: (
         F.when(doc.missing(".status"), "missing_field").when(~doc.is_text(".status"), "not_text")
     ),
@@ -76,6 +81,8 @@ STRIPE = Rules(
     wanted=lambda doc: (
         (doc.text(".data.object.status") == "succeeded") & (doc.text(".data.object.object") == "payment_intent")
     ),
+    words=("succeeded", "payment_intent"),
+    decided_by=(".data.object.status", ".data.object.object"),
     unreadable=_undecided_intent,
     texts=(),
     optional_texts=tuple(f".data.object.{name}" for name in ("id", "customer", "currency", "payment_method")),
@@ -94,6 +101,8 @@ STRIPE = Rules(
 # Account transfers: account and currency are those of the first leg, the amount that of the second.
 REVOLUT = Rules(
     wanted=lambda doc: doc.text(".data.state") == "completed",
+    words=("completed",),
+    decided_by=(".data.state",),
     # Data with a state is an object, so most rows need no look at the whole of it.
     unreadable=lambda doc: F.when(
         doc.missing(".data.state"),
@@ -121,16 +130,35 @@ def _rules(source: str) -> Rules:
     return RULES[source]
 
 
-def _opened(raw: DataFrame) -> tuple[DataFrame, Document]:
+def _opened(raw: DataFrame, rules: Rules, wanted_only: bool = False) -> tuple[DataFrame, Document]:
+    """Parse, and take what the rules look at: first what decides whether a row is wanted, the rest for wanted rows."""
     kept = [name for name in raw.columns if name != "source"]
     columns = {"doc": F.try_parse_json(as_array(F.col("payload"))), "instant": utc_clock(F.col("received_at"))}
-    return computed_once(raw, columns, *kept), Document(F.col("doc"))
+    parsed, whole = computed_once(raw, columns, *kept), Document(F.col("doc"))
+    deciding = {path: F.col(f"_decides{i}") for i, path in enumerate(rules.decided_by)}
+    first = {f"_decides{i}": whole.text(path) for i, path in enumerate(rules.decided_by)}
+    parsed = computed_once(parsed, first | {"_alone": F.coalesce(whole.is_alone(), F.lit(False))}, *parsed.columns)
+    doc = Document(F.col("doc"), deciding, alone=F.col("_alone"))
+    wanted = _wanted(rules, doc)
+    if wanted_only:
+        parsed = parsed.filter(wanted)
+    texts = [*rules.texts, *rules.optional_texts]
+    rest = {f"_text{i}": F.when(wanted, whole.text(path)) for i, path in enumerate(texts)}
+    parsed = computed_once(parsed, rest | {"_kind": F.when(wanted, whole.kind(rules.amount))}, *parsed.columns)
+    known = deciding | {path: F.col(f"_text{i}") for i, path in enumerate(texts)}
+    return parsed, Document(F.col("doc"), known, {rules.amount: F.col("_kind")}, F.col("_alone"))
 
 
 def _wanted(rules: Rules, doc: Document) -> Column:
     return F.coalesce(rules.wanted(doc), F.lit(False))
 
 
+def _may_be_wanted(rules: Rules) -> Column:
+    """False only for payloads that cannot be of a wanted row, so that those need not be parsed. An escape may spell anything."""
+    text = F.lower("payload")
+    return _all([F.contains(text, F.lit(word)) for word in rules.words]) | F.contains("payload", F.lit("\\"))
+
+
 def _texts_ok(rules: Rules, doc: Document) -> Column:
     return _all([doc.is_text(path) for path in rules.texts] + [doc.is_text_or_null(path) for path in rules.optional_texts])
 
@@ -173,14 +201,20 @@ def normalize(
     `counts` is told how many rows were `read` and how many of them were `rejected` as malformed.
     """
     rules, schema = _rules(source), processed_schema(source)
-    parsed, doc = _opened(raw)
+    wanted_only = counts is None and not strict  # nobody asks for the faults of other rows
+    parsed, doc = _opened(raw.filter(_may_be_wanted(rules)) if wanted_only else raw, rules, wanted_only)
     if counts is not None:
-        parsed = parsed.observe(counts, F.count(F.lit(1)).alias("read"), F.count_if(_malformed(rules, doc)).alias("rejected"))
+        # The filter below asks again, so the answer is kept.
+        parsed = computed_once(parsed, {"malformed": _malformed(rules, doc)}, *parsed.columns)
+        malformed = F.col("malformed")
+        parsed = parsed.observe(counts, F.count(F.lit(1)).alias("read"), F.count_if(malformed).alias("rejected"))
     wanted = _wanted(rules, doc)
     if strict:
         fault = _fault(rules, doc)
         failed = F.raise_error(F.concat(F.lit("malformed payload: "), fault)).cast("boolean")
         rows = parsed.filter(F.when(fault.isNotNull(), failed).otherwise(wanted))
+    elif counts is not None:
+        rows = parsed.filter(wanted & ~malformed)
     else:
         rows = parsed.filter(wanted & _sound(rules, doc))
     values = [F.lit(source), F.col("instant"), *rules.columns(doc)]
@@ -190,8 +224,8 @@ def normalize(
 
 def rejected_payloads(raw: DataFrame, source: str, keep: Sequence[str] = ()) -> DataFrame:
     """Malformed rows of one source: `source, received_at, payload, reason`, and the columns to keep."""
-    parsed, doc = _opened(raw)
     rules = _rules(source)
+    parsed, doc = _opened(raw, rules)
     return parsed.filter(_malformed(rules, doc)).select(
         F.lit(source).alias("source"), "received_at", "payload", _fault(rules, doc).alias("reason"), *keep
     )

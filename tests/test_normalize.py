@@ -139,3 +139,24 @@ def test_dispatch_and_duplicates(spark):
 def test_union_refuses_other_columns(spark):
     with pytest.raises(PySparkException):
         union_sources([normalize(raw_of(spark, s, []), s) for s in ("faker", "stripe")])
+
+
+@pytest.mark.parametrize("source, good, word", [
+    ("faker", faker(), "COMPLETED"), ("stripe", stripe(), "succeeded"), ("stripe", stripe(), "payment_intent"), ("revolut", revolut(), "completed"),
+])
+def test_only_payloads_that_may_be_wanted_are_parsed(spark, source, good, word):
+    escaped = good.replace(f'"{word}"', f'"\\u00{ord(word[0]):02x}{word[1:]}"')
+    elsewhere = good.replace(f'"{word}"', '"other"')[:-1] + f', "note": "{word}"}}'
+    raw = spark.createDataFrame([(source, AT, payload) for payload in (good, escaped, elsewhere)], "source string, received_at string, payload string")
+    made = normalize(raw, source)
+    assert escaped != good and made.count() == 2
+    plan = made._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.rindex("contains(lower(payload") > plan.rindex("parsejson")
+
+
+def test_texts_that_spell_other_types_are_told_apart(spark):
+    texts = ["1", "-x", "true", "{}", "[1]", "null", "Infinity", ""]
+    rows = [faker(user_id=value) for value in [*texts, 1, True, {}, [1], float("1e308")]] + [faker().replace('"u1"', "1e999")]
+    raw = spark.createDataFrame([("faker", AT, row) for row in rows], "source string, received_at string, payload string")
+    assert sorted(r.user_id for r in normalize(raw, "faker").collect()) == sorted(texts)
+    assert {r.reason for r in rejected_payloads(raw, "faker").collect()} == {"not_text"} and rejected_payloads(raw, "faker").count() == 6
