@@ -8,6 +8,8 @@ one cell of every size, and meets an interval in exactly one cell of its cover.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,52 +17,55 @@ from pyspark.sql import functions as F
 from paylake.operators.ranges import _number
 
 #: Ticks in a mean interval. More make covers finer and candidates fewer; pairs are the same.
-TICKS = 16
+TICKS = 2
 #: Sizes of cells, as powers of two: enough for any pair of ticks.
 SIZES = 60
 
 
-_CELLS = "array<struct<size:int,cell:bigint>>"
+def _halved(tick: Column, size: Column) -> Column:
+    return F.call_function("shiftright", tick, size)
 
 
-def dyadic_cover(low: Column, high: Column, sizes: int = SIZES) -> Column:
-    """Cells `(size, cell)` that make up the ticks from low to high, both included; size is a power of two below `sizes`,
-    which must be enough for the longest interval."""
-    none = F.array().cast(_CELLS)
-    state = F.struct(low.cast("bigint").alias("l"), high.cast("bigint").alias("h"), none.alias("cells"))
+def _size_and_cell(low: Column, high: Column, place: Column) -> tuple[Column, Column]:
+    """The cell of the cover at a place: two places per size, null where the cover has no such cell.
 
-    def taken(at: Column, size: Column, use: Column) -> Column:
-        return F.when(use, F.array(F.struct(size.cast("int").alias("size"), at.alias("cell"))).cast(_CELLS)).otherwise(none)
+    Cells `first` to `end - 1` of a size lie inside as a whole. An odd first one and an even last one have no brother inside,
+    so they are taken; all others are halves of cells of the next size.
+    """
+    size = F.shiftright(place, 1)
+    first, end = _halved(low - 1, size) + 1, _halved(high + 1, size)
+    at_end = place.bitwiseAND(F.lit(1)) == 1
+    odd = F.when(at_end, end).otherwise(first).bitwiseAND(F.lit(1)) == 1
+    return size, F.when((first < end) & odd, F.when(at_end, end - 1).otherwise(first))
 
-    def step(s: Column, size: Column) -> Column:
-        # An odd first tick and an even last one have no brother inside. What is used up stays empty: 0 to -1.
-        left = (s["l"] <= s["h"]) & (s["l"].bitwiseAND(F.lit(1)) == 1)
-        first = F.when(left, s["l"] + 1).otherwise(s["l"])
-        right = (first <= s["h"]) & (s["h"].bitwiseAND(F.lit(1)) == 0)
-        last = F.when(right, s["h"] - 1).otherwise(s["h"])
-        more = first <= last
-        return F.struct(
-            F.when(more, F.shiftright(first, 1)).otherwise(F.lit(0)).alias("l"), F.when(more, F.shiftright(last, 1)).otherwise(F.lit(-1)).alias("h"),
-            F.concat(s["cells"], taken(s["l"], size, left), taken(s["h"], size, right)).alias("cells"),
-        )
 
-    return F.aggregate(F.array(*[F.lit(i) for i in range(sizes)]), state, step, lambda s: s["cells"])
+def dyadic_cover(low: Column, high: Column, sizes: int = SIZES) -> Column:
+    """Cells `(size, cell)` that make up the ticks from low to high, both included; size is a power of two below `sizes`,
+    which must be enough for the longest interval."""
+    low, high = low.cast("bigint"), high.cast("bigint")
+    cells = []
+    for place in range(2 * sizes):
+        size, cell = _size_and_cell(low, high, F.lit(place))
+        cells.append(F.when(cell.isNotNull(), F.struct(size.alias("size"), cell.alias("cell"))))
+    return F.array_compact(F.array(*cells))
 
 
 def _starts_inside(holders: DataFrame, starters: DataFrame, keys: Sequence[str], unit: float, longest: int, strict: bool) -> DataFrame:
     """(holder, starter) rows with the starter's beginning in the holder; `strict` leaves out equal beginnings."""
-    ticks = lambda c: F.floor(F.col(c) / unit)
-    cells = holders.withColumn("c", F.explode(dyadic_cover(ticks("_low"), ticks("_high"), longest))).select("*", F.col("c.size").alias("_size"), F.col("c.cell").alias("_cell")).drop("c")
+    ticks = lambda c: F.floor(F.col(c) / unit).cast("bigint")
+    # A row per place, and its cell then: one expression over all of a cover's cells is too long for the JIT compiler.
+    places = holders.select("*", ticks("_low").alias("_first"), ticks("_high").alias("_last"), F.explode(F.lit(list(range(2 * longest)))).alias("_place"))
+    size, cell = _size_and_cell(F.col("_first"), F.col("_last"), F.col("_place"))
+    cells = places.select(*holders.columns, size.alias("_size"), cell.alias("_cell")).filter("_cell IS NOT NULL")
     # The sizes that occur: sixty numbers at most.
     sizes = sorted(r[0] for r in cells.select("_size").distinct().collect())
     if not sizes:
         sizes = [0]
-    each = F.explode(F.array(*[F.struct(F.lit(s).alias("size"), F.shiftright(ticks("_low").cast("bigint"), s).alias("cell")) for s in sizes]))
-    starts = starters.withColumn("c", each).select("*", F.col("c.size").alias("_size"), F.col("c.cell").alias("_cell")).drop("c")
+    starts = starters.select("*", ticks("_low").alias("_first"), F.explode(F.lit(sizes)).alias("_size"))
+    starts = starts.select(*starters.columns, "_size", _halved(F.col("_first"), F.col("_size")).alias("_cell"))
     a, b = cells.alias("a"), starts.alias("b")
-    same = (F.col("a._size") == F.col("b._size")) & (F.col("a._cell") == F.col("b._cell"))
-    for key in keys:
-        same = same & (F.col(f"a._row.`{key}`") == F.col(f"b._row.`{key}`"))
+    # The keys that tell most rows apart come first: rows are sorted by the first one's bytes, and compared only where those agree.
+    same = reduce(and_, [*[F.col(f"a._row.`{key}`") == F.col(f"b._row.`{key}`") for key in keys], *[F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_cell", "_size")]])
     after = F.col("a._low") < F.col("b._low") if strict else F.col("a._low") <= F.col("b._low")
     return a.join(b, same & after & (F.col("b._low") < F.col("a._high"))).select(F.col("a._row").alias("holder"), F.col("b._row").alias("starter"))
 

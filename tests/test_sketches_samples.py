@@ -44,6 +44,16 @@ def test_overlaps_equal_all_pairs(spark, keys):
     assert "NestedLoop" not in plan_of(made) and "Cartesian" not in plan_of(made)
 
 
+def test_covers_of_a_join_need_no_loop_and_no_long_expression(spark):
+    """Loops run interpreted, and code over all cells of a cover is too long for the JIT compiler."""
+    df = spark.range(50).selectExpr("id % 5 AS k", "double(id) AS a", "double(id + 1 + id % 7) AS z")
+    made = overlap_join(df, df, ("a", "z"), ("a", "z"), ["k"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array(CASE" not in plan
+    rows = df.collect()
+    assert made.count() == sum(x["k"] == y["k"] and x["a"] < y["z"] and y["a"] < x["z"] for x in rows for y in rows)
+
+
 def test_overlaps_of_nothing(spark):
     df = spark.createDataFrame([(1, 2.0, 1.0)], "id int, a double, z double")
     assert overlap_join(df, df, ("a", "z"), ("a", "z")).count() == 0
