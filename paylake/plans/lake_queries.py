@@ -340,8 +340,10 @@ def scan_raw_layer(spark, sf_dir):
 
 
 def _identified(raw: DataFrame) -> DataFrame:
+    # A parse costs far more than a search; a key that is not spelled in the text, or with escapes, is not there.
+    spelled = F.contains("payload", F.lit("transaction_id")) | F.contains("payload", F.lit("\\"))
     ident = F.coalesce(
-        F.get_json_object("payload", "$.transaction_id"),
+        F.when(spelled, F.get_json_object("payload", "$.transaction_id")),
         F.get_json_object("payload", "$.data.id"),
         F.get_json_object("payload", "$.data.object.id"),
     )

@@ -17,14 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paylake.operators.envelope import count_outcomes, read_envelopes, rejected_rows, valid_rows
 from paylake.schemas import HOUR_PARTS
-from paylake.sources.layers import BATCH, replace_parts
+from paylake.sources.layers import BATCH, OPEN_HOURS, ROW_GROUP_BYTES, replace_parts
 from paylake.sources.streams import POLL
 
-#: Folders a task writes to side by side; rows of further ones are sorted first.
-OPEN_HOURS = 64
-#: A row group of each of these is in memory.
-ROW_GROUP_BYTES = 4 * 1024 * 1024
-
 
 class Outcomes:
     """Messages accepted and refused in all batches a query has finished here; a repeated batch counts once."""

@@ -203,3 +203,22 @@ def test_a_large_partition_is_written_by_several_tasks(spark, folder):
     files = [name for _, _, names in os.walk(folder) for name in names if name.endswith(".parquet")]
     assert len(files) > 3
     assert scan_raw(spark, folder).count() == 40_000
+
+
+def test_a_raw_batch_is_written_where_it_is_read(spark, folder):
+    """Nothing is shuffled or sorted for the write, and the setting for it does not stay."""
+    texts = spark.range(0, 4_000, 1, 4).selectExpr(
+        """concat('{"source":"faker","received_at":"2026-02-27T0', id % 7, ':00:00.000","payload":{"id":', id, '}}') AS value"""
+    )
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("raw-write", "raw-write")
+    try:
+        ingest_batch(texts, folder)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [len(status.getJobInfo(job).stageIds) for job in status.getJobIdsForGroup("raw-write")]
+    assert stages == [1]
+    assert spark.conf.get(name) == before
+    assert scan_raw(spark, folder).count() == 4_000
