@@ -167,6 +167,23 @@ def kept(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("f", F.xxhash64("file")).join(ends, ["f", "at"], "left_semi").select(*candidates.columns)
 
 
+def _follows() -> Column:
+    """Whether a candidate begins where the one before it in its file ends, or the first one where the file does."""
+    return F.coalesce(F.lag("next", 1, 0).over(W.partitionBy("file").orderBy("at")) == F.col("at"), F.lit(False))
+
+
+def _records(candidates: DataFrame) -> DataFrame:
+    """The same as `kept`, for stored candidates that know whether each `_follows`.
+
+    Where all candidates of a file do, each reaches the next, and all are records. Only other files need the chain.
+    """
+    doubtful = staged(candidates.groupBy("file").agg(F.bool_and("_follows").alias("_all")).filter("NOT _all").select("file"), "warc-doubtful")
+    candidates = candidates.drop("_follows")
+    if doubtful.isEmpty():
+        return candidates
+    return _of_files(candidates, doubtful, "left_anti").unionByName(kept(_of_files(candidates, doubtful)))
+
+
 def chain(candidates: DataFrame) -> DataFrame:
     """The candidates (file, at) that the chain of (file, at, next) from offset 0 of each file reaches.
 
@@ -177,10 +194,10 @@ def chain(candidates: DataFrame) -> DataFrame:
     return kept(candidates).select("file", "at")
 
 
-def _of_files(pieces: DataFrame, files: DataFrame) -> DataFrame:
-    """The pieces of the named files, given as a stored table: sent to where the text is read if the names are few."""
+def _of_files(pieces: DataFrame, files: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The pieces of the named files, given as a stored table, or all others: sent to where the text is read if the names are few."""
     size = files.agg(F.sum(F.octet_length("file") + 64)).first()[0] or 0
-    return pieces.join(F.broadcast(files) if size <= BROADCAST_BYTES else files.hint("merge"), "file", "left_semi")
+    return pieces.join(F.broadcast(files) if size <= BROADCAST_BYTES else files.hint("merge"), "file", how)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -195,8 +212,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     place = F.struct("file", "_split_at", "_nth", "_len")
     parsed = _parsed(pieces.select(place.alias("file"), F.lit(0).cast("long").alias("at"), "value"))
     parsed = parsed.select("file.*", *[c for c in parsed.columns if c not in ("file", "at", "next")], F.col("next").alias("_span"))
-    found = staged(_with_offsets(parsed).withColumn("next", F.col("at") + F.col("_span")).drop("_span"), "warc-candidates")
-    records = kept(found)
+    found = _with_offsets(parsed).withColumn("next", F.col("at") + F.col("_span")).drop("_span")
+    found = staged(found.withColumn("_follows", _follows()), "warc-candidates")
+    records = _records(found)
     broken = staged(records.filter("NOT whole").select("file", F.col("at").alias("_start"), F.col("next").alias("_end")), "warc-broken")
     columns = ["file", "at", "record_type", "url", "page_id", "refers_to", "payload_bytes", "payload_digest"]
     if broken.isEmpty():

@@ -98,6 +98,17 @@ def test_no_pages_no_records(spark, folder):
     assert warc.read_warc(spark, f"{folder}/none").count() == 0
 
 
+def test_only_files_with_doubtful_candidates_take_the_chain(spark, monkeypatch):
+    chained, real = [], warc.kept
+    monkeypatch.setattr(warc, "kept", lambda c: chained.append({r.file for r in c.collect()}) or real(c))
+    rows = [("f", 0, 10), ("f", 10, 30), ("f", 30, None), ("g", 0, 20), ("g", 5, 9), ("g", 20, 40), ("h", 3, 8), ("i", 0, None), ("i", 7, 9)]
+    df = spark.createDataFrame(rows, "file string, at bigint, next bigint")
+    marked = df.withColumn("_follows", warc._follows())
+    got = sorted((r.file, r.at) for r in warc._records(marked).collect())
+    assert got == sorted((r.file, r.at) for r in real(df).collect()) == [("f", 0), ("f", 10), ("f", 30), ("g", 0), ("g", 20), ("i", 0)]
+    assert chained == [{"g", "h", "i"}]
+
+
 def test_chain_stops_where_it_breaks(spark):
     rows = [("f", 0, 10), ("f", 10, 30), ("f", 15, 30), ("f", 30, 41), ("f", 40, 50), ("g", 5, 9), ("h", 0, None)]
     df = spark.createDataFrame(rows, "file string, at bigint, next bigint")
