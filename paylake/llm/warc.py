@@ -25,6 +25,8 @@ SMALLEST_REVISIT = 100
 RECORDS_PER_FILE = 50_000
 #: Names of files and places of records are sent to all tasks up to this many bytes, and merged beyond.
 BROADCAST_BYTES = 16 << 20
+#: Bytes of pages that texts are compressed against on their way.
+SHARED_BYTES = 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -37,34 +39,54 @@ def _one_line(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-@F.pandas_udf(BinaryType())
-def _squeezed(texts: pd.Series) -> pd.Series:
-    pack = zstandard.ZstdCompressor(level=9)
-    return texts.map(lambda t: pack.compress(t.encode()))
+def _shared(pages: DataFrame) -> bytes:
+    """The beginnings of a few pages, for texts to be compressed against; which pages decides sizes only, never results."""
+    some = pages.select(F.left(F.coalesce("html", F.lit("")), F.lit(4096)).alias("html")).limit(64).collect()
+    return "".join(r.html for r in some).encode()[:SHARED_BYTES]
 
 
-@F.pandas_udf(StringType())
-def _restored(packed: pd.Series) -> pd.Series:
-    unpack = zstandard.ZstdDecompressor()
-    return packed.map(lambda b: unpack.decompress(b).decode())
+def _dictionary(shared: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(shared, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(shared) >= 1024 else None
+
+
+def _squeezed(texts: Column, shared: bytes) -> Column:
+    @F.pandas_udf(BinaryType())
+    def squeezed(texts: pd.Series) -> pd.Series:
+        if known := _dictionary(shared):
+            known.precompute_compress(level=9)
+        pack = zstandard.ZstdCompressor(level=9, dict_data=known)
+        return texts.map(lambda t: pack.compress(t.encode()))
+
+    return squeezed(texts)
+
+
+def _restored(packed: Column, shared: bytes) -> Column:
+    @F.pandas_udf(StringType())
+    def restored(packed: pd.Series) -> pd.Series:
+        unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(shared))
+        return packed.map(lambda b: unpack.decompress(b).decode())
+
+    return restored(packed)
 
 
 def mark_revisits(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html) with `_digest`, `_bytes` and `_original`, the page whose payload a revisit repeats.
+    """(page_id, url, html) with `_digest` as bytes, `_bytes` and `_original`, the page whose payload a revisit repeats.
 
     Null html is an empty payload. Rows of one page_id with one payload are alike; a row without an id is a response. Texts
-    travel once, to where their digest's first page is known, and compressed, as that shuffle holds all payloads.
+    travel once, to where their digest's first page is known, and compressed against what pages share, as that shuffle holds all
+    payloads.
     """
     html = F.coalesce("html", F.lit(""))
-    known = pages.withColumns({"_digest": F.sha2(html.cast("binary"), 256), "_bytes": F.octet_length(html).cast("long")})
+    known = pages.withColumns({"_digest": F.unhex(F.sha2(html.cast("binary"), 256)), "_bytes": F.octet_length(html).cast("long")})
     first = (
         known.filter(f"_bytes >= {SMALLEST_REVISIT}").groupBy(F.col("_digest").alias("_d"))
         .agg(F.min("page_id").alias("_first"), F.max("page_id").alias("_last")).filter("_first < _last").drop("_last")
     )
     # Only payloads with a copy are matched; the join is split where one payload has many copies. Their number grows with
     # the pages, so they are merged and never broadcast.
-    known = known.withColumn("html", _squeezed(html))
-    joined = known.join(first.hint("merge"), F.col("_digest") == F.col("_d"), "left").drop("_d").withColumn("html", _restored("html"))
+    shared = _shared(pages)
+    known = known.withColumn("html", _squeezed(html, shared))
+    joined = known.join(first.hint("merge"), F.col("_digest") == F.col("_d"), "left").drop("_d").withColumn("html", _restored(F.col("html"), shared))
     return joined.withColumn("_original", F.when(F.col("page_id") > F.col("_first"), F.col("_first"))).drop("_first")
 
 
@@ -82,7 +104,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
         F.coalesce(_line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))), F.lit("")),
         _line("WARC-Date", F.lit(DATE)),
         F.coalesce(_line("WARC-Target-URI", _one_line(F.col("url"))), F.lit("")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("_digest"))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.lower(F.hex("_digest")))),
         F.coalesce(
             F.concat(
                 _line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),

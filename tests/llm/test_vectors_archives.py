@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from paylake.llm import cover, warc
 from paylake.llm.common import small_batches
@@ -98,6 +99,18 @@ def test_no_pages_no_records(spark, folder):
     assert warc.read_warc(spark, f"{folder}/none").count() == 0
 
 
+def test_texts_travel_without_what_pages_share(spark):
+    rng = random.Random(8)
+    frame = "".join(rng.choices("abcdefghij <>/", k=1500))
+    pages = spark.createDataFrame([(i, frame + str(rng.random())) for i in range(30)] + [(30, None), (31, ""), (32, "\u00e9\U0001f600")], "page_id bigint, html string")
+    html, shared = F.coalesce("html", F.lit("")), warc._shared(pages)
+    sent = pages.select(html.alias("html"), warc._squeezed(html, shared).alias("sent"), warc._squeezed(html, b"").alias("alone"))
+    sizes = sent.agg(F.sum(F.octet_length("sent")), F.sum(F.octet_length("alone"))).first()
+    assert sizes[0] * 4 < sizes[1]
+    back = sent.select("html", warc._restored(F.col("sent"), shared).alias("a"), warc._restored(F.col("alone"), b"").alias("b")).collect()
+    assert len(back) == 33 and all(r.html == r.a == r.b for r in back)
+
+
 def test_only_files_with_doubtful_candidates_take_the_chain(spark, monkeypatch):
     chained, real = [], warc.kept
     monkeypatch.setattr(warc, "kept", lambda c: chained.append({r.file for r in c.collect()}) or real(c))
