@@ -51,16 +51,21 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 
 def _fed(batches: DataFrame, root: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Start a stream over a folder and let the batches arrive there one after another, by their column `arrival`."""
+    """Start a stream over a folder and let the batches arrive there one after another, by their column `arrival`.
+
+    A batch is written once, and its folder renamed, so the stream does not see a part of it.
+    """
     spark, rows = batches.sparkSession, batches.drop("arrival")
     batches.write.partitionBy("arrival").parquet(f"{root}/batches")
     numbers = sorted(int(r[0]) for r in batches.select("arrival").distinct().collect())
-    stored = spark.read.schema(rows.schema)
-    stored.parquet(f"{root}/batches/arrival={numbers[0]}").limit(0).write.parquet(f"{root}/in")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path(f"{root}/in"))
     running = start(spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{root}/in"))
     try:
         for n in numbers:
-            stored.parquet(f"{root}/batches/arrival={n}").write.mode("append").parquet(f"{root}/in")
+            if not files.rename(path(f"{root}/batches/arrival={n}"), path(f"{root}/in/arrival={n}")):
+                raise OSError(f"batch {n} could not be moved to {root}/in")
             running.processAllAvailable()
     finally:
         running.stop()

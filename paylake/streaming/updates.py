@@ -8,18 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from paylake.session import settings
+
+#: Parts of a new stream's state, per core.
+STATE_PARTS = 2
+
 
 def start_updates(results: DataFrame, path: str, checkpoint: str, mode: str = "update", drain: bool = False) -> StreamingQuery:
     """Store every batch of results in a folder of its own. A batch that runs again replaces its own folder.
 
-    `drain` takes what is available and ends; otherwise the query goes on.
+    `drain` takes what is available and ends; otherwise the query goes on. Every batch commits every part of the state, with or
+    without rows for it, so a new stream has as many parts as the cores need, and no more than shuffles have. A stream that goes
+    on from its checkpoint keeps the parts it began with.
     """
+    spark, parts = results.sparkSession, "spark.sql.shuffle.partitions"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     stream = results.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (stream.trigger(availableNow=True) if drain else stream).start()
+    with settings(spark, {parts: str(min(int(spark.conf.get(parts)), STATE_PARTS * spark.sparkContext.defaultParallelism))}):
+        return (stream.trigger(availableNow=True) if drain else stream).start()
 
 
 def store_updates(updates: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from paylake.operators import metrics
 from paylake.operators.envelope import read_envelopes, valid_rows
 from paylake.plans.jobs import ingest_batch
+from paylake.plans.table_queries import _fed
+from paylake.session import settings
 from paylake.sources.layers import scan_raw
 from paylake.sources.streams import file_messages, kafka_messages, send_to_kafka
 from paylake.streaming import ingest
 from paylake.streaming.ingest import drain_ingest, start_ingest
 from paylake.streaming.rates import live_counts, live_rates
 from paylake.streaming.sessions import live_sessions, once_each
-from paylake.streaming.updates import latest, start_updates, store_updates
+from paylake.streaming.updates import STATE_PARTS, latest, start_updates, store_updates
 
 
 def text(number, minute=0, hour=10):
@@ -224,6 +226,30 @@ def test_repeats_and_sessions_in_one_stream(spark, folder):
     assert [(r["user"], r["n"]) for r in out.collect()] == [("u", 5)]
 
 
+def test_a_streams_state_has_as_many_parts_as_the_cores_need(spark, folder):
+    rows = [("a", "u", 0), ("b", "v", 1)]
+    with settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+        spark.createDataFrame(rows, "id string, user string, h int").selectExpr("id", "timestamp_seconds(3600 + h) AS ts").write.parquet(f"{folder}/in")
+        live = once_each(spark.readStream.schema("id string, ts timestamp").parquet(f"{folder}/in"), ["id"], "ts", "1 hour")
+        running = start_updates(live, f"{folder}/out", f"{folder}/state", "append", drain=True)
+        running.awaitTermination()
+        parts = [s["numShufflePartitions"] for p in running.recentProgress for s in p["stateOperators"]]
+        assert set(parts) == {STATE_PARTS * spark.sparkContext.defaultParallelism} and max(parts) < 40
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "b"]
+
+
+def test_an_arrival_is_one_batch_of_the_stream(spark, folder):
+    rows = spark.range(0, 3000, 1, 30).selectExpr("id", "id % 3 AS arrival")
+    seen = []
+
+    def start(live):
+        return live.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count())).option("checkpointLocation", f"{folder}/state").start()
+
+    _fed(rows, folder, start)
+    assert seen == [1000, 1000, 1000]
+
+
 class Recorded:
     """Stands for a reader or writer and keeps what it is told, as there is no connector here."""
 
