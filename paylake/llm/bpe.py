@@ -34,8 +34,8 @@ NAME = "byte_bpe_50k.json"
 LEXICON_WORDS, LEXICON_BYTES = 1 << 17, 32
 #: Words of more bytes are merged with a heap.
 SHORT_WORD = 64
-#: Merged words that a task remembers.
-REMEMBERED = 1 << 17
+#: An encoder remembers the ids of so many words, and of as many again that came before those.
+REMEMBERED = 1 << 18
 #: Word counts fall into this many steps per doubling when the lexicon's least count is sought.
 STEPS = 16
 #: Distinct words that a task counts before it hands its counts on.
@@ -89,17 +89,20 @@ def split_words(texts: Sequence[str], classes: np.ndarray) -> tuple[list[bytes],
     joined, ends = "".join(texts), np.cumsum([len(t) for t in texts], dtype=np.int64)
     plain = np.frombuffer(joined.encode("utf-32-le"), "<u4")
     # A break after each text, of no width, and one before the first.
-    codes = np.concatenate(([0], np.insert(plain, ends, 0)))
-    kind = np.concatenate(([BREAK], np.insert(classes[plain], ends, BREAK))).astype(np.uint8)
-    width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
     breaks = np.concatenate(([0], ends + 1 + np.arange(len(ends))))
-    width[breaks] = 0
-    before, blank_before, after = np.roll(kind, 1), np.roll(codes, 1) == 0x20, np.roll(kind, -1)
-    starts = (kind != before) & (kind != BREAK) & ((kind == SPACE) | ~blank_before)
-    starts |= (kind == SPACE) & (after < SPACE)
-    marks = np.flatnonzero((codes == 0x27) & (before != OTHER) & ~blank_before)
+    inside = np.ones(len(plain) + len(breaks), bool)
+    inside[breaks] = False
+    codes, kind = np.zeros(len(inside), np.uint32), np.full(len(inside), BREAK, np.uint8)
+    codes[inside], kind[inside] = plain, classes[plain]
+    # Of the characters next to a row's ends, the breaks there, nothing is asked.
+    before, after, blank, space = np.roll(kind, 1), np.roll(kind, -1), codes == 0x20, kind == SPACE
+    no_blank_before = ~np.roll(blank, 1)
+    starts = (kind != before) & inside & (space | no_blank_before)
+    starts |= space & (after < SPACE)
+    marks = np.flatnonzero(codes == 0x27)
+    marks = marks[(before[marks] != OTHER) & no_blank_before[marks]]
     if len(marks):
-        padded = np.concatenate((codes, [0, 0, 0]))
+        padded = np.concatenate((codes, np.zeros(3, np.uint32)))
         one, two = padded[marks + 1], padded[marks + 2]
         lengths = np.where(np.isin(one, [ord(c) for c in SHORT_ENDINGS]), 2, 0)
         for pair in LONG_ENDINGS:
@@ -107,9 +110,13 @@ def split_words(texts: Sequence[str], classes: np.ndarray) -> tuple[list[bytes],
         marks, lengths = marks[lengths > 0], lengths[lengths > 0]
         starts[marks + 1] = False
         starts[marks + lengths] = kind[marks + lengths] != BREAK
-    places = np.flatnonzero(starts)
-    offsets = np.concatenate(([0], np.cumsum(width)))
-    data, at = joined.encode("utf-8"), [*offsets[places].tolist(), int(offsets[-1])]
+    places, data = np.flatnonzero(starts), joined.encode("utf-8")
+    offsets = places - np.searchsorted(breaks, places)
+    if len(data) > len(plain):
+        # A character begins at each byte that does not go on with one.
+        octets = np.frombuffer(data, np.uint8)
+        offsets = np.flatnonzero((octets & 0xC0) != 0x80)[offsets]
+    at = [*offsets.tolist(), len(data)]
     return [data[a:b] for a, b in zip(at, at[1:])], np.searchsorted(places, breaks)
 
 
@@ -276,26 +283,34 @@ class Encoder:
     def __init__(self, merges: Merges, classes: np.ndarray, lexicon: Lexicon | None = None, special: bool = True):
         self.merges, self.classes, self.lexicon = merges, classes, lexicon
         self.special = merges.special if special else {}
-        self.merged: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def words(self, distinct: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words: from the lexicon, or else merged. Merged words are remembered for the next batches."""
-        out, rest = {}, distinct
-        if self.lexicon is not None and distinct:
-            numbers = self.lexicon.numbers(distinct)
-            known, rest = np.flatnonzero(numbers >= 0), [distinct[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        """Ids of words: remembered, from the lexicon, or else merged. Words that keep coming stay remembered."""
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        recent, older, out, rest = self.recent, self.older, {}, []
+        for word in distinct:
+            ids = recent.get(word)
+            if ids is None:
+                ids = older.get(word)
+                if ids is None:
+                    rest.append(word)
+                    continue
+                recent[word] = ids
+            out[word] = ids
+        if self.lexicon is not None and rest:
+            numbers = self.lexicon.numbers(rest)
+            known = np.flatnonzero(numbers >= 0)
             data, at = self.lexicon.ids, self.lexicon.offsets
             for i, a, b in zip(known.tolist(), at[numbers[known]].tolist(), at[numbers[known] + 1].tolist(), strict=True):
-                out[distinct[i]] = data[a:b].tobytes()
-        if len(self.merged) > REMEMBERED:
-            self.merged = {}
+                out[rest[i]] = recent[rest[i]] = data[a:b].tobytes()
+            rest = [rest[i] for i in np.flatnonzero(numbers < 0).tolist()]
         for word in rest:
-            ids = self.merged.get(word)
-            if ids is None:
-                ids = array("I", self.merges.merge(word)).tobytes()
-                if len(word) <= LEXICON_BYTES:
-                    self.merged[word] = ids
-            out[word] = ids
+            out[word] = ids = array("I", self.merges.merge(word)).tobytes()
+            if len(word) <= LEXICON_BYTES:
+                recent[word] = ids
         return out
 
     def pieces(self, text: str) -> list[str | int]:

@@ -124,3 +124,22 @@ def test_short_and_long_words_merge_alike():
     for _ in range(300):
         ids = [MERGES.of_byte[b] for b in "".join(rng.choices("aaehint ", k=rng.randint(0, 60))).encode()]
         assert MERGES._merge_short(list(ids)) == MERGES._merge_long(list(ids))
+
+
+@pytest.mark.parametrize("lexicon", [None, _lexicon([b"again"])])
+def test_words_that_keep_coming_are_looked_up_once(monkeypatch, lexicon):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    encoder, asked = bpe.Encoder(MERGES, CLASSES, lexicon), []
+    look_up = lexicon.numbers if lexicon else MERGES.merge
+    monkeypatch.setattr(lexicon or MERGES, "numbers" if lexicon else "merge", lambda x: asked.extend(x if lexicon else [x]) or look_up(x))
+    for i in range(50):
+        assert encoder([f"again{i} x{i}"]) == bpe.Encoder(bpe.Merges(), CLASSES)([f"again{i} x{i}"])
+        assert len(encoder.recent) <= 3 + 4 and len(encoder.older) <= 3 + 4
+    assert asked.count(b"again") == 1
+
+
+def test_words_of_wide_characters_are_cut_at_their_bytes():
+    texts = ["", "é中 \U0001f600x's", "", "a b", "中"]
+    words, firsts = bpe.split_words(texts, CLASSES)
+    assert [w.decode() for w in words] == ["é中", " \U0001f600", "x", "'s", "a", " b", "中"]
+    assert firsts.tolist() == [0, 0, 4, 4, 6, 7]
