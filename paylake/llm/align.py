@@ -86,14 +86,15 @@ def align(text: str, a: np.ndarray, b: np.ndarray, bytes_a: list[bytes], bytes_b
     whole = (" " + text).encode()
     if not text or b"".join(map(bytes_a.__getitem__, a.tolist())) != whole or b"".join(map(bytes_b.__getitem__, b.tolist())) != whole:
         return NOTHING
-    ends_a, ends_b = np.cumsum(sizes[0][a]), np.cumsum(sizes[1][b])
-    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    # Which sides have a token that ends at a byte: 1 for A, 2 for B.
+    ended = np.zeros(len(whole) + 1, np.uint8)
+    ended[np.cumsum(sizes[0][a])] = 1
+    ended[np.cumsum(sizes[1][b])] |= 2
+    ended = ended[np.flatnonzero(ended)]
     # Between two ends that follow each other lies one overlap of one A with one B token.
-    starts = np.concatenate(([0], np.union1d(ends_a, ends_b)[:-1]))
-    return Aligned(
-        a, b, np.searchsorted(ends_a, starts, "right"), np.searchsorted(ends_b, starts, "right"),
-        np.searchsorted(ends_a, both, "right"), np.searchsorted(ends_b, both, "right"),
-    )
+    upto_a, upto_b = np.cumsum(ended & 1, dtype=np.int64), np.cumsum(ended >> 1, dtype=np.int64)
+    both = np.flatnonzero(ended == 3)
+    return Aligned(a, b, np.concatenate(([0], upto_a[:-1])), np.concatenate(([0], upto_b[:-1])), upto_a[both], upto_b[both])
 
 
 class Spelling:
@@ -110,9 +111,10 @@ class Spelling:
         mark_a, mark_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
         mark_a[x.groups_a - 1], mark_b[x.groups_b - 1] = 1, 2
         # A group's A tokens come before its B tokens, after all tokens of earlier groups.
-        group_a, group_b = np.searchsorted(x.groups_a, np.arange(len(x.a)), "right"), np.searchsorted(x.groups_b, np.arange(len(x.b)), "right")
-        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
-        spelled = np.concatenate((x.a + mark_a * self.largest, x.b + mark_b * self.largest))[order]
+        sizes_a, sizes_b = np.diff(x.groups_a, prepend=0), np.diff(x.groups_b, prepend=0)
+        spelled = np.empty(len(x.a) + len(x.b), np.int64)
+        spelled[np.arange(len(x.a)) + np.repeat(x.groups_b - sizes_b, sizes_a)] = x.a + mark_a * self.largest
+        spelled[np.arange(len(x.b)) + np.repeat(x.groups_a, sizes_b)] = x.b + mark_b * self.largest
         return "".join(map(self.with_mark.__getitem__, spelled.tolist()))[:-1]
 
 

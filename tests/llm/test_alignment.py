@@ -90,3 +90,19 @@ def test_runs_merge_to_counts_in_their_own_order():
 def test_pairs_of_one_id_reach_many_radixes():
     pairs = np.uint64(7) << np.uint64(15) | np.arange(1000, dtype=np.uint64)
     assert np.bincount((align.mixed(pairs) % np.uint64(10)).astype(int), minlength=10).min() > 50
+
+
+def test_tokens_are_laid_over_each_other_without_sorting(monkeypatch):
+    a, b = [b" a", b"b", b"cd", b" ", b"e"], [b" ab", b"c", b"d ", b"e"]
+    sizes = tuple(np.array([len(t) for t in side], np.int64) for side in (a, b))
+    spell = align.Spelling(5)
+
+    def refused(*args, **options):
+        raise AssertionError("sorted")
+
+    for name in ("sort", "argsort", "union1d", "intersect1d"):
+        monkeypatch.setattr(np, name, refused)
+    x = align.align("abcd e", np.arange(5, dtype="<u4"), np.arange(4, dtype="<u4"), a, b, sizes)
+    assert list(zip(x.link_a.tolist(), x.link_b.tolist())) == [(0, 0), (1, 0), (2, 1), (2, 2), (3, 2), (4, 3)]
+    assert (x.groups_a.tolist(), x.groups_b.tolist()) == ([2, 4, 5], [1, 3, 4])
+    assert spell(x) == "0,1|0;2,3|1,2;4|3"
